@@ -6,36 +6,29 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Accepted spellings.
-HEX_32 = "^[0-9a-f]{32}$"
+HEX_32 = "^([0-9a-f]{8})([0-9a-f]{4})([0-9a-f]{4})([0-9a-f]{4})([0-9a-f]{12})$"
+DASHED = "$1-$2-$3-$4-$5"
 ISO_INSTANT = (
     r"^\d{4}-\d{2}-\d{2}"
     r"([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:\d{2})?)?$"
 )
 
 
-def _dashed(hex32: Column) -> Column:
-    return F.concat_ws(
-        "-",
-        F.substring(hex32, 1, 8),
-        F.substring(hex32, 9, 4),
-        F.substring(hex32, 13, 4),
-        F.substring(hex32, 17, 4),
-        F.substring(hex32, 21, 12),
-    )
-
-
 def key_uuid(*parts: Column) -> Column:
     """A UUID-shaped id computed from a row's natural key.
 
     ``uuid()`` draws a new value whenever a lost task is run again; this does not.
     """
-    return _dashed(F.md5(F.concat_ws("|", *[p.cast("string") for p in parts])))
+    digest = F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]))
+    return F.regexp_replace(digest, HEX_32, DASHED)
 
 
 def parse_uuid(text: Column) -> Column:
     """The canonical form of a UUID in any usual spelling, else NULL."""
     digits = F.regexp_replace(F.lower(text), r"urn:|uuid:|[{}-]", "")
-    return F.when(digits.rlike(HEX_32), _dashed(digits))
+    # 32 hexadecimal digits grow to 36 characters; nothing else of that length has dashes.
+    dashed = F.regexp_replace(digits, HEX_32, DASHED)
+    return F.nullif(F.regexp_extract(dashed, "^[0-9a-f]{8}-[0-9a-f-]{27}$", 0), F.lit(""))
 
 
 def parse_instant(text: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barlake.functions.keys import iso_text, parse_instant, parse_uuid
 from barlake.functions.numbers import exact, zero_as_null
-from barlake.operators.quarantine import accepted, reasons
+from barlake.operators.quarantine import accepted, with_reasons
 from barlake.operators.validate import INTEGER_TEXT, has_four_places
 from barlake.schemas import MAX_SYMBOL, MESSAGE_SOURCE, PRICE, QUOTE_MESSAGE
 
@@ -51,99 +51,119 @@ def decode_permissive(records: DataFrame) -> DataFrame:
     )
 
 
-class _Field:
-    """One JSON member: its text, and what kind of JSON value it was."""
+_MEMBERS = ("stock_price_id", "symbol", "price", "volume", "bid", "ask", "timestamp", "source")
 
-    def __init__(self, body: Column, name: str) -> None:
-        member = F.try_variant_get(body, f"$.{name}", "variant")
-        kind = F.schema_of_variant(member)
-        self.text = F.try_variant_get(body, f"$.{name}", "string")
-        self.absent = member.isNull()
-        self.null = F.coalesce(kind == "VOID", F.lit(False))
-        self.is_text = F.coalesce(kind == "STRING", F.lit(False))
-        self.is_integer = F.coalesce(kind.rlike("^BIGINT$"), F.lit(False))
-        self.is_float = F.coalesce(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), F.lit(False))
-        self.is_flag = F.coalesce(kind == "BOOLEAN", F.lit(False))
 
-    def number(self) -> Column:
-        """The number as text, NULL if this is not one.
+def _kind(name: str, *kinds: str) -> Column:
+    """Is this member of one of these variant types? False for an absent one."""
+    return F.coalesce(F.col(f"_kind_{name}").isin(*kinds), F.lit(False))
 
-        A JSON float stands for the binary fraction nearest to it, which has four
-        decimal places or fewer only if it is a multiple of 1/16. Others are no
-        prices: senders must write prices as text.
-        """
-        binary = self.text.try_cast("double")
-        return (
-            F.when(self.is_text | self.is_integer, F.trim(self.text))
-            .when(self.is_float & (binary * 16 == F.floor(binary * 16)), self.text)
-            .when(self.is_flag, F.when(self.text == "true", F.lit("1")).otherwise(F.lit("0")))
-        )
 
-    def falsy(self) -> Column:
-        zero = (self.is_integer | self.is_float) & (self.text.try_cast("double") == 0)
-        empty = F.coalesce(self.text.isin("", "[]", "{}"), F.lit(False))
-        off = self.is_flag & (self.text == "false")
-        return self.absent | self.null | empty | F.coalesce(zero | off, F.lit(False))
+def _is_float(name: str) -> Column:
+    return F.coalesce(F.substring(f"_kind_{name}", 1, 6).isin("DECIMA", "DOUBLE", "FLOAT"), F.lit(False))
 
 
-def _price_problem(text: Column) -> Column:
-    fits = has_four_places(text) & text.try_cast(PRICE).isNotNull()
-    return ~F.coalesce(fits, F.lit(False))
+def _text(name: str) -> Column:
+    return F.when(F.col(f"_kind_{name}") == "STRING", F.col(f"_text_{name}"))
 
 
-def check_messages(records: DataFrame) -> DataFrame:
-    """Strict decode: price rows with the reasons why a message is unusable.
+def _number(name: str) -> Column:
+    """A member's number as text, NULL if it is none.
 
-    Required are a UUID, a symbol of at most ten characters, a price and an instant.
-    ``source`` may be absent, but not null. Falsy bid and ask mean none. The raw value
-    is kept for the quarantine.
+    A JSON float stands for the binary fraction nearest to it, which has four decimal
+    places or fewer only if it is a multiple of 1/16. Others are no prices: senders
+    must write prices as text.
     """
+    text = F.col(f"_text_{name}")
+    sixteenths = text.try_cast("double") * 16
+    return (
+        F.when(_kind(name, "STRING", "BIGINT"), F.trim(text))
+        .when(_is_float(name) & (sixteenths == F.floor(sixteenths)), text)
+        .when(_kind(name, "BOOLEAN"), F.when(text == "true", "1").otherwise("0"))
+    )
+
+
+def _given(name: str) -> Column:
+    """Is this member there and neither null nor empty, zero or false?"""
+    text = F.col(f"_text_{name}")
+    zero = ~_kind(name, "STRING") & (text.try_cast("double") == 0)
+    empty = text.isin("", "[]", "{}") | (_kind(name, "BOOLEAN") & (text == "false"))
+    return text.isNotNull() & ~F.coalesce(zero | empty, F.lit(False))
+
+
+def _price_problem(text: Column, parsed: Column) -> Column:
+    return ~F.coalesce(has_four_places(text) & parsed.isNotNull(), F.lit(False))
+
+
+def _members(records: DataFrame) -> DataFrame:
+    """The variant type and the text of each member of the JSON object."""
     text = F.try_validate_utf8(F.col("value").cast("string"))
     body = records.select(
-        "value", F.col("timestamp").alias("record_timestamp"), F.try_parse_json(text).alias("body")
+        "value", F.col("timestamp").alias("record_timestamp"), F.try_parse_json(text).alias("_body")
     )
-    names = ("stock_price_id", "symbol", "price", "volume", "bid", "ask", "timestamp", "source")
-    f = {n: _Field(F.col("body"), n) for n in names}
-
-    stock_price_id = F.when(f["stock_price_id"].is_text, parse_uuid(f["stock_price_id"].text))
-    symbol = F.when(f["symbol"].is_text, f["symbol"].text)
-    price = f["price"].number()
-    volume_text = f["volume"].number()
-    volume_value = F.when(
-        f["volume"].is_text | f["volume"].is_integer | f["volume"].is_flag,
-        F.when(volume_text.rlike(INTEGER_TEXT), exact(volume_text)),
-    ).when(f["volume"].is_float, exact(f["volume"].text))
-    whole = volume_value == F.floor(volume_value)
-    volume = F.when(whole, volume_value.try_cast("bigint"))
-    bid, ask = (F.when(~f[n].falsy(), f[n].number()) for n in ("bid", "ask"))
-    instant = F.when(f["timestamp"].is_text, parse_instant(f["timestamp"].text))
-    source = F.when(f["source"].absent, F.lit(MESSAGE_SOURCE)).when(
-        f["source"].is_text, f["source"].text
+    found = body.withColumns(
+        {f"_{n}": F.try_variant_get("_body", f"$.{n}", "variant") for n in _MEMBERS}
     )
-    problems = reasons(
-        ("not JSON", F.col("body").isNull()),
-        ("stock_price_id", stock_price_id.isNull()),
-        ("symbol", symbol.isNull() | (F.length(symbol) > MAX_SYMBOL)),
-        ("price", _price_problem(price)),
-        ("volume", ~(f["volume"].absent | f["volume"].null) & volume.isNull()),
-        ("bid", ~f["bid"].falsy() & _price_problem(bid)),
-        ("ask", ~f["ask"].falsy() & _price_problem(ask)),
-        ("timestamp", instant.isNull()),
-        ("source", source.isNull()),
+    return found.select(
+        "value",
+        "record_timestamp",
+        F.col("_body").isNull().alias("_unreadable"),
+        *[F.schema_of_variant(f"_{n}").alias(f"_kind_{n}") for n in _MEMBERS],
+        *[F.try_variant_get(f"_{n}", "$", "string").alias(f"_text_{n}") for n in _MEMBERS],
     )
-    return body.select(
-        stock_price_id.alias("stock_price_id"),
-        symbol.alias("symbol"),
-        price.try_cast(PRICE).alias("price"),
-        volume.alias("volume"),
-        bid.try_cast(PRICE).alias("bid"),
-        ask.try_cast(PRICE).alias("ask"),
-        instant.alias("timestamp"),
-        source.alias("source"),
+
+
+def check_messages(records: DataFrame) -> DataFrame:
+    """Strict decode: price rows with the reasons why a message is unusable.
+
+    Required are a UUID, a symbol of at most ten characters, a price and an instant.
+    ``source`` may be absent, but not null. Falsy bid and ask mean none. The raw value
+    is kept for the quarantine.
+    """
+    spelled = _members(records).select(
         "value",
         "record_timestamp",
-        problems.alias("reasons"),
+        "_unreadable",
+        parse_uuid(_text("stock_price_id")).alias("stock_price_id"),
+        _text("symbol").alias("symbol"),
+        _number("price").alias("_price"),
+        F.when(_is_float("volume"), F.col("_text_volume")).otherwise(_number("volume")).alias("_volume"),
+        F.col("_text_volume").isNotNull().alias("_has_volume"),
+        _given("bid").alias("_has_bid"),
+        _number("bid").alias("_bid"),
+        _given("ask").alias("_has_ask"),
+        _number("ask").alias("_ask"),
+        parse_instant(_text("timestamp")).alias("timestamp"),
+        F.when(F.col("_kind_source").isNull(), MESSAGE_SOURCE).otherwise(_text("source")).alias("source"),
+    )
+    typed = spelled.withColumns(
+        {
+            "price": F.col("_price").try_cast(PRICE),
+            "volume": F.when(
+                F.col("_volume").rlike(INTEGER_TEXT) | F.col("_volume").rlike("[eE]"),
+                _whole(exact(F.col("_volume"))),
+            ),
+            "bid": F.when(F.col("_has_bid"), F.col("_bid").try_cast(PRICE)),
+            "ask": F.when(F.col("_has_ask"), F.col("_ask").try_cast(PRICE)),
+        }
     )
+    checked = with_reasons(
+        typed,
+        ("not JSON", F.col("_unreadable")),
+        ("stock_price_id", F.col("stock_price_id").isNull()),
+        ("symbol", F.col("symbol").isNull() | (F.length("symbol") > MAX_SYMBOL)),
+        ("price", _price_problem(F.col("_price"), F.col("price"))),
+        ("volume", F.col("_has_volume") & F.col("volume").isNull()),
+        ("bid", F.col("_has_bid") & _price_problem(F.col("_bid"), F.col("bid"))),
+        ("ask", F.col("_has_ask") & _price_problem(F.col("_ask"), F.col("ask"))),
+        ("timestamp", F.col("timestamp").isNull()),
+        ("source", F.col("source").isNull()),
+    )
+    return checked.select(*QUOTE_MESSAGE.names, "value", "record_timestamp", "reasons")
+
+
+def _whole(value: Column) -> Column:
+    return F.when(value == F.floor(value), value.try_cast("bigint"))
 
 
 def decode_strict(records: DataFrame) -> DataFrame:

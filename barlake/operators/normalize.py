@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlake.functions.keys import key_uuid
-from barlake.functions.numbers import change_percent, daily_change, exact, to_decimal, zero_as_null
-from barlake.operators.quarantine import accepted, accepted_groups, reasons
+from barlake.functions.numbers import change_percent, daily_change, to_decimal, zero_as_null
+from barlake.operators.quarantine import accepted, accepted_groups, either, with_reasons
 from barlake.schemas import BAR_CHANGES, BAR_PRICES, PERCENT, PRICE, QUOTE_SOURCE
 
 _RAW_PRICES = {"open_price": "Open", "close_price": "Close", "high_price": "High", "low_price": "Low"}
@@ -19,7 +19,8 @@ def bar_date(ts: Column, zone: str | None = None) -> Column:
 
 
 def _out_of_range(raw: Column, narrow: Column) -> Column:
-    return exact(raw).isNotNull() & narrow.isNull()
+    """A finite number that has no table value. (An infinite price is a missing one.)"""
+    return narrow.isNull() & (F.abs(raw) < float("inf")) & ~F.isnan(raw)
 
 
 def check_bars(raw: DataFrame, zone: str | None = None) -> DataFrame:
@@ -34,8 +35,7 @@ def check_bars(raw: DataFrame, zone: str | None = None) -> DataFrame:
         bar_date(F.col("ts"), zone).alias("date"),
         *[p.alias(name) for name, p in prices.items()],
         F.nullif(F.col("Volume"), F.lit(0)).try_cast("bigint").alias("volume"),
-        *[F.col(s).alias(f"_raw_{s}") for s in _RAW_PRICES.values()],
-        F.col("Volume").alias("_raw_Volume"),
+        *[F.col(s).try_cast("double").alias(f"_raw_{s}") for s in _RAW_PRICES.values()],
     )
     open_price, close_price = F.col("open_price"), F.col("close_price")
     changed = typed.withColumns(
@@ -45,28 +45,22 @@ def check_bars(raw: DataFrame, zone: str | None = None) -> DataFrame:
             "_percent": change_percent(open_price, close_price),
         }
     )
-    nan = [F.isnan(F.col(f"_raw_{s}").try_cast("double")) for s in (*_RAW_PRICES.values(), "Volume")]
+    nan = [F.isnan(f"_raw_{s}") for s in _RAW_PRICES.values()]
     overflow = [_out_of_range(F.col(f"_raw_{s}"), F.col(n)) for n, s in _RAW_PRICES.items()]
-    percent = F.col("_percent").try_cast(PERCENT)
-    checked = changed.withColumns(
-        {
-            "daily_change_percent": percent,
-            "reasons": reasons(
-                ("symbol missing", F.col("symbol").isNull()),
-                ("date missing", F.col("date").isNull()),
-                ("not a number", _any(nan)),
-                ("price out of range", _any(overflow)),
-                ("percent out of range", F.col("_percent").isNotNull() & percent.isNull()),
-            ),
-        }
+    checked = with_reasons(
+        changed.withColumn("daily_change_percent", F.col("_percent").try_cast(PERCENT)),
+        ("symbol missing", F.col("symbol").isNull()),
+        ("date missing", F.col("date").isNull()),
+        ("not a number", either(nan)),
+        ("price out of range", either(overflow)),
+        (
+            "percent out of range",
+            F.col("_percent").isNotNull() & F.col("daily_change_percent").isNull(),
+        ),
     )
     return checked.select("symbol", "date", *BAR_PRICES, "volume", *BAR_CHANGES, "reasons")
 
 
-def _any(conditions: list[Column]) -> Column:
-    return F.coalesce(F.array_max(F.array(*[c.cast("int") for c in conditions])) == 1, F.lit(False))
-
-
 def normalize_bars(
     raw: DataFrame, zone: str | None = None, strict_symbol: bool = False
 ) -> DataFrame:

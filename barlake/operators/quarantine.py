@@ -1,29 +1,46 @@
 """Splitting checked rows into accepted and rejected ones.
 
-A check adds one column, ``reasons``: an array that is empty for a good row. Both
-halves are plain filters on it. A caller that writes both should stage the checked
+A check adds one column, ``reasons``: a text that is empty for a good row. Both halves
+are plain filters on it. A caller that writes both should stage the checked
 frame first, or the source is read twice.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 REASONS = "reasons"
+SEPARATOR = "; "
 
 
 def reasons(*checks: tuple[str, Column]) -> Column:
     """Names of the checks whose condition is true (NULL counts as false)."""
-    return F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in checks]))
+    return F.concat_ws(SEPARATOR, *[F.when(bad, F.lit(name)) for name, bad in checks])
+
+
+def either(conditions: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conditions)
+
+
+def with_reasons(rows: DataFrame, *checks: tuple[str, Column]) -> DataFrame:
+    """Attach ``reasons``.
+
+    The text passes through a one-element ``explode``: a filter on its result stays
+    where it is, instead of being pushed below the projections with every check and
+    every parsed value written out, and computed, a second time.
+    """
+    return rows.select("*", F.explode_outer(F.array(reasons(*checks))).alias(REASONS))
 
 
 def accepted(checked: DataFrame) -> DataFrame:
-    return checked.filter(F.size(REASONS) == 0).drop(REASONS)
+    return checked.filter(F.col(REASONS) == "").drop(REASONS)
 
 
 def rejected(checked: DataFrame) -> DataFrame:
-    return checked.filter(F.size(REASONS) > 0)
+    return checked.filter(F.col(REASONS) != "")
 
 
 def accepted_groups(checked: DataFrame, key: str) -> DataFrame:
@@ -38,7 +55,8 @@ def accepted_groups(checked: DataFrame, key: str) -> DataFrame:
 
 def reject_counts(checked: DataFrame) -> DataFrame:
     return (
-        checked.select(F.explode(REASONS).alias("reason"))
+        rejected(checked)
+        .select(F.explode(F.split(REASONS, SEPARATOR)).alias("reason"))
         .groupBy("reason")
         .agg(F.count(F.lit(1)).alias("rows"))
     )

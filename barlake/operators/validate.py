@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from barlake.functions.numbers import exact
-from barlake.operators.quarantine import reasons
+from barlake.operators.quarantine import either, with_reasons
 from barlake.schemas import (
     BAR_CHANGES,
     BAR_PRICES,
@@ -67,12 +67,11 @@ def length_checks(limits: dict[str, int]) -> list[Check]:
 
 def _checked(rows: DataFrame, checks: list[Check], types: dict[str, object]) -> DataFrame:
     """Attach reasons, then cast; text numbers of accepted rows fit their type."""
-    flagged = rows.withColumn("reasons", reasons(*checks))
     casts = {n: F.col(n).cast("string").try_cast(t) for n, t in types.items() if t != "bigint"}
     casts |= {
         n: exact(F.col(n).cast("string")).try_cast("bigint") for n, t in types.items() if t == "bigint"
     }
-    return flagged.withColumns(casts)
+    return with_reasons(rows, *checks).withColumns(casts)
 
 
 def check_bar_records(rows: DataFrame) -> DataFrame:
@@ -94,21 +93,21 @@ def check_price_records(rows: DataFrame) -> DataFrame:
 
 def check_stock_records(rows: DataFrame) -> DataFrame:
     limits = {"symbol": MAX_SYMBOL, "company_name": MAX_COMPANY_NAME, "sector": MAX_SECTOR}
-    return rows.withColumn("reasons", reasons(*required_checks("symbol"), *length_checks(limits)))
+    return with_reasons(rows, *required_checks("symbol"), *length_checks(limits))
 
 
 def check_price_range(quotes: DataFrame, cap: float, floor: float = 0.0) -> DataFrame:
     """Stream rule: the price lies strictly between floor and cap."""
     price = F.col("price")
     outside = ~F.coalesce((price > F.lit(floor)) & (price < F.lit(cap)), F.lit(False))
-    return quotes.withColumn("reasons", reasons(("price outside range", outside)))
+    return with_reasons(quotes, ("price outside range", outside))
 
 
 def check_bar_shape(bars: DataFrame) -> DataFrame:
     """Open and close lie between low and high wherever all four are known."""
     low, high = F.col("low_price"), F.col("high_price")
     outside = [(F.col(c) < low) | (F.col(c) > high) for c in ("open_price", "close_price")]
-    return bars.withColumn("reasons", reasons(("outside low and high", outside[0] | outside[1])))
+    return with_reasons(bars, ("outside low and high", either(outside)))
 
 
 def duplicate_keys(rows: DataFrame, keys: list[str]) -> DataFrame:

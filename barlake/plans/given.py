@@ -61,6 +61,15 @@ def raw_user_bars(spark: SparkSession, folder: str) -> DataFrame:
     return _roll_up(ticks, ["at", "event_id"])
 
 
+def part_symbols(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "part").select(F.concat(F.lit("P"), "p_partkey").alias("symbol"))
+
+
+def user_symbols(spark: SparkSession, folder: str) -> DataFrame:
+    events = table(spark, folder, "events")
+    return events.select(F.concat(F.lit("U"), "user_id").alias("symbol")).distinct()
+
+
 def part_bars(spark: SparkSession, folder: str) -> DataFrame:
     return normalize_bars(raw_part_bars(spark, folder))
 

@@ -50,7 +50,7 @@ def run_daily_etl(
     checked.write.parquet(staged)
     checked = spark.read.schema(checked.schema).parquet(staged)
 
-    total, bad = checked.agg(F.count(F.lit(1)), F.count_if(F.size("reasons") > 0)).first()
+    total, bad = checked.agg(F.count(F.lit(1)), F.count_if(F.col("reasons") != "")).first()
     if bad and quarantine:
         rejected(checked).write.mode("append").parquet(quarantine)
     loaded = warehouse.upsert_bars(accepted(checked)) if total > bad else 0

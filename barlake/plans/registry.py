@@ -226,7 +226,7 @@ def volatility(spark, folder):
 @query
 def historical_etl(spark, folder):
     raw = given.raw_user_bars(spark, folder)
-    everyone = raw.select("symbol").distinct()
+    everyone = given.user_symbols(spark, folder)
     rows = jobs.run_historical_etl(raw, TODAY, everyone, "5d")
     return _rounded_volatility(rows).drop("open_price", "high_price", "low_price", "adj_close")
 
@@ -262,7 +262,7 @@ def first_bar_per_symbol(spark, folder):
 @query
 def daily_bars(spark, folder):
     raw = given.raw_user_bars(spark, folder)
-    return jobs.daily_bars(raw, DAY, raw.select("symbol").distinct())
+    return jobs.daily_bars(raw, DAY, given.user_symbols(spark, folder))
 
 
 @query
@@ -431,7 +431,7 @@ def query_with_parameters(spark, folder):
 def backfill(spark, folder):
     warehouse = _warehouse(spark)
     raw = given.raw_part_bars(spark, folder)
-    jobs.run_backfill(warehouse, raw, dt.date(2030, 1, 1), raw.select("symbol").distinct(), "max")
+    jobs.run_backfill(warehouse, raw, dt.date(2030, 1, 1), given.part_symbols(spark, folder), "max")
     return _plain(warehouse.read("daily_aggregates"))
 
 
@@ -440,7 +440,7 @@ def daily_etl(spark, folder):
     """Two days, the second one twice."""
     warehouse = _warehouse(spark)
     raw = given.raw_user_bars(spark, folder)
-    everyone = raw.select("symbol").distinct()
+    everyone = given.user_symbols(spark, folder)
     for day in (DAY, DAY + dt.timedelta(days=1), DAY + dt.timedelta(days=1)):
         jobs.run_daily_etl(warehouse, raw, day, everyone)
     return _plain(warehouse.read("daily_aggregates"))
@@ -450,7 +450,7 @@ def daily_etl(spark, folder):
 def run_report(spark, folder):
     warehouse = _warehouse(spark)
     raw = given.raw_user_bars(spark, folder)
-    everyone = raw.select("symbol").distinct()
+    everyone = given.user_symbols(spark, folder)
     for day in (DAY, dt.date(2000, 1, 1)):
         jobs.run_daily_etl(warehouse, raw, day, everyone)
     return warehouse.read("job_runs").drop("completed_at")

@@ -16,6 +16,9 @@ REQUIRED = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    # The JVM does not compile methods above 8000 bytes of code. Wide rows of checks
+    # exceed that when fused into one method; below the limit Spark splits them.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
