@@ -1 +1 @@
-"""DataFrame-to-DataFrame operators. Nothing here reads the clock or collects rows."""
+"""DataFrame-to-DataFrame operators. Nothing here collects rows; run dates are arguments."""

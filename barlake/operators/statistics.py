@@ -121,6 +121,14 @@ def price_metrics(
     return prices.groupBy(*(by or [])).agg(*pick(PRICE_METRICS, names))
 
 
+def top_by_metric(
+    bars: DataFrame, names: list[str], by: str = "symbol", limit: int = 10
+) -> DataFrame:
+    """The groups with the highest first metric, with all named metrics beside it."""
+    ranked = [F.desc_nulls_last(names[0]), by]
+    return bar_metrics(bars, [by], names).orderBy(*ranked).limit(limit)
+
+
 def distinct_symbols(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count_distinct("symbol").alias("symbols"))
 

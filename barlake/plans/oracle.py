@@ -198,6 +198,9 @@ ORACLE: dict[str, str] = {
     "top_performers": f"""{_USER} SELECT symbol, {_avg('p_u')} AS avg_change,
         CAST(sum(v) AS BIGINT) AS total_volume, {_avg('c_u')} AS avg_price
         FROM bar_u GROUP BY symbol ORDER BY avg_change DESC NULLS LAST, symbol LIMIT 10""",
+    "top_performers_by_metric": f"""{_USER} SELECT symbol, {_avg('p_u')} AS avg_daily_change,
+        CAST(sum(v) AS BIGINT) AS total_volume
+        FROM bar_u GROUP BY symbol ORDER BY avg_daily_change DESC NULLS LAST, symbol LIMIT 10""",
     "price_range": f"""{_PART} SELECT date, symbol, {_avg('h_u')} AS avg_high,
         {_avg('l_u')} AS avg_low
         FROM bar_u GROUP BY date, symbol ORDER BY date, symbol LIMIT 500""",

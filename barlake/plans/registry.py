@@ -17,7 +17,7 @@ from barlake.operators.quarantine import accepted, reject_counts
 from barlake.operators.rolling import rolling_metrics
 from barlake.operators.sliding import flat_windows, sliding_stats
 from barlake.operators.validate import check_bar_records, check_bar_shape, check_price_range
-from barlake.plans import given, jobs
+from barlake.plans import dashboard, given, jobs
 from barlake.session import shared_dir
 from barlake.sources import landing, topics
 from barlake.sources.warehouse import Warehouse
@@ -101,14 +101,12 @@ def symbol_universe(spark, folder):
 
 @query
 def dashboard_filtered(spark, folder):
-    bars = lookups.dashboard_filter(given.part_bars(spark, folder), END, SYMBOLS, 1000)
-    return statistics.price_trends(bars)
+    return dashboard.bar_chart("Stock Price Trends", given.part_bars(spark, folder), END, SYMBOLS, 1000)
 
 
 @query
 def dashboard_last_30_days(spark, folder):
-    bars = lookups.dashboard_filter(given.user_bars(spark, folder), TODAY)
-    return statistics.top_performers(bars)
+    return dashboard.bar_chart("Top Performers", given.user_bars(spark, folder), TODAY)
 
 
 @query
@@ -178,6 +176,11 @@ def top_performers(spark, folder):
     return statistics.top_performers(given.user_bars(spark, folder))
 
 
+@query
+def top_performers_by_metric(spark, folder):
+    return statistics.top_by_metric(given.user_bars(spark, folder), ["avg_daily_change", "total_volume"])
+
+
 @query
 def price_range(spark, folder):
     return statistics.price_range(given.part_bars(spark, folder))
@@ -251,7 +254,7 @@ def latest_bars(spark, folder):
 
 @query
 def latest_prices_chart(spark, folder):
-    return ranking.latest_prices(given.quotes(spark, folder))
+    return dashboard.latest_prices_chart(given.quotes(spark, folder))
 
 
 @query

@@ -158,7 +158,7 @@ class Warehouse:
             writer = rows.write.partitionBy(value)
         else:
             writer = rows.hint("rebalance").sortWithinPartitions(*table.order or table.stored.names[:1]).write
-        writer.mode(mode).option("partitionOverwriteMode", "dynamic").parquet(path)
+        writer.mode(mode).parquet(path)
 
     def _publish(self, table: Table, staged: str) -> None:
         """Replace the staged partitions (or the whole unpartitioned table)."""
@@ -261,7 +261,7 @@ class Warehouse:
             self._save(new, table, self.path(table), "append")
             return
         merged = f"{self._replacement(table)}/{uuid.uuid4().hex}"
-        self._save(merge(old, new, list(table.key), updated), table, merged, "overwrite")
+        self._save(merge(old, new, list(table.key), updated), table, merged, "error")
         before, after = old.count(), self.spark.read.schema(table.stored).parquet(merged).count()
         if not max(before, distinct) <= after <= before + distinct:
             raise RuntimeError(f"{table.name}: {after} rows from {before} old and {distinct} new ones")

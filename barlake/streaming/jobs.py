@@ -91,6 +91,7 @@ def run_consumer_pipeline(
     records: DataFrame,
     warehouse: Warehouse,
     checkpoint: str,
+    max_messages: int | None = None,
     on_process: Callable[[DataFrame, int], None] | None = None,
     quarantine: str | None = None,
     every: str | None = None,
@@ -98,29 +99,42 @@ def run_consumer_pipeline(
 ) -> int:
     """Topic to price table: strict decode, no copies, append. Returns the rows written.
 
-    Copies are found against the table itself, so a late quote is still stored. ``drain`` handles what the source holds and stops; a source limited per trigger
-    bounds a round. With ``quarantine`` a second query, with its own checkpoint, keeps
-    the unusable messages and why they are. ``on_process`` sees each micro-batch.
+    Copies are found against the table itself, so a late quote is still stored.
+    ``drain`` handles what the source holds and stops. ``max_messages`` (none or 0: no
+    limit) ends the job after the micro-batch that reaches it; limit the source per
+    trigger for small batches. With ``quarantine`` a second query, with its own
+    checkpoint, keeps the unusable messages and why they are. ``on_process`` sees each
+    micro-batch.
     """
     warehouse.create_missing()
     written: list[int] = []
+
+    def may_go_on() -> bool:
+        return not max_messages or sum(written) < max_messages
+
     checked = check_messages(records)
     quotes = accepted(checked).drop("value", "record_timestamp")
-    queries = [
-        sinks.append_to_warehouse(
-            quotes, warehouse, f"{checkpoint}/prices", on_process, written.append, every, drain
-        )
-    ]
+    prices = sinks.append_to_warehouse(
+        quotes, warehouse, f"{checkpoint}/prices", on_process, written.append, may_go_on, every, drain
+    )
+    rejects = None
     if quarantine:
         bad = rejected(checked).select("value", "record_timestamp", "reasons")
-        queries.append(sinks.write_parquet(bad, quarantine, f"{checkpoint}/rejects", drain, None))
-    for query in queries:
-        query.awaitTermination()
+        rejects = sinks.write_parquet(bad, quarantine, f"{checkpoint}/rejects", drain, None)
+    _await_or_enough(prices, may_go_on)
+    if rejects and drain:
+        rejects.awaitTermination()
+    elif rejects:
+        rejects.stop()
     return sum(written)
 
 
-class _RoundsDone(Exception):
-    """Raised inside a micro-batch to end the query before the batch is recorded."""
+def _await_or_enough(query: StreamingQuery, may_go_on: Callable[[], bool]) -> None:
+    try:
+        query.awaitTermination()
+    except StreamingQueryException:
+        if may_go_on():
+            raise
 
 
 def publish_continuously(
@@ -141,19 +155,18 @@ def publish_continuously(
     """
     sent: list[int] = []
 
+    def may_go_on() -> bool:
+        return max_rounds is None or len(sent) < max_rounds
+
     def round_(batch: DataFrame, batch_id: int) -> None:
-        if max_rounds is not None and len(sent) >= max_rounds:
-            raise _RoundsDone
+        if not may_go_on():
+            raise sinks.EnoughSeen
         sent.append(publish(batch, options, fmt, path))
         if on_round:
             on_round(batch, batch_id)
 
     query = sinks.write_batches(quotes, round_, checkpoint, every=interval, drain=drain)
-    try:
-        query.awaitTermination()
-    except StreamingQueryException:
-        if max_rounds is None or len(sent) < max_rounds:
-            raise
+    _await_or_enough(query, may_go_on)
     return sent
 
 
