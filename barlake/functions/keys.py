@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Accepted spellings.
+CANONICAL = "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 HEX_32 = "^([0-9a-f]{8})([0-9a-f]{4})([0-9a-f]{4})([0-9a-f]{4})([0-9a-f]{12})$"
 DASHED = "$1-$2-$3-$4-$5"
 ISO_INSTANT = (
@@ -26,9 +27,9 @@ def key_uuid(*parts: Column) -> Column:
 def parse_uuid(text: Column) -> Column:
     """The canonical form of a UUID in any usual spelling, else NULL."""
     digits = F.regexp_replace(F.lower(text), r"urn:|uuid:|[{}-]", "")
-    # 32 hexadecimal digits grow to 36 characters; nothing else of that length has dashes.
-    dashed = F.regexp_replace(digits, HEX_32, DASHED)
-    return F.nullif(F.regexp_extract(dashed, "^[0-9a-f]{8}-[0-9a-f-]{27}$", 0), F.lit(""))
+    return F.when(text.rlike(CANONICAL), text).when(
+        digits.rlike(HEX_32), F.regexp_replace(digits, HEX_32, DASHED)
+    )
 
 
 def parse_instant(text: Column) -> Column:

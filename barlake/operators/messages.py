@@ -129,6 +129,7 @@ def check_messages(records: DataFrame) -> DataFrame:
         _number("price").alias("_price"),
         F.when(_is_float("volume"), F.col("_text_volume")).otherwise(_number("volume")).alias("_volume"),
         F.col("_text_volume").isNotNull().alias("_has_volume"),
+        _is_float("volume").alias("_is_float"),
         _given("bid").alias("_has_bid"),
         _number("bid").alias("_bid"),
         _given("ask").alias("_has_ask"),
@@ -139,9 +140,9 @@ def check_messages(records: DataFrame) -> DataFrame:
     typed = spelled.withColumns(
         {
             "price": F.col("_price").try_cast(PRICE),
-            "volume": F.when(
-                F.col("_volume").rlike(INTEGER_TEXT) | F.col("_volume").rlike("[eE]"),
-                _whole(exact(F.col("_volume"))),
+            "volume": F.coalesce(
+                F.col("_volume").try_cast("bigint"),
+                F.when(F.col("_volume").rlike(INTEGER_TEXT) | F.col("_is_float"), _whole(F.col("_volume"))),
             ),
             "bid": F.when(F.col("_has_bid"), F.col("_bid").try_cast(PRICE)),
             "ask": F.when(F.col("_has_ask"), F.col("_ask").try_cast(PRICE)),
@@ -162,7 +163,8 @@ def check_messages(records: DataFrame) -> DataFrame:
     return checked.select(*QUOTE_MESSAGE.names, "value", "record_timestamp", "reasons")
 
 
-def _whole(value: Column) -> Column:
+def _whole(text: Column) -> Column:
+    value = exact(text)
     return F.when(value == F.floor(value), value.try_cast("bigint"))
 
 

@@ -32,7 +32,8 @@ def with_reasons(rows: DataFrame, *checks: tuple[str, Column]) -> DataFrame:
     where it is, instead of being pushed below the projections with every check and
     every parsed value written out, and computed, a second time.
     """
-    return rows.select("*", F.explode_outer(F.array(reasons(*checks))).alias(REASONS))
+    named = rows.withColumn("_why", reasons(*checks))
+    return named.select(*rows.columns, F.explode_outer(F.array("_why")).alias(REASONS))
 
 
 def accepted(checked: DataFrame) -> DataFrame:

@@ -33,9 +33,9 @@ def has_four_places(text: Column) -> Column:
     would be rounded by parsing it; exponent notation is judged on its value.
     """
     value = exact(text)
+    exponent = text.contains("e") | text.contains("E")
     return F.coalesce(
-        F.when(text.rlike("[eE]"), value == F.bround(value, 4)).otherwise(text.rlike(FOUR_PLACES)),
-        F.lit(False),
+        text.rlike(FOUR_PLACES) | (exponent & (value == F.bround(value, 4))), F.lit(False)
     )
 
 

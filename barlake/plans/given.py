@@ -61,6 +61,48 @@ def raw_user_bars(spark: SparkSession, folder: str) -> DataFrame:
     return _roll_up(ticks, ["at", "event_id"])
 
 
+def raw_flag_bars(spark: SparkSession, folder: str) -> DataFrame:
+    """A bar per return flag and ship date: three symbols share all rows."""
+    line = table(spark, folder, "lineitem")
+    ticks = line.select(
+        F.col("l_returnflag").alias("symbol"),
+        F.col("l_shipdate").cast("timestamp").alias("ts"),
+        (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
+        F.col("l_quantity").alias("quantity"),
+        "l_orderkey",
+        "l_linenumber",
+    )
+    return _roll_up(ticks, ["l_orderkey", "l_linenumber"])
+
+
+def raw_quotes(spark: SparkSession, folder: str) -> DataFrame:
+    """Landed quotes: an order quotes its customer, some without a price."""
+    orders = table(spark, folder, "orders")
+    total = F.col("o_totalprice")
+    return orders.select(
+        F.concat(F.lit("C"), "o_custkey").alias("symbol"),
+        F.when(F.col("o_orderstatus") != "P", total).alias("last_price"),
+        F.col("o_orderkey").alias("last_volume"),
+        (total / 3).alias("bid"),
+        F.when(F.col("o_orderstatus") == "F", float("inf")).otherwise(total / 7).alias("ask"),
+        F.col("o_orderdate").cast("timestamp").alias("fetched_at"),
+    )
+
+
+def price_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Price records from orders as text, some of them unusable."""
+    total = F.col("o_totalprice").cast("decimal(12,2)").cast("string")
+    return table(spark, folder, "orders").select(
+        "o_orderkey",
+        F.col("o_orderpriority").alias("symbol"),
+        F.when(F.col("o_orderstatus") != "P", total).alias("price"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("n/a")).alias("bid"),
+        total.alias("ask"),
+        F.concat(F.col("o_custkey").cast("string"), F.lit(".0")).alias("volume"),
+        F.col("o_orderdate").cast("timestamp").alias("timestamp"),
+    )
+
+
 def part_symbols(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "part").select(F.concat(F.lit("P"), "p_partkey").alias("symbol"))
 

@@ -19,6 +19,7 @@ tick AS (
          1 AS quantity, ts AS k1, event_id AS k2
   FROM events)
 """
+_FLAG_RAW = _PART_RAW.replace("'P' || l_partkey", "l_returnflag")
 _ROLL_UP = """
 raw AS (
   SELECT symbol, date,
@@ -59,6 +60,7 @@ bars AS (
   FROM bar_u)
 """
 _PART = f"WITH {_PART_RAW}, {_ROLL_UP}, {_NORMALISE}"
+_FLAG = f"WITH {_FLAG_RAW}, {_ROLL_UP}, {_NORMALISE}"
 _USER = f"WITH {_USER_RAW}, {_ROLL_UP}, {_NORMALISE}"
 
 
@@ -221,6 +223,8 @@ ORACLE: dict[str, str] = {
     # ---- rolling metrics
     "moving_averages": f"""{_PART}, {_ROLLED.format(where='')}
         SELECT symbol, date, c_u / 10000.0 AS close_price, ma_5, ma_20 FROM rolled""",
+    "moving_averages_hot": f"""{_FLAG}, {_ROLLED.format(where='')}
+        SELECT symbol, date, c_u / 10000.0 AS close_price, ma_5, ma_20 FROM rolled""",
     "volatility": f"""{_USER}, {_ROLLED.format(where='')}
         SELECT symbol, date, p_u / 10000.0 AS daily_change_percent, volatility_5 FROM rolled""",
     "historical_etl": f"""{_USER}, {_ROLLED.format(where="WHERE date >= DATE '2024-01-26' AND date < DATE '2024-02-01'")}
@@ -237,6 +241,9 @@ ORACLE: dict[str, str] = {
     "first_bar_per_symbol": f"""{_PART} SELECT * FROM bars
         QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY date) = 1""",
     "daily_bars": f"{_USER} SELECT * FROM bars WHERE date = DATE '2024-01-15'",
+    "yesterday_bars": f"{_USER} SELECT * FROM bars WHERE date = DATE '2024-01-14'",
+    "history_between_dates": f"""{_USER} SELECT * FROM bars
+        WHERE date >= DATE '2024-01-15' AND date < DATE '2024-01-31'""",
     "top_movers": f"""{_USER}, last AS (
         SELECT symbol, max(date) AS date, arg_max(p_u, date) AS p_u, arg_max(c_u, date) AS c_u
         FROM (SELECT symbol, date, coalesce(p_u, 0) AS p_u, c_u FROM bar_u) GROUP BY symbol),
@@ -267,6 +274,16 @@ ORACLE: dict[str, str] = {
     "bar_shape_check": f"""{_USER} SELECT symbol, date FROM bars
         WHERE open_price BETWEEN low_price AND high_price
           AND close_price BETWEEN low_price AND high_price""",
+    "landed_quotes": f"""SELECT 'C' || o_custkey AS symbol, {_units('o_totalprice')} / 10000.0 AS price,
+        o_orderkey AS volume, {_units('o_totalprice / 3')} / 10000.0 AS bid,
+        CASE WHEN o_orderstatus <> 'F' THEN {_units('o_totalprice / 7')} / 10000.0 END AS ask,
+        o_orderdate AS timestamp, 'yahoo_finance' AS source
+        FROM orders WHERE o_orderstatus <> 'P'""",
+    "validated_prices": """SELECT o_orderkey, o_orderpriority AS symbol, o_totalprice AS price,
+        CAST(NULL AS DOUBLE) AS bid, o_totalprice AS ask, o_custkey AS volume, o_orderdate AS timestamp
+        FROM orders WHERE o_orderstatus = 'O' AND length(o_orderpriority) <= 10""",
+    "duplicate_keys": """SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem
+        GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "json_encode": f"""{_QUOTES} SELECT symbol AS key,
         '{{"stock_price_id":"' || stock_price_id || '","symbol":"' || symbol || '","price":"' || price
         || '","volume":' || volume || ',"bid":null,"ask":null,"timestamp":"'
@@ -314,6 +331,11 @@ ORACLE: dict[str, str] = {
     "query_with_parameters": f"""{_QUOTES} SELECT symbol, count(*) AS n,
         CAST(max(price) AS DOUBLE) AS highest
         FROM quote WHERE price >= 50 AND symbol <> 'click' GROUP BY symbol""",
+    "stored_range_reads": f"""{_USER}, {_QUOTES.replace('WITH', '', 1)}
+        SELECT symbol, nullif(close_price, 0) AS price, CAST(date AS TIMESTAMP) AS at FROM bars
+        WHERE symbol = 'U7' AND date >= DATE '2024-01-15' AND date <= DATE '2024-01-31'
+        UNION ALL SELECT symbol, CAST(price AS DOUBLE), timestamp FROM quote
+        WHERE symbol = 'click' AND timestamp >= TIMESTAMP '2024-01-10 12:00:00'""",
     "backfill": f"{_PART} {_BLANKED}",
     "daily_etl": f"{_USER} {_BLANKED} WHERE date IN (DATE '2024-01-15', DATE '2024-01-16')",
     "run_report": f"""{_USER} SELECT 'daily_etl' AS job, DATE '2024-01-15' AS execution_date,
@@ -326,5 +348,9 @@ ORACLE: dict[str, str] = {
         WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE""",
     "sliding_stats_updates": f"{_WINDOWS} SELECT * FROM windows",
     "stream_to_parquet": f"""{_QUOTES} SELECT symbol AS kafka_key, {_QUOTE_COLUMNS} FROM quote""",
+    "stream_rejects": f"""{_MESSAGES}
+        SELECT CASE WHEN bad_symbol AND bad_price THEN 'symbol; price' WHEN bad_symbol THEN 'symbol'
+                    WHEN bad_price THEN 'price' ELSE '' END AS reasons, count(*) AS rows
+        FROM message GROUP BY 1""",
     "stream_to_warehouse": f"{_QUOTES} SELECT {_QUOTE_COLUMNS} FROM quote",
 }

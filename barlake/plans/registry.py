@@ -12,11 +12,17 @@ from pyspark.sql.types import DecimalType, TimestampType
 from barlake import schemas
 from barlake.operators import lookups, ranking, statistics
 from barlake.operators.messages import check_messages, decode_permissive, decode_strict, encode_quotes
-from barlake.operators.normalize import check_bars, normalize_bars, zero_bars_as_null
+from barlake.operators.normalize import check_bars, normalize_bars, normalize_quotes, zero_bars_as_null
 from barlake.operators.quarantine import accepted, reject_counts
 from barlake.operators.rolling import rolling_metrics
 from barlake.operators.sliding import flat_windows, sliding_stats
-from barlake.operators.validate import check_bar_records, check_bar_shape, check_price_range
+from barlake.operators.validate import (
+    check_bar_records,
+    check_bar_shape,
+    check_price_range,
+    check_price_records,
+)
+from barlake.operators.validate import duplicate_keys as find_duplicates
 from barlake.plans import dashboard, given, jobs
 from barlake.session import shared_dir
 from barlake.sources import landing, topics
@@ -220,6 +226,14 @@ def moving_averages(spark, folder):
     return rows.select("symbol", "date", "close_price", "ma_5", "ma_20")
 
 
+@query
+def moving_averages_hot(spark, folder):
+    """Three symbols hold everything: their rows are rolled in blocks."""
+    bars = normalize_bars(given.raw_flag_bars(spark, folder))
+    rows = rolling_metrics(bars, split_rows=500)
+    return rows.select("symbol", "date", "close_price", "ma_5", "ma_20")
+
+
 @query
 def volatility(spark, folder):
     rows = _rounded_volatility(rolling_metrics(given.user_bars(spark, folder)))
@@ -268,6 +282,21 @@ def daily_bars(spark, folder):
     return jobs.daily_bars(raw, DAY, given.user_symbols(spark, folder))
 
 
+@query
+def yesterday_bars(spark, folder):
+    raw = given.raw_user_bars(spark, folder)
+    return landing.yesterday_bars(raw, DAY, given.user_symbols(spark, folder))
+
+
+@query
+def history_between_dates(spark, folder):
+    """Landed as CSV, read back, start included and end excluded."""
+    path = shared_dir(spark, "landed")
+    given.raw_user_bars(spark, folder).write.option("header", True).csv(path)
+    raw = landing.read_bars(spark, path, "csv")
+    return landing.history(raw, TODAY, given.user_symbols(spark, folder), DAY, TODAY)
+
+
 @query
 def top_movers(spark, folder):
     return ranking.top_movers(given.user_bars(spark, folder))
@@ -317,6 +346,22 @@ def bar_shape_check(spark, folder):
     return accepted(check_bar_shape(given.user_bars(spark, folder))).select("symbol", "date")
 
 
+@query
+def landed_quotes(spark, folder):
+    return normalize_quotes(given.raw_quotes(spark, folder)).drop("stock_price_id")
+
+
+@query
+def validated_prices(spark, folder):
+    return accepted(check_price_records(given.price_records(spark, folder)))
+
+
+@query
+def duplicate_keys(spark, folder):
+    lines = given.table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber")
+    return find_duplicates(lines, ["l_orderkey", "l_linenumber"])
+
+
 @query
 def json_encode(spark, folder):
     records = encode_quotes(given.quotes(spark, folder))
@@ -430,6 +475,21 @@ def query_with_parameters(spark, folder):
     return warehouse.sql(text, [50, QUOTE_SYMBOL])
 
 
+@query
+def stored_range_reads(spark, folder):
+    """A bar range and a price range read from the partitions concerned."""
+    warehouse = _warehouse(spark)
+    warehouse.upsert_bars(given.user_bars(spark, folder))
+    warehouse.append_prices(given.quotes(spark, folder))
+    bars = warehouse.bars_between("U7", DAY, TODAY).select(
+        "symbol", F.col("close_price").alias("price"), F.col("date").cast("timestamp").alias("at")
+    )
+    prices = warehouse.prices_since(QUOTE_SYMBOL, SINCE).select(
+        "symbol", "price", F.col("timestamp").alias("at")
+    )
+    return bars.unionByName(prices)
+
+
 @query
 def backfill(spark, folder):
     warehouse = _warehouse(spark)
@@ -510,6 +570,22 @@ def stream_to_parquet(spark, folder):
     return rows.drop("kafka_timestamp")
 
 
+@query
+def stream_rejects(spark, folder):
+    """The consumer pipeline on half-broken messages: what it stores and what it refuses."""
+    warehouse = _warehouse(spark)
+    path, refused = shared_dir(spark, "topic"), shared_dir(spark, "rejects")
+    given.order_messages(spark, folder).write.parquet(path)
+    records = topics.read_topic(spark, fmt="parquet", path=path)
+    stream_jobs.run_consumer_pipeline(
+        records, warehouse, shared_dir(spark, "checkpoint"), quarantine=refused
+    )
+    schema = "value binary, record_timestamp timestamp, reasons string"
+    bad = spark.read.schema(schema).parquet(refused).groupBy("reasons")
+    good = warehouse.read("stock_prices").groupBy(F.lit("").alias("reasons"))
+    return bad.agg(F.count(F.lit(1)).alias("rows")).unionByName(good.agg(F.count(F.lit(1)).alias("rows")))
+
+
 @query
 def stream_to_warehouse(spark, folder):
     """Topic to price table, from a topic that holds every message twice."""
