@@ -138,6 +138,11 @@ def quotes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _order_instant() -> Column:
+    """One order per second from 2024 on."""
+    return F.timestamp_seconds(F.lit(1704067200) + F.col("o_orderkey"))
+
+
 def order_quotes(spark: SparkSession, folder: str) -> DataFrame:
     """An order is a quote of its customer's symbol, with a zero bid, one per second."""
     return table(spark, folder, "orders").select(
@@ -149,7 +154,7 @@ def order_quotes(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_custkey").alias("volume"),
         F.lit(0).cast("decimal(12,4)").alias("bid"),
         to_decimal(F.col("o_totalprice") + 1).alias("ask"),
-        F.timestamp_seconds(F.lit(1704067200) + F.col("o_orderkey")).alias("timestamp"),
+        _order_instant().alias("timestamp"),
         F.lit("orders").alias("source"),
     )
 
@@ -186,7 +191,7 @@ def order_messages(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(',"volume":"'),
         F.col("o_custkey").cast("string"),
         F.lit('","bid":0,"ask":"0.5","timestamp":"'),
-        F.date_format(F.col("o_orderdate").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss"),
+        F.date_format(_order_instant(), "yyyy-MM-dd'T'HH:mm:ss"),
         F.lit('"'),
         source,
         F.lit("}"),
@@ -194,7 +199,7 @@ def order_messages(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "orders").select(
         F.col("o_orderpriority").cast("binary").alias("key"),
         value.cast("binary").alias("value"),
-        F.col("o_orderdate").cast("timestamp").alias("timestamp"),
+        _order_instant().alias("timestamp"),
     )
 
 

@@ -87,7 +87,7 @@ _MESSAGES = """
 WITH message AS (
   SELECT '00000000-0000-0000-0000-' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS stock_price_id,
          o_orderpriority AS symbol, o_totalprice AS price, o_custkey AS volume,
-         o_orderdate AS timestamp, o_orderstatus AS status,
+         TIMESTAMP '2024-01-01' + to_seconds(o_orderkey) AS timestamp, o_orderstatus AS status,
          length(o_orderpriority) > 10 AS bad_symbol,
          CASE o_orderstatus WHEN 'O' THEN FALSE
               WHEN 'F' THEN o_totalprice * 16 <> floor(o_totalprice * 16)
