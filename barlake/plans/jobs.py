@@ -65,12 +65,14 @@ def run_historical_etl(
     symbols: list[str] | DataFrame | None = None,
     period: str = "1mo",
     zone: str | None = None,
+    split_rows: int | None = None,
 ) -> DataFrame:
     """Bars of a period with rolling metrics; nothing is stored.
 
-    Metrics come before zeros are blanked: a flat day has a change of 0 here.
+    Metrics come before zeros are blanked: a flat day has a change of 0 here. Give
+    ``split_rows`` where the landed files may hold a symbol's day many times.
     """
-    return rolling_metrics(history(raw, as_of, symbols, period=period, zone=zone))
+    return rolling_metrics(history(raw, as_of, symbols, period=period, zone=zone), split_rows)
 
 
 def run_backfill(

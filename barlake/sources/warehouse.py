@@ -340,7 +340,9 @@ class Warehouse:
         if seeds is None:
             columns = "symbol string, company_name string, sector string"
             seeds = self.spark.createDataFrame(schemas.SEED_STOCKS, columns)
-        rows = unseen(seeds.dropDuplicates(["symbol"]), self.read("stocks"), ["symbol"])
+        one = F.min(F.struct("company_name", "sector")).alias("one")
+        single = seeds.groupBy("symbol").agg(one).select("symbol", "one.*")
+        rows = unseen(single, self.read("stocks"), ["symbol"])
         rows = rows.select(
             key_uuid(F.col("symbol")).alias("stock_id"),
             "symbol",

@@ -102,9 +102,9 @@ def run_consumer_pipeline(
     Copies are found against the table itself, so a late quote is still stored.
     ``drain`` handles what the source holds and stops. ``max_messages`` (none or 0: no
     limit) ends the job after the micro-batch that reaches it; limit the source per
-    trigger for small batches. With ``quarantine`` a second query, with its own
-    checkpoint, keeps the unusable messages and why they are. ``on_process`` sees each
-    micro-batch.
+    trigger for small batches. ``quarantine`` is a folder for the unusable messages and
+    why they are; each micro-batch has its own subfolder, replaced if it is sent again.
+    ``on_process`` sees the quotes of each micro-batch.
     """
     warehouse.create_missing()
     written: list[int] = []
@@ -112,20 +112,23 @@ def run_consumer_pipeline(
     def may_go_on() -> bool:
         return not max_messages or sum(written) < max_messages
 
-    checked = check_messages(records)
-    quotes = accepted(checked).drop("value", "record_timestamp")
-    prices = sinks.append_to_warehouse(
-        quotes, warehouse, f"{checkpoint}/prices", on_process, written.append, may_go_on, every, drain
-    )
-    rejects = None
-    if quarantine:
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if not may_go_on():
+            raise sinks.EnoughSeen
+        # Decoded once for both outputs; a lost block is decoded again to the same rows.
+        checked = batch.persist()
+        quotes = accepted(checked).drop("value", "record_timestamp")
+        written.append(warehouse.append_prices(quotes, "skip", "day", "kafka"))
         bad = rejected(checked).select("value", "record_timestamp", "reasons")
-        rejects = sinks.write_parquet(bad, quarantine, f"{checkpoint}/rejects", drain, None)
-    _await_or_enough(prices, may_go_on)
-    if rejects and drain:
-        rejects.awaitTermination()
-    elif rejects:
-        rejects.stop()
+        if quarantine and not bad.isEmpty():
+            bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
+        if on_process:
+            on_process(quotes, batch_id)
+        checked.unpersist()
+
+    checked = check_messages(records)
+    query = sinks.write_batches(checked, write, checkpoint, every=every, drain=drain)
+    _await_or_enough(query, may_go_on)
     return sum(written)
 
 

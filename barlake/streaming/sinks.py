@@ -85,15 +85,12 @@ def append_to_warehouse(
     checkpoint: str,
     on_batch: Callable[[DataFrame, int], None] | None = None,
     on_written: Callable[[int], None] | None = None,
-    may_go_on: Callable[[], bool] = lambda: True,
     every: str | None = None,
     drain: bool = False,
 ) -> StreamingQuery:
     """Append every micro-batch to the price table; a batch sent again adds nothing."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not may_go_on():
-            raise EnoughSeen
         written = warehouse.append_prices(batch, on_duplicate="skip", within="day", source="kafka")
         if on_batch:
             on_batch(batch, batch_id)
