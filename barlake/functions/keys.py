@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,6 +39,11 @@ def parse_instant(text: Column) -> Column:
     return F.when(text.rlike(ISO_INSTANT), F.try_to_timestamp(text))
 
 
+def instant(value: dt.datetime) -> Column:
+    """A literal instant; without a zone it means UTC, not the zone of this machine."""
+    return F.lit(value if value.tzinfo else value.replace(tzinfo=dt.timezone.utc))
+
+
 def iso_text(instant: Column) -> Column:
     """ISO text without offset; the fraction is left out when it is zero."""
     return F.regexp_replace(

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barlake.functions.keys import instant
 from barlake.schemas import DEFAULT_SYMBOLS
 
 
@@ -21,7 +22,7 @@ def active_symbols(stocks: DataFrame) -> DataFrame:
 
 def prices_since(prices: DataFrame, symbol: str, since: dt.datetime) -> DataFrame:
     """Inclusive lower bound, oldest first (ties by id)."""
-    wanted = (F.col("symbol") == symbol) & (F.col("timestamp") >= F.lit(since))
+    wanted = (F.col("symbol") == symbol) & (F.col("timestamp") >= instant(since))
     return prices.filter(wanted).orderBy("timestamp", "stock_price_id")
 
 

@@ -6,9 +6,12 @@ partition before the shuffle.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barlake.functions.keys import instant
 from barlake.functions.metrics import BAR_METRICS, PRICE_METRICS, pick
 from barlake.functions.numbers import exact_avg, report_round
 
@@ -133,9 +136,9 @@ def distinct_symbols(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count_distinct("symbol").alias("symbols"))
 
 
-def freshness(prices: DataFrame, as_of: object, target_seconds: int = 120) -> DataFrame:
+def freshness(prices: DataFrame, as_of: dt.datetime, target_seconds: int = 120) -> DataFrame:
     """Seconds from each symbol's last price to ``as_of``, and whether that is in target."""
-    lag = F.unix_micros(F.lit(as_of).cast("timestamp")) - F.unix_micros("last_timestamp")
+    lag = F.unix_micros(instant(as_of)) - F.unix_micros("last_timestamp")
     return (
         prices.groupBy("symbol")
         .agg(F.max("timestamp").alias("last_timestamp"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from barlake import schemas
-from barlake.functions.keys import key_uuid
+from barlake.functions.keys import instant, key_uuid
 from barlake.operators.merge import merge, one_row_per_key, unseen
 from barlake.operators.normalize import (
     with_bar_defaults,
@@ -125,8 +125,8 @@ class Warehouse:
 
     def prices_since(self, symbol: str, since: dt.datetime) -> DataFrame:
         """Prices of a symbol from an instant on, from the days concerned only."""
-        first_day = F.to_date(F.lit(since).cast("timestamp"))
-        wanted = (F.col("symbol") == symbol) & (F.col("timestamp") >= F.lit(since))
+        first_day = F.to_date(instant(since))
+        wanted = (F.col("symbol") == symbol) & (F.col("timestamp") >= instant(since))
         rows = self.stored(STOCK_PRICES).filter((F.col("day") >= first_day) & wanted)
         return rows.select(*STOCK_PRICES.schema.names).orderBy("timestamp", "stock_price_id")
 

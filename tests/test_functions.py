@@ -87,3 +87,20 @@ def test_instants(spark):
 def test_unknown_metric_is_refused():
     with pytest.raises(ValueError):
         pick(BAR_METRICS, ["median"])
+
+
+def test_literal_instants_do_not_depend_on_the_machine(spark):
+    import os
+    import time
+
+    from barlake.functions.keys import instant
+
+    zone = os.environ.get("TZ")
+    os.environ["TZ"] = "America/New_York"
+    time.tzset()
+    try:
+        text = F.date_format(instant(dt.datetime(2024, 1, 1, 12)), "yyyy-MM-dd HH:mm")
+        assert one(spark.range(1).select(text)) == ["2024-01-01 12:00"]
+    finally:
+        os.environ.pop("TZ") if zone is None else os.environ.__setitem__("TZ", zone)
+        time.tzset()

@@ -186,3 +186,16 @@ def test_pipeline_stops_at_max_messages_and_resumes(spark, warehouse, tmp_path):
     assert consume(2) == 2
     assert consume(0) == 2
     assert warehouse.read("stock_prices").count() == 4
+
+
+def test_append_sink(spark, warehouse, tmp_path):
+    from barlake.operators.messages import decode_strict
+
+    topics.publish(quotes(spark, (1, "A", "1", 0), (2, "A", "2", 1)), fmt="parquet", path=str(tmp_path / "t"))
+    counts = []
+    for checkpoint in ("a", "b"):
+        rows = decode_strict(topic(spark, tmp_path / "t"))
+        sinks.append_to_warehouse(
+            rows, warehouse, str(tmp_path / checkpoint), on_written=counts.append, drain=True
+        ).awaitTermination()
+    assert counts == [2, 0]
