@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from barlake.operators import statistics
 from barlake.operators.lookups import dashboard_filter
 from barlake.operators.ranking import latest_prices
+from barlake.sources.warehouse import Warehouse
 
 # Chart names and how many rows each may show; no chart shows more than
 # the last one.
@@ -46,6 +47,19 @@ def bar_chart(
     return BAR_CHARTS[name](dashboard_filter(bars, as_of, symbols, last_days), rows)
 
 
+def stored_bar_chart(
+    name: str,
+    warehouse: Warehouse,
+    as_of: dt.date,
+    symbols: list[str] | None = None,
+    last_days: int = 30,
+    limit: int | None = None,
+) -> DataFrame:
+    """The same over the stored table, reading only the months of the days shown."""
+    bars = warehouse.bars(as_of - dt.timedelta(days=last_days), as_of)
+    return bar_chart(name, bars, as_of, symbols, last_days, limit)
+
+
 def latest_prices_chart(
     prices: DataFrame, symbols: list[str] | None = None, limit: int | None = None
 ) -> DataFrame:

@@ -336,6 +336,18 @@ ORACLE: dict[str, str] = {
         WHERE symbol = 'U7' AND date >= DATE '2024-01-15' AND date <= DATE '2024-01-31'
         UNION ALL SELECT symbol, CAST(price AS DOUBLE), timestamp FROM quote
         WHERE symbol = 'click' AND timestamp >= TIMESTAMP '2024-01-10 12:00:00'""",
+    "stored_latest_reads": f"""{_USER}, {_QUOTES.replace('WITH', '', 1)},
+        a AS (SELECT symbol, CAST(date AS TIMESTAMP) AS at, 'bars' AS part FROM bars
+              ORDER BY date DESC, symbol LIMIT 100),
+        b AS (SELECT symbol, timestamp AS at, 'prices' AS part FROM quote
+              ORDER BY timestamp DESC, stock_price_id DESC LIMIT 20),
+        c AS (SELECT symbol, timestamp AS at, 'price' AS part FROM quote WHERE symbol = 'click'
+              ORDER BY timestamp DESC, stock_price_id DESC LIMIT 1)
+        SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c""",
+    "stored_chart": f"""{_USER} SELECT date, symbol, {_avg('nullif(h_u, 0)')} AS avg_high,
+        {_avg('nullif(l_u, 0)')} AS avg_low
+        FROM bar_u WHERE date >= DATE '2024-01-24' AND date < DATE '2024-01-31'
+        GROUP BY date, symbol ORDER BY date, symbol LIMIT 500""",
     "backfill": f"{_PART} {_BLANKED}",
     "daily_etl": f"{_USER} {_BLANKED} WHERE date IN (DATE '2024-01-15', DATE '2024-01-16')",
     "run_report": f"""{_USER} SELECT 'daily_etl' AS job, DATE '2024-01-15' AS execution_date,

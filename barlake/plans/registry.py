@@ -490,6 +490,28 @@ def stored_range_reads(spark, folder):
     return bars.unionByName(prices)
 
 
+@query
+def stored_latest_reads(spark, folder):
+    """Newest bars, newest prices and one symbol's newest price from the newest partitions."""
+    warehouse = _warehouse(spark)
+    warehouse.upsert_bars(given.user_bars(spark, folder))
+    warehouse.append_prices(given.quotes(spark, folder))
+    parts = [
+        ("bars", warehouse.latest_bars().select("symbol", F.col("date").cast("timestamp").alias("at"))),
+        ("prices", warehouse.latest_prices().select("symbol", F.col("timestamp").alias("at"))),
+        ("price", warehouse.latest_price(QUOTE_SYMBOL).select("symbol", F.col("timestamp").alias("at"))),
+    ]
+    bars, prices, price = (rows.withColumn("part", F.lit(name)) for name, rows in parts)
+    return bars.unionByName(prices).unionByName(price)
+
+
+@query
+def stored_chart(spark, folder):
+    warehouse = _warehouse(spark)
+    warehouse.upsert_bars(given.user_bars(spark, folder))
+    return dashboard.stored_bar_chart("Price Range (High-Low)", warehouse, TODAY, last_days=7)
+
+
 @query
 def backfill(spark, folder):
     warehouse = _warehouse(spark)

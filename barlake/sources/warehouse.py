@@ -18,6 +18,7 @@ from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from barlake import schemas
 from barlake.functions.keys import instant, key_uuid
+from barlake.operators import ranking
 from barlake.operators.merge import merge, one_row_per_key, unseen
 from barlake.operators.normalize import (
     with_bar_defaults,
@@ -111,14 +112,17 @@ class Warehouse:
         self.register_views()
         return self.spark.sql(text, args=args) if args else self.spark.sql(text)
 
-    # ---- the three range reads that profit from the layout ---------------------
+    # ---- reads that profit from the layout ---------------------------------------
 
-    def bars_between(self, symbol: str, start: dt.date, end: dt.date) -> DataFrame:
-        """Bars of a symbol, both ends included, from the months concerned only."""
+    def bars(self, start: dt.date, end: dt.date) -> DataFrame:
+        """All bars of a span, both ends included, from the months concerned only."""
         month = F.col("month").between(f"{start:%Y-%m}", f"{end:%Y-%m}")
-        wanted = (F.col("symbol") == symbol) & F.col("date").between(F.lit(start), F.lit(end))
-        rows = self.stored(DAILY_AGGREGATES).filter(month & wanted)
-        return rows.select(*DAILY_AGGREGATES.schema.names).orderBy("date")
+        date = F.col("date").between(F.lit(start), F.lit(end))
+        return self.stored(DAILY_AGGREGATES).filter(month & date).select(*DAILY_AGGREGATES.schema.names)
+
+    def bars_between(self, symbol: str, start: dt.date, end: dt.date) -> DataFrame:
+        """Bars of a symbol, both ends included."""
+        return self.bars(start, end).filter(F.col("symbol") == symbol).orderBy("date")
 
     def bar_at(self, symbol: str, date: dt.date) -> DataFrame:
         return self.bars_between(symbol, date, date)
@@ -130,6 +134,40 @@ class Warehouse:
         rows = self.stored(STOCK_PRICES).filter((F.col("day") >= first_day) & wanted)
         return rows.select(*STOCK_PRICES.schema.names).orderBy("timestamp", "stock_price_id")
 
+    def latest_price(self, symbol: str) -> DataFrame:
+        """At most one row, looked for from the newest day backwards."""
+        newest = self._newest(STOCK_PRICES, 1, F.col("symbol") == symbol)
+        return ranking.latest_price(newest, symbol)
+
+    def latest_prices(self, limit: int = 20) -> DataFrame:
+        return ranking.latest_prices(self._newest(STOCK_PRICES, limit), limit)
+
+    def latest_bars(self, limit: int = 100) -> DataFrame:
+        return ranking.latest_bars(self._newest(DAILY_AGGREGATES, limit), limit)
+
+    def _newest(self, table: Table, rows: int, wanted: Column | None = None) -> DataFrame:
+        """Rows of the newest partitions, enough of them to hold the ``rows`` newest ones.
+
+        Days and months are in the order of the rows in them, so the newest rows lie in
+        the newest partitions. One, two, four ... partitions are tried; their names are
+        a bounded list.
+        """
+        value, kind = table.partition.name, table.partition.dataType
+        fs, root = self._fs(self.path(table))
+        names = [status.getPath().getName() for status in fs.listStatus(root)]
+        values = sorted((n.split("=", 1)[1] for n in names if n.startswith(f"{value}=")), reverse=True)
+        stored = self.stored(table)
+        if wanted is not None:
+            stored = stored.filter(wanted)
+        width = 1
+        while width < len(values):
+            newest = stored.filter(F.col(value) >= F.lit(values[width - 1]).cast(kind))
+            if newest.limit(rows).count() >= rows:
+                stored = newest
+                break
+            width *= 2
+        return stored.select(*table.schema.names)
+
     # ---- files ----------------------------------------------------------------
 
     def _replacement(self, table: Table) -> str:

@@ -86,8 +86,8 @@ def main() -> None:
         "top_performers": lambda: statistics.top_performers(bars),
         "price_range": lambda: statistics.price_range(bars),
         "price_metrics": lambda: statistics.price_metrics(prices, ["symbol"]),
-        "latest_bars": lambda: ranking.latest_bars(bars),
-        "latest_price": lambda: ranking.latest_price(prices, "click"),
+        "latest_bars": lambda: warehouse.latest_bars(),
+        "latest_price": lambda: warehouse.latest_price("click"),
         "latest_price_per_symbol": lambda: ranking.latest_price_per_symbol(prices),
         "top_movers": lambda: ranking.top_movers(bars),
         "rolling_metrics": lambda: rolling_metrics(bars),

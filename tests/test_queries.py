@@ -17,7 +17,7 @@ FOLDER = "/root/testdata/sf0.001"
 SLOW = {
     "upsert_stocks", "upsert_bars", "append_prices", "seed_stocks", "load_by_position", "backfill", "daily_etl",
     "run_report", "query_with_parameters", "sliding_stats_stream", "sliding_stats_updates", "stream_to_warehouse",
-    "stream_rejects", "stored_range_reads",
+    "stream_rejects", "stored_range_reads", "stored_latest_reads", "stored_chart",
 }
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="given tables are not here")

@@ -212,3 +212,23 @@ def test_many_copies_of_one_key_meet_pre_aggregated(spark, warehouse):
     assert (hot.id, hot._copies) == (49_998, 16_667)
     plan = reduced._jdf.queryExecution().executedPlan().toString()
     assert plan.count("partial_max") and plan.index("partial_max") > plan.index("Exchange")
+
+
+def test_latest_reads_look_at_the_newest_partitions_first(spark, warehouse):
+    rows = [quote(f"q{n:02d}", "OLD" if n == 0 else "AAPL", str(n + 1), NOW + dt.timedelta(days=n)) for n in range(9)]
+    warehouse.append_prices(spark.createDataFrame(rows, QUOTE))
+    assert [r.price for r in warehouse.latest_prices(3).collect()] == [Decimal(9), Decimal(8), Decimal(7)]
+    assert warehouse.latest_price("OLD").first().stock_price_id == "q00"
+    assert warehouse.latest_price("AAPL").first().stock_price_id == "q08"
+    assert warehouse.latest_price("INVALID").isEmpty()
+    assert warehouse.latest_prices(50).count() == 9
+    plan = warehouse.latest_prices(1)._jdf.queryExecution().executedPlan().toString()
+    assert "2024-01-09" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    bars = [bar("A", dt.date(2024, m, 1), str(m)) for m in range(1, 6)] + [bar("B", dt.date(2024, 5, 1), "9")]
+    warehouse.upsert_bars(spark.createDataFrame(bars, BAR))
+    assert [(r.symbol, r.date.month) for r in warehouse.latest_bars(3).collect()] == [("A", 5), ("B", 5), ("A", 4)]
+    assert warehouse.bars(dt.date(2024, 2, 1), dt.date(2024, 3, 1)).count() == 2
+
+
+def test_latest_reads_of_empty_tables(warehouse):
+    assert warehouse.latest_bars().isEmpty() and warehouse.latest_price("A").isEmpty()
