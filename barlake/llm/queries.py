@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from barlake.llm import bpe, simhash
+from barlake.llm import bpe, secrets, simhash
 from barlake.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -31,3 +32,20 @@ def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", simhash.hex16(found["fp"]).alias("fingerprint"), "component_id")
+
+
+@query
+def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, folder, "documents").select("doc_id", "text"))
+    kinds = F.transform("spans", lambda s: s["kind"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, rule.kind))).cast("long").alias(f"n_{rule.kind}")
+        for rule in secrets.BASE
+    ]
+    base = F.filter("spans", lambda s: s["rank"] < len(secrets.BASE))
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans")
+    )
+
+
+ORACLE["op8_secret_scan"] = secrets.oracle()
