@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import bpe, secrets, simhash
+from barlake.llm import bpe, secrets, simhash, toxicity
 from barlake.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -49,3 +49,17 @@ def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLE["op8_secret_scan"] = secrets.oracle()
+
+
+@query
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.train(docs, table(spark, folder, "labels"))
+    scored = docs.select("doc_id", "lang", toxicity.score(docs, model, F.col("text")).alias("score"))
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        (F.col("score") >= toxicity.threshold(model, F.col("lang"))).alias("rejected"),
+    )
