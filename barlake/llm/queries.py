@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import bpe, secrets, simhash, toxicity
+from barlake.llm import bpe, mixing, secret_scan, simhash, toxicity
 from barlake.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -23,6 +23,14 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op1_mix(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, folder, "documents"))
+    return mixed.select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"), "source", "times"
+    )
+
+
 @query
 def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), RANKS)
@@ -36,19 +44,19 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
-    found = secrets.find_secrets(table(spark, folder, "documents").select("doc_id", "text"))
+    found = secret_scan.find_secrets(table(spark, folder, "documents").select("doc_id", "text"))
     kinds = F.transform("spans", lambda s: s["kind"])
     counts = [
         (F.size(kinds) - F.size(F.array_remove(kinds, rule.kind))).cast("long").alias(f"n_{rule.kind}")
-        for rule in secrets.BASE
+        for rule in secret_scan.BASE
     ]
-    base = F.filter("spans", lambda s: s["rank"] < len(secrets.BASE))
+    base = F.filter("spans", lambda s: s["rank"] < len(secret_scan.BASE))
     return found.select(
-        "doc_id", *counts, F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans")
+        "doc_id", *counts, F.sha2(secret_scan.listed(base), 256).alias("base_sha256"), secret_scan.listed(F.col("spans")).alias("spans")
     )
 
 
-ORACLE["op8_secret_scan"] = secrets.oracle()
+ORACLE["op8_secret_scan"] = secret_scan.oracle()
 
 
 @query
