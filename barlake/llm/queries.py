@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import bpe, mixing, secret_scan, simhash, toxicity
+from barlake.llm import bpe, mixing, reputation, secret_scan, simhash, toxicity
 from barlake.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -42,6 +42,16 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.hex16(found["fp"]).alias("fingerprint"), "component_id")
 
 
+@query
+def op7_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    outcomes = reputation.document_outcomes(pages, table(spark, folder, "labels"))
+    return reputation.judge(pages, outcomes).select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLE["op7_url_reputation"] = reputation.oracle()
+
+
 @query
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_scan.find_secrets(table(spark, folder, "documents").select("doc_id", "text"))
