@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import bpe, mixing, reputation, secret_scan, simhash, toxicity
+from barlake.llm import bpe, embedding_dedup, mixing, reputation, secret_scan, simhash, toxicity
 from barlake.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -81,3 +81,8 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
         (F.col("score") >= toxicity.threshold(model, F.col("lang"))).alias("rejected"),
     )
+
+
+@query
+def op10_pstable_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
