@@ -9,8 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import bpe, dual_tree, embedding_dedup, mixing, reputation, secret_scan, simhash, toxicity
-from barlake.llm.common import table
+from barlake.llm import bpe, dual_tree, embedding_dedup, mixing, reputation, rollups, secret_scan, simhash, toxicity
+from barlake.llm.common import staged, table
+from barlake.session import shared_dir
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -36,6 +37,22 @@ def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), RANKS)
 
 
+@query
+def op3_token_rollups(spark: SparkSession, folder: str) -> DataFrame:
+    """Three batches over all documents: all are inserted, exact copies deleted, and counts
+    revised where cleaning changes them. The second batch is committed twice."""
+    rows = staged(rollups.counted(table(spark, folder, "documents")), "token-counts")
+    rollup = rollups.Rollup(spark, shared_dir(spark, "rollup"))
+    rollup.commit("crawl", rollups.inserts(rows))
+    for _ in range(2):
+        rollup.commit("copies", rollups.deletes_of_copies(rows))
+    rollup.commit("cleaning", rollups.revisions(rows))
+    return rollup.totals()
+
+
+ORACLE["op3_token_rollups"] = rollups.oracle()
+
+
 @query
 def op4_dual_tree(spark: SparkSession, folder: str) -> DataFrame:
     return dual_tree.top_k(dual_tree.integers(table(spark, folder, "embeddings")))
