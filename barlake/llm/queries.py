@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import bpe, dual_tree, embedding_dedup, mixing, reputation, rollups, secret_scan, simhash, toxicity
+from barlake.llm import bpe, dual_tree, embedding_dedup, mixing, reputation, rollups, secret_scan, simhash, surrogates, toxicity
 from barlake.llm.common import staged, table
 from barlake.session import shared_dir
 
@@ -116,6 +116,17 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op9_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    replaced = surrogates.replace_personal_data(table(spark, folder, "documents").select("doc_id", "text"))
+    kinds = F.transform("mentions", lambda m: m["kind"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}")
+        for kind in surrogates.KINDS
+    ]
+    return replaced.select("doc_id", "text", *counts)
+
+
 @query
 def op10_pstable_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
