@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from barlake.functions.numbers import exact_avg
+from barlake.functions.numbers import exact_avg, exact_total
 
 BAR_METRICS: dict[str, Callable[[], Column]] = {
     "avg_close": lambda: exact_avg(F.col("close_price")),
-    "total_volume": lambda: F.sum("volume"),
+    "total_volume": lambda: exact_total(F.col("volume")),
     "avg_daily_change": lambda: exact_avg(F.col("daily_change_percent")),
     "count": lambda: F.count(F.lit(1)),
 }
@@ -21,7 +21,7 @@ BAR_METRICS: dict[str, Callable[[], Column]] = {
 PRICE_METRICS: dict[str, Callable[[], Column]] = {
     "latest_price": lambda: F.max("price"),
     "avg_price": lambda: exact_avg(F.col("price")),
-    "total_volume": lambda: F.sum("volume"),
+    "total_volume": lambda: exact_total(F.col("volume")),
     "last_price": lambda: F.max(F.struct("timestamp", "stock_price_id", "price"))["price"],
 }
 

@@ -34,10 +34,11 @@ def daily_change(open_price: Column, close_price: Column) -> Column:
 def change_percent(open_price: Column, close_price: Column) -> Column:
     """Change in percent of the open, half-even to four places, not yet narrowed.
 
-    The numerator is scaled up first: decimal(20,10) / decimal(12,4) keeps 23 places,
-    more than any tie at the fifth place needs to be told apart.
+    The numerator is scaled up first: decimal(22,10) / decimal(12,4) keeps 22 places,
+    more than any tie at the fifth place needs to be told apart. Twelve digits before the
+    point hold a hundred times the widest change of two prices.
     """
-    hundredfold = (daily_change(open_price, close_price) * F.lit(100)).cast("decimal(20,10)")
+    hundredfold = (daily_change(open_price, close_price) * F.lit(100)).try_cast("decimal(22,10)")
     return F.bround(hundredfold / open_price, 4)
 
 
@@ -45,8 +46,13 @@ def zero_as_null(value: Column) -> Column:
     return F.nullif(value, F.lit(0).cast("decimal(1,0)"))
 
 
+def exact_total(count: Column) -> Column:
+    """SUM of an integer column, wider than its own type: totals of a large table pass 64 bits."""
+    return F.sum(count.cast("decimal(20,0)"))
+
+
 def exact_avg(value: Column) -> Column:
-    """AVG of a decimal or integer column as a double.
+    """AVG of a decimal column as a double; widen integers to decimal(20,0) first.
 
     The sum is exact, so the result does not depend on how rows were partitioned;
     Spark's own decimal AVG would cut it to eight places.

@@ -17,7 +17,8 @@ def one_row_per_key(
 
     ``last`` columns come from the key's last row, ``first`` columns from its first one,
     in ``sequence`` order (rows with equal sequence are ordered by their values, so the
-    result is defined). ``_copies`` counts the rows behind each key. The aggregate is
+    result is defined; without a sequence the caller makes sure that keys are unique).
+    ``_copies`` counts the rows behind each key. The aggregate is
     partial before the shuffle: many copies of one key do not meet in one task.
     """
     order = [F.col(sequence).alias("_seq")] if sequence else []

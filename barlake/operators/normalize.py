@@ -23,8 +23,9 @@ def _out_of_range(raw: Column, narrow: Column) -> Column:
     return narrow.isNull() & (F.abs(raw) < float("inf")) & ~F.isnan(raw)
 
 
-def check_bars(raw: DataFrame, zone: str | None = None) -> DataFrame:
-    """Normalise landed bars; unusable rows carry reasons.
+def check_bars(raw: DataFrame, zone: str | None = None, keep_ts: bool = False) -> DataFrame:
+    """Normalise landed bars; unusable rows carry reasons. ``keep_ts`` keeps each bar's own
+    instant, which orders the bars of a day.
 
     NaN is an error, an infinite or unparsable price is a missing one, a volume of
     zero is a missing one. ``adj_close`` is the close as delivered.
@@ -33,6 +34,7 @@ def check_bars(raw: DataFrame, zone: str | None = None) -> DataFrame:
     typed = raw.select(
         "symbol",
         bar_date(F.col("ts"), zone).alias("date"),
+        "ts",
         *[p.alias(name) for name, p in prices.items()],
         F.nullif(F.col("Volume"), F.lit(0)).try_cast("bigint").alias("volume"),
         *[F.col(s).try_cast("double").alias(f"_raw_{s}") for s in _RAW_PRICES.values()],
@@ -58,14 +60,15 @@ def check_bars(raw: DataFrame, zone: str | None = None) -> DataFrame:
             F.col("_percent").isNotNull() & F.col("daily_change_percent").isNull(),
         ),
     )
-    return checked.select("symbol", "date", *BAR_PRICES, "volume", *BAR_CHANGES, "reasons")
+    instant = ["ts"] if keep_ts else []
+    return checked.select("symbol", "date", *instant, *BAR_PRICES, "volume", *BAR_CHANGES, "reasons")
 
 
 def normalize_bars(
-    raw: DataFrame, zone: str | None = None, strict_symbol: bool = False
+    raw: DataFrame, zone: str | None = None, strict_symbol: bool = False, keep_ts: bool = False
 ) -> DataFrame:
     """Good bars only. ``strict_symbol`` drops every bar of a symbol that has a bad one."""
-    checked = check_bars(raw, zone)
+    checked = check_bars(raw, zone, keep_ts)
     return accepted_groups(checked, "symbol") if strict_symbol else accepted(checked)
 
 

@@ -30,9 +30,11 @@ def latest_bars(bars: DataFrame, limit: int = 100) -> DataFrame:
 
 
 def first_bar_per_symbol(bars: DataFrame) -> DataFrame:
-    """The earliest bar of each symbol, by aggregation; ties by the remaining columns."""
-    rest = [c for c in bars.columns if c not in ("symbol", "date")]
-    first = F.min(F.struct("date", *rest)).alias("first")
+    """The earliest bar of each symbol, by aggregation: by date, by instant if the bars carry
+    one (``ts``), ties by the remaining columns."""
+    order = [c for c in ("date", "ts") if c in bars.columns]
+    rest = [c for c in bars.columns if c not in ("symbol", *order)]
+    first = F.min(F.struct(*order, *rest)).alias("first")
     return bars.groupBy("symbol").agg(first).select("symbol", "first.*")
 
 

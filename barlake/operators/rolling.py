@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from barlake.session import shared_dir
+
 # Frame lengths in rows.
 SHORT = 5
 LONG = 20
@@ -16,8 +18,8 @@ def _mean(value: Column, window: WindowSpec) -> Column:
     return F.try_divide(F.sum(value).over(window).cast("double"), F.count(value).over(window))
 
 
-def _metrics(bars: DataFrame, group: list[str]) -> DataFrame:
-    ordered = W.partitionBy(*group).orderBy("date")
+def _metrics(bars: DataFrame, group: list[str], columns: list[str]) -> DataFrame:
+    ordered = W.partitionBy(*group).orderBy("date", *columns)
     short, long = ordered.rowsBetween(1 - SHORT, 0), ordered.rowsBetween(1 - LONG, 0)
     change = F.col("daily_change_percent").cast("double")
     return bars.withColumns(
@@ -32,47 +34,45 @@ def _metrics(bars: DataFrame, group: list[str]) -> DataFrame:
 def rolling_metrics(bars: DataFrame, split_rows: int | None = None) -> DataFrame:
     """ma_5, ma_20 and volatility_5 (sample deviation of the day's change in percent).
 
-    One shuffle by symbol. Bars are unique per symbol and date, which bounds a symbol
-    by the number of days: a century of bars is 36,525 rows, whatever the table holds,
-    and three times as many rows hold one symbol's third. For input without that key,
-    ``split_rows`` cuts longer symbols into blocks of whole months of about that many
-    rows; each block borrows the rows before it, so results are the same.
+    Rows of a symbol are ordered by date, rows of one date by their other columns; a missing
+    symbol is a symbol and a missing date comes first. Missing cells are skipped inside a
+    frame; one observation has no deviation.
 
-    Missing cells are skipped inside a frame; one observation has no deviation.
+    One shuffle by symbol. Bars are unique per symbol and date, which bounds a symbol by the
+    number of days: a century of bars is 36,525 rows. For input without that key,
+    ``split_rows`` deals all rows in order to blocks of about that many, whatever symbols and
+    dates they share, and each block borrows the rows before it: the results are the same.
     """
+    columns = [c for c in bars.columns if c not in ("symbol", "date")]
     if split_rows is None:
-        return _metrics(bars, ["symbol"])
-    if split_rows < LONG:
-        raise ValueError(f"split_rows must be at least {LONG}")
+        return _metrics(bars, ["symbol"], columns)
+    if split_rows < 1:
+        raise ValueError("split_rows must be positive")
 
-    month = F.trunc("date", "month")
-    monthly = bars.groupBy("symbol", month.alias("_month")).agg(F.count(F.lit(1)).alias("_rows"))
-    in_time = W.partitionBy("symbol").orderBy("_month")
-    before = F.sum("_rows").over(in_time) - F.col("_rows")
-    blocks = monthly.select("symbol", "_month", F.floor(before / split_rows).alias("_block"))
-    tagged = bars.withColumn("_month", month).join(blocks, ["symbol", "_month"]).drop("_month")
+    blocks = max(1, -(-bars.count() // split_rows))
+    # Written, so that a lost task cannot deal rows to other blocks than before.
+    path = shared_dir(bars.sparkSession, "rolling")
+    dealt = bars.repartitionByRange(blocks, "symbol", "date", *columns).withColumn("_block", F.spark_partition_id())
+    dealt.write.parquet(path)
+    dealt = bars.sparkSession.read.schema(dealt.schema).parquet(path)
 
-    # A block starts at the first month at or after a multiple of split_rows, so any two
-    # neighbouring blocks that are followed by a third hold at least split_rows rows
-    # together: the two before a block contain all the rows its frames reach back to.
+    # One row for each symbol and block: where its rows begin and end in the symbol's order.
     in_order = W.partitionBy("symbol").orderBy("_block")
-    following = (
-        blocks.select("symbol", "_block")
-        .distinct()
-        .withColumn("_next", F.array(F.lead("_block", 1).over(in_order), F.lead("_block", 2).over(in_order)))
-        .select("symbol", "_block", F.explode(F.array_compact("_next")).alias("_next"))
-    )
-    newest_first = W.partitionBy("symbol", "_block").orderBy(F.desc("date"))
-    tails = (
-        tagged.withColumn("_back", F.row_number().over(newest_first))
-        .filter(F.col("_back") < LONG)
-        .drop("_back")
+    sizes = dealt.groupBy("symbol", "_block").agg(F.count(F.lit(1)).alias("_rows"))
+    placed = sizes.withColumn("_end", F.sum("_rows").over(in_order))
+    # A frame reaches back over at most LONG - 1 rows, so over as many blocks at most.
+    later = F.collect_list(F.struct(F.col("_block").alias("to"), (F.col("_end") - F.col("_rows")).alias("begin"))).over(
+        in_order.rowsBetween(1, LONG - 1)
     )
+    followed = placed.select(F.col("symbol").alias("_symbol"), F.col("_block").alias("_from"), "_end", later.alias("_later"))
+    newest_first = W.partitionBy("symbol", "_block").orderBy(F.desc("date"), *[F.desc(c) for c in columns])
+    tails = dealt.withColumn("_back", F.row_number().over(newest_first)).filter(F.col("_back") < LONG)
+    same = F.col("symbol").eqNullSafe(F.col("_symbol")) & (F.col("_block") == F.col("_from"))
     borrowed = (
-        tails.join(following, ["symbol", "_block"])
-        .withColumn("_block", F.col("_next"))
-        .drop("_next")
-        .withColumn("_own", F.lit(False))
+        tails.join(followed, same)
+        .select(*bars.columns, "_back", "_end", F.explode("_later").alias("_next"))
+        .filter(F.col("_next.begin") - F.col("_end") + F.col("_back") < LONG)
+        .select(*bars.columns, F.col("_next.to").alias("_block"), F.lit(False).alias("_own"))
     )
-    whole = tagged.withColumn("_own", F.lit(True)).unionByName(borrowed)
-    return _metrics(whole, ["symbol", "_block"]).filter("_own").drop("_own", "_block")
+    whole = dealt.withColumn("_own", F.lit(True)).unionByName(borrowed)
+    return _metrics(whole, ["symbol", "_block"], columns).filter("_own").drop("_own", "_block")

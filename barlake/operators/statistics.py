@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from barlake.functions.keys import instant
 from barlake.functions.metrics import BAR_METRICS, PRICE_METRICS, pick
-from barlake.functions.numbers import exact_avg, report_round
+from barlake.functions.numbers import exact_avg, exact_total, report_round
 
 
 def symbol_stats(bars: DataFrame, symbol: str) -> DataFrame:
@@ -23,7 +23,7 @@ def symbol_stats(bars: DataFrame, symbol: str) -> DataFrame:
         F.min("date").alias("first_date"),
         F.max("date").alias("last_date"),
         exact_avg(F.col("close_price")).alias("avg_price"),
-        exact_avg(F.col("volume")).alias("avg_volume"),
+        exact_avg(F.col("volume").cast("decimal(20,0)")).alias("avg_volume"),
     )
 
 
@@ -35,7 +35,7 @@ def all_stats(bars: DataFrame) -> DataFrame:
             F.min("date").alias("first_date"),
             F.max("date").alias("last_date"),
             report_round(exact_avg(F.col("close_price")), 2).alias("avg_price"),
-            report_round(exact_avg(F.col("volume")), 0).alias("avg_volume"),
+            report_round(exact_avg(F.col("volume").cast("decimal(20,0)")), 0).alias("avg_volume"),
         )
         .orderBy("symbol")
     )
@@ -67,7 +67,7 @@ def price_trends(bars: DataFrame, limit: int = 1000) -> DataFrame:
 def trading_volume(bars: DataFrame, limit: int = 1000) -> DataFrame:
     return (
         bars.groupBy("date", "symbol")
-        .agg(F.sum("volume").alias("total_volume"))
+        .agg(exact_total(F.col("volume")).alias("total_volume"))
         .orderBy("date", "symbol")
         .limit(limit)
     )
@@ -91,7 +91,7 @@ def top_performers(bars: DataFrame, limit: int = 10) -> DataFrame:
         bars.groupBy("symbol")
         .agg(
             exact_avg(F.col("daily_change_percent")).alias("avg_change"),
-            F.sum("volume").alias("total_volume"),
+            exact_total(F.col("volume")).alias("total_volume"),
             exact_avg(F.col("close_price")).alias("avg_price"),
         )
         .orderBy(F.desc_nulls_last("avg_change"), "symbol")

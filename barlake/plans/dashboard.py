@@ -11,8 +11,7 @@ from barlake.operators.lookups import dashboard_filter
 from barlake.operators.ranking import latest_prices
 from barlake.sources.warehouse import Warehouse
 
-# Chart names and how many rows each may show; no chart shows more than
-# the last one.
+# Chart names and how many rows each shows unless asked otherwise.
 ROW_LIMITS = {
     "Stock Price Trends": 1000,
     "Trading Volume": 1000,
@@ -21,7 +20,6 @@ ROW_LIMITS = {
     "Price Range (High-Low)": 500,
     "Latest Prices": 20,
 }
-ANY_CHART_LIMIT = 5000
 
 BAR_CHARTS = {
     "Stock Price Trends": statistics.price_trends,
@@ -43,7 +41,7 @@ def bar_chart(
     """A chart over bars: symbols and days are filtered first, then the query is run."""
     if name not in BAR_CHARTS:
         raise ValueError(f"unknown chart: {name}")
-    rows = min(limit or ROW_LIMITS[name], ANY_CHART_LIMIT)
+    rows = ROW_LIMITS[name] if limit is None else limit
     return BAR_CHARTS[name](dashboard_filter(bars, as_of, symbols, last_days), rows)
 
 
@@ -52,11 +50,14 @@ def stored_bar_chart(
     warehouse: Warehouse,
     as_of: dt.date,
     symbols: list[str] | None = None,
-    last_days: int = 30,
+    last_days: int | None = 30,
     limit: int | None = None,
 ) -> DataFrame:
     """The same over the stored table, reading only the months of the days shown."""
-    bars = warehouse.bars(as_of - dt.timedelta(days=last_days), as_of)
+    if last_days is None:
+        bars = warehouse.read("daily_aggregates")
+    else:
+        bars = warehouse.bars(as_of - dt.timedelta(days=last_days), as_of)
     return bar_chart(name, bars, as_of, symbols, last_days, limit)
 
 
@@ -65,4 +66,4 @@ def latest_prices_chart(
 ) -> DataFrame:
     if symbols:
         prices = prices.filter(prices["symbol"].isin(symbols))
-    return latest_prices(prices, min(limit or ROW_LIMITS["Latest Prices"], ANY_CHART_LIMIT))
+    return latest_prices(prices, ROW_LIMITS["Latest Prices"] if limit is None else limit)

@@ -61,6 +61,20 @@ def raw_user_bars(spark: SparkSession, folder: str) -> DataFrame:
     return _roll_up(ticks, ["at", "event_id"])
 
 
+def raw_event_bars(spark: SparkSession, folder: str) -> DataFrame:
+    """A bar per event: many on a day of a user, at their own instants."""
+    value = F.col("value")
+    return table(spark, folder, "events").select(
+        F.concat(F.lit("U"), "user_id").alias("symbol"),
+        F.col("ts").cast("timestamp").alias("ts"),
+        value.alias("Open"),
+        (value + 2).alias("High"),
+        (value / 2).alias("Low"),
+        (value + F.when(F.col("event_id") % 3 == 0, 0.25).otherwise(-0.125)).alias("Close"),
+        (F.col("event_id") % 7).alias("Volume"),
+    )
+
+
 def raw_flag_bars(spark: SparkSession, folder: str) -> DataFrame:
     """A bar per return flag and ship date: three symbols share all rows."""
     line = table(spark, folder, "lineitem")

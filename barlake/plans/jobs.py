@@ -50,11 +50,15 @@ def run_daily_etl(
     checked.write.parquet(staged)
     checked = spark.read.schema(checked.schema).parquet(staged)
 
-    total, bad = checked.agg(F.count(F.lit(1)), F.count_if(F.col("reasons") != "")).first()
-    if bad and quarantine:
-        rejected(checked).write.mode("append").parquet(quarantine)
-    loaded = warehouse.upsert_bars(accepted(checked)) if total > bad else 0
-    status = "no_data" if total == 0 else "success" if loaded else "skipped"
+    try:
+        total, bad = checked.agg(F.count(F.lit(1)), F.count_if(F.col("reasons") != "")).first()
+        if bad and quarantine:
+            rejected(checked).write.mode("append").parquet(quarantine)
+        loaded = warehouse.upsert_bars(accepted(checked)) if total > bad else 0
+    finally:
+        warehouse.discard(staged)
+    # A day without data loads nothing, as does one of unusable rows: both are skipped.
+    status = "success" if loaded else "skipped"
     warehouse.log_run("daily_etl", day, status, loaded)
     return Report(day, status, loaded, bad)
 
@@ -83,8 +87,9 @@ def run_backfill(
     period: str = "1mo",
     zone: str | None = None,
 ) -> dict[str, object]:
-    """Load a period of all symbols at once."""
+    """Load a period of all symbols at once; of a symbol's bars on one day the last counts."""
     warehouse.create_missing()
-    loaded = warehouse.upsert_bars(history(raw, as_of, symbols, period=period, zone=zone))
+    bars = history(raw, as_of, symbols, period=period, zone=zone, keep_ts=True)
+    loaded = warehouse.upsert_bars(bars, sequence="ts")
     warehouse.log_run("historical_backfill", as_of, "success", loaded)
     return {"status": "success", "period": period, "total_loaded": loaded}

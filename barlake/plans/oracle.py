@@ -64,6 +64,22 @@ _FLAG = f"WITH {_FLAG_RAW}, {_ROLL_UP}, {_NORMALISE}"
 _USER = f"WITH {_USER_RAW}, {_ROLL_UP}, {_NORMALISE}"
 
 
+# A bar per event, at its own instant: normalised as the others, with the instant kept.
+_EVENT_RAW = """
+raw AS (
+  SELECT 'U' || user_id AS symbol, CAST(ts AS DATE) AS date, ts, value AS o, value + 2 AS h, value / 2 AS l,
+         value + CASE WHEN event_id % 3 = 0 THEN 0.25::DOUBLE ELSE -0.125::DOUBLE END AS c,
+         CAST(event_id % 7 AS BIGINT) AS v
+  FROM events)
+"""
+_EVENT = f"WITH {_EVENT_RAW}, {_NORMALISE.replace('SELECT symbol, date,', 'SELECT symbol, date, ts,')}"
+_VALUES = ["open_price", "close_price", "high_price", "low_price", "adj_close", "volume", "daily_change",
+           "daily_change_percent"]
+_FIRST = f"row_number() OVER (PARTITION BY symbol, date ORDER BY ts, {', '.join(f'{c} NULLS FIRST' for c in _VALUES)}) = 1"
+_LAST = f"row_number() OVER (PARTITION BY symbol, date ORDER BY ts DESC, {', '.join(f'{c} DESC NULLS LAST' for c in _VALUES)}) = 1"
+_FIRST_BARS = f"{_EVENT}, every AS (SELECT * FROM bars), firsts AS (SELECT * EXCLUDE (ts) FROM every QUALIFY {_FIRST})"
+
+
 def _avg(units: str) -> str:
     return f"CAST(sum({units}) AS DOUBLE) / 10000.0 / count({units})"
 
@@ -148,6 +164,8 @@ rolled AS (
          twenty AS (PARTITION BY symbol ORDER BY date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW))
 """
 
+_HOT_ORDER = "ORDER BY date, o_u, c_u, h_u, l_u, a_u, v NULLS FIRST, d_u NULLS FIRST, p_u NULLS FIRST"
+
 ORACLE: dict[str, str] = {
     # ---- point and range reads
     "stock_by_symbol": f"{_STOCKS} SELECT * FROM part_stock WHERE symbol = 'P17'",
@@ -223,7 +241,11 @@ ORACLE: dict[str, str] = {
     # ---- rolling metrics
     "moving_averages": f"""{_PART}, {_ROLLED.format(where='')}
         SELECT symbol, date, c_u / 10000.0 AS close_price, ma_5, ma_20 FROM rolled""",
-    "moving_averages_hot": f"""{_FLAG}, {_ROLLED.format(where='')}
+    "moving_averages_hot": f"""{_FLAG}, twice AS (
+        SELECT * REPLACE (CASE WHEN symbol <> 'R' THEN symbol END AS symbol) FROM (
+            SELECT *, c_u AS a_u FROM bar_u
+            UNION ALL SELECT * REPLACE (l_u AS c_u), c_u AS a_u FROM bar_u WHERE day(date) <= 10)),
+        {_ROLLED.format(where='').replace('FROM bar_u', 'FROM twice').replace('ORDER BY date', _HOT_ORDER)}
         SELECT symbol, date, c_u / 10000.0 AS close_price, ma_5, ma_20 FROM rolled""",
     "volatility": f"""{_USER}, {_ROLLED.format(where='')}
         SELECT symbol, date, p_u / 10000.0 AS daily_change_percent, volatility_5 FROM rolled""",
@@ -240,8 +262,8 @@ ORACLE: dict[str, str] = {
         FROM quote ORDER BY timestamp DESC, stock_price_id DESC LIMIT 20""",
     "first_bar_per_symbol": f"""{_PART} SELECT * FROM bars
         QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY date) = 1""",
-    "daily_bars": f"{_USER} SELECT * FROM bars WHERE date = DATE '2024-01-15'",
-    "yesterday_bars": f"{_USER} SELECT * FROM bars WHERE date = DATE '2024-01-14'",
+    "daily_bars": f"{_FIRST_BARS} SELECT * FROM firsts WHERE date = DATE '2024-01-15'",
+    "yesterday_bars": f"{_FIRST_BARS} SELECT * FROM firsts WHERE date = DATE '2024-01-14'",
     "history_between_dates": f"""{_USER} SELECT * FROM bars
         WHERE date >= DATE '2024-01-15' AND date < DATE '2024-01-31'""",
     "top_movers": f"""{_USER}, last AS (
@@ -349,10 +371,13 @@ ORACLE: dict[str, str] = {
         FROM bar_u WHERE date >= DATE '2024-01-24' AND date < DATE '2024-01-31'
         GROUP BY date, symbol ORDER BY date, symbol LIMIT 500""",
     "backfill": f"{_PART} {_BLANKED}",
-    "daily_etl": f"{_USER} {_BLANKED} WHERE date IN (DATE '2024-01-15', DATE '2024-01-16')",
-    "run_report": f"""{_USER} SELECT 'daily_etl' AS job, DATE '2024-01-15' AS execution_date,
-        'success' AS status, count(*) AS records_loaded FROM bars WHERE date = DATE '2024-01-15'
-        UNION ALL SELECT 'daily_etl', DATE '2000-01-01', 'no_data', 0""",
+    "backfill_intraday": f"""{_EVENT}, lasts AS (SELECT * EXCLUDE (ts) FROM bars QUALIFY {_LAST})
+        {_BLANKED.replace('FROM bars', 'FROM lasts')}""",
+    "daily_etl": f"""{_FIRST_BARS} {_BLANKED.replace('FROM bars', 'FROM firsts')}
+        WHERE date IN (DATE '2024-01-15', DATE '2024-01-16')""",
+    "run_report": f"""{_FIRST_BARS} SELECT 'daily_etl' AS job, DATE '2024-01-15' AS execution_date,
+        'success' AS status, count(*) AS records_loaded FROM firsts WHERE date = DATE '2024-01-15'
+        UNION ALL SELECT 'daily_etl', DATE '2000-01-01', 'skipped', 0""",
     # ---- streams
     "sliding_window_stats": f"{_WINDOWS} SELECT * FROM windows",
     "publish_quotes": f"{_QUOTES} SELECT symbol AS key, count(*) AS messages FROM quote GROUP BY symbol",

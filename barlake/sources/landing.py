@@ -79,6 +79,7 @@ def history(
     period: str = "1mo",
     zone: str | None = None,
     strict_symbol: bool = False,
+    keep_ts: bool = False,
 ) -> DataFrame:
     """Normalised daily bars of the given symbols, all in one scan.
 
@@ -88,7 +89,7 @@ def history(
     if not (start and end):
         start, end = period_start(period, as_of), as_of + dt.timedelta(days=1)
     wanted = raw_bars_between(in_universe(raw, symbols), start, end, zone)
-    return normalize_bars(wanted, zone, strict_symbol)
+    return normalize_bars(wanted, zone, strict_symbol, keep_ts)
 
 
 def day_bars(
@@ -96,7 +97,8 @@ def day_bars(
 ) -> DataFrame:
     """The first bar of each symbol on one day; symbols without one are absent."""
     following = day + dt.timedelta(days=1)
-    return first_bar_per_symbol(history(raw, day, symbols, day, following, zone=zone))
+    bars = history(raw, day, symbols, day, following, zone=zone, keep_ts=True)
+    return first_bar_per_symbol(bars).drop("ts")
 
 
 def yesterday_bars(

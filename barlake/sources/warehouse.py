@@ -179,7 +179,7 @@ class Warehouse:
         target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return target.getFileSystem(self.spark._jsc.hadoopConfiguration()), target
 
-    def _discard(self, path: str) -> None:
+    def discard(self, path: str) -> None:
         fs, target = self._fs(path)
         fs.delete(target, True)
 
@@ -279,13 +279,17 @@ class Warehouse:
 
         staged = shared_dir(self.spark, f"{table.name}-batch")
         batch.write.parquet(staged)
-        new = self.spark.read.schema(batch.schema).parquet(staged)
-        self._require(new, key)
-        copies = new.agg(F.sum("_copies"), F.count(F.lit(1))).first()
-        count, distinct = copies[0] or 0, copies[1]
-        if distinct:
-            self._merge_in(table, new, updated, distinct)
-        self._discard(staged)
+        try:
+            new = self.spark.read.schema(batch.schema).parquet(staged)
+            self._require(new, key)
+            found = new.agg(F.sum("_copies"), F.count(F.lit(1)), F.max("_copies")).first()
+            count, distinct, most = found[0] or 0, found[1], found[2] or 0
+            if most > 1 and sequence is None:
+                raise KeyViolation(f"{table.name}: rows share a key; name the column that orders them")
+            if distinct:
+                self._merge_in(table, new, updated, distinct)
+        finally:
+            self.discard(staged)
         return count
 
     def _merge_in(self, table: Table, new: DataFrame, updated: list[str], distinct: int) -> None:
@@ -304,7 +308,7 @@ class Warehouse:
         if not max(before, distinct) <= after <= before + distinct:
             raise RuntimeError(f"{table.name}: {after} rows from {before} old and {distinct} new ones")
         self._publish(table, merged)
-        self._discard(self._replacement(table))
+        self.discard(self._replacement(table))
 
     def _require(self, rows: DataFrame, columns: list[str]) -> None:
         missing = [F.count_if(F.col(c).isNull()).alias(c) for c in columns]
@@ -351,7 +355,7 @@ class Warehouse:
             repeated = not duplicate_keys(new, ids).isEmpty()
             known = stored.select(*ids).join(new.select(*ids), ids, "left_semi")
             if repeated or not known.isEmpty():
-                self._discard(staged)
+                self.discard(staged)
                 raise KeyViolation("stock_price_id occurs twice")
             fresh = new
         else:
@@ -368,9 +372,9 @@ class Warehouse:
         added = fresh.count()
         if added:
             self._save(fresh, table, self.path(table), "append")
-        self._discard(staged)
+        self.discard(staged)
         if on_duplicate == "skip":
-            self._discard(picked)
+            self.discard(picked)
         return added
 
     def seed_stocks(self, seeds: DataFrame | None = None) -> int:
@@ -416,10 +420,10 @@ class Warehouse:
                 stored = self.stored(table).select(*key)
                 clash = stored.join(new.select(*key), list(key), "left_semi")
                 if not (duplicate_keys(new, list(key)).isEmpty() and clash.isEmpty()):
-                    self._discard(staged)
+                    self.discard(staged)
                     raise KeyViolation(f"{table.name}: {key} occurs twice")
             self._save(new, table, self.path(table), "append")
-        self._discard(staged)
+        self.discard(staged)
         return count
 
     def log_run(self, job: str, execution_date: dt.date | None, status: str, loaded: int) -> DataFrame:
