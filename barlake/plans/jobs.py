@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from barlake.operators.quarantine import accepted, rejected
 from barlake.operators.rolling import rolling_metrics
+from barlake.operators.statistics import all_stats, performance_summary
 from barlake.operators.validate import check_bar_records, clean_nulls
 from barlake.session import shared_dir
 from barlake.sources.landing import day_bars, history
@@ -79,6 +80,17 @@ def run_historical_etl(
     return rolling_metrics(history(raw, as_of, symbols, period=period, zone=zone), split_rows)
 
 
+def run_everything(warehouse: Warehouse, raw: DataFrame, as_of: dt.date, symbols: DataFrame | None = None) -> DataFrame:
+    """From landed bars to a summary: create the tables, load all bars, compute the rolling
+    metrics of what is stored, and give each symbol's statistics with its latest metrics."""
+    run_backfill(warehouse, raw, as_of, symbols, "max")
+    bars = warehouse.read("daily_aggregates")
+    rolled = rolling_metrics(bars).select("symbol", "date", "ma_5", "ma_20", "volatility_5")
+    last = rolled.groupBy("symbol").agg(F.max(F.struct("date", "ma_5", "ma_20", "volatility_5")).alias("last"))
+    newest = last.select("symbol", "last.ma_5", "last.ma_20", "last.volatility_5")
+    return performance_summary(bars).join(all_stats(bars).select("symbol", "record_count", "avg_volume"), "symbol").join(newest, "symbol")
+
+
 def run_backfill(
     warehouse: Warehouse,
     raw: DataFrame,

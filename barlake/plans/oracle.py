@@ -389,5 +389,7 @@ ORACLE: dict[str, str] = {
         SELECT CASE WHEN bad_symbol AND bad_price THEN 'symbol; price' WHEN bad_symbol THEN 'symbol'
                     WHEN bad_price THEN 'price' ELSE '' END AS reasons, count(*) AS rows
         FROM message GROUP BY 1""",
+    "pipeline_stops_at_n": f"""{_QUOTES} SELECT count(*) AS stored, TRUE AS kept_to_limit,
+        count(*) AS written FROM quote""",
     "stream_to_warehouse": f"{_QUOTES} SELECT {_QUOTE_COLUMNS} FROM quote",
 }

@@ -588,11 +588,15 @@ def sliding_stats_stream(spark, folder):
 
 @query
 def sliding_stats_updates(spark, folder):
-    """The same in update mode: the newest state of every window, open ones included."""
-    path, checkpoint = shared_dir(spark, "windows"), shared_dir(spark, "checkpoint")
-    stream_jobs.keep_latest_windows(_published(spark, folder), path, checkpoint).awaitTermination()
+    """The same in update mode: the newest state of every window, open ones included, after
+    a second run with a checkpoint of its own."""
+    path, records = shared_dir(spark, "windows"), _published(spark, folder)
+    for _ in range(2):
+        checkpoint = shared_dir(spark, "checkpoint")
+        stream_jobs.keep_latest_windows(records, path, checkpoint).awaitTermination()
     columns = flat_windows(sliding_stats(given.quotes(spark, folder))).schema
-    return stream_jobs.latest_windows(spark.read.schema(columns.add("batch_id", "long")).parquet(path))
+    states = columns.add("written_at", "timestamp").add("run", "string").add("batch_id", "long")
+    return stream_jobs.latest_windows(spark.read.schema(states).parquet(path))
 
 
 @query
@@ -620,13 +624,34 @@ def stream_rejects(spark, folder):
     return bad.agg(F.count(F.lit(1)).alias("rows")).unionByName(good.agg(F.count(F.lit(1)).alias("rows")))
 
 
+@query
+def pipeline_stops_at_n(spark, folder):
+    """Ten files of messages, one for each micro-batch: the job ends before the one that
+    would exceed the limit, and a second run goes on from there."""
+    warehouse = _warehouse(spark)
+    path, checkpoint = shared_dir(spark, "topic"), shared_dir(spark, "checkpoint")
+    quotes = given.quotes(spark, folder)
+    for part in range(10):
+        topics.publish(quotes.filter(F.crc32("stock_price_id") % 10 == part).coalesce(1), fmt="parquet", path=path)
+    limit = quotes.count() // 3
+    runs = []
+    for most in (limit, None):
+        records = topics.read_topic(spark, {"maxFilesPerTrigger": "1"}, "parquet", path)
+        runs.append(stream_jobs.run_consumer_pipeline(records, warehouse, checkpoint, max_messages=most))
+    stored = warehouse.read("stock_prices").agg(F.count(F.lit(1)).alias("stored"))
+    return stored.select("stored", F.lit(0 < runs[0] <= limit).alias("kept_to_limit"), F.lit(sum(runs)).cast("long").alias("written"))
+
+
 @query
 def stream_to_warehouse(spark, folder):
-    """Topic to price table, from a topic that holds every message twice."""
+    """Topic to price table, from a topic that holds every message twice, the second time
+    dated a day later."""
     warehouse = _warehouse(spark)
     path = shared_dir(spark, "topic")
-    for _ in range(2):
-        topics.publish(given.quotes(spark, folder), fmt="parquet", path=path)
+    quotes = given.quotes(spark, folder)
+    later = quotes.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 DAY"))
+    for sent in (quotes, later):
+        topics.publish(sent, fmt="parquet", path=path)
     records = topics.read_topic(spark, {"maxFilesPerTrigger": "4"}, "parquet", path)
     stream_jobs.run_consumer_pipeline(records, warehouse, shared_dir(spark, "checkpoint"))
     return _plain(warehouse.read("stock_prices"))

@@ -323,18 +323,16 @@ class Warehouse:
         self,
         quotes: DataFrame,
         on_duplicate: str = "error",
-        within: str = "table",
         source: str = schemas.QUOTE_SOURCE,
     ) -> int:
         """Append quotes; returns the number of rows added.
 
         ``on_duplicate='error'`` adds nothing if an id occurs twice in the input or is
-        already stored; ``'skip'`` adds each new id once. ``within='day'`` looks for
-        stored ids only in the days the input has rows for: a message sent again carries
-        the same timestamp, and a stream cannot scan the whole table per micro-batch.
+        already stored, on whatever day; ``'skip'`` adds each new id once. The check reads
+        the id column of the table only, and a small batch is sent to it.
         """
-        if on_duplicate not in ("error", "skip") or within not in ("table", "day"):
-            raise ValueError("on_duplicate is 'error' or 'skip', within is 'table' or 'day'")
+        if on_duplicate not in ("error", "skip"):
+            raise ValueError("on_duplicate is 'error' or 'skip'")
         table = STOCK_PRICES
         types = {f.name: f.dataType for f in table.schema.fields if f.name != "created_at"}
         rows = zero_quotes_as_null(with_quote_defaults(quotes, source))
@@ -342,38 +340,30 @@ class Warehouse:
         rows = table.with_partition(rows.withColumn("created_at", F.current_timestamp()))
 
         staged = shared_dir(self.spark, f"{table.name}-batch")
+        picked = shared_dir(self.spark, f"{table.name}-picked")
         rows.write.parquet(staged)
-        new = self.spark.read.schema(rows.schema).parquet(staged)
-        self._require(new, ["stock_price_id", "symbol", "price", "timestamp"])
-
-        stored = self.stored(table)
-        if within == "day":
-            days = [r[0] for r in new.select("day").distinct().collect()]
-            stored = stored.filter(F.col("day").isin(days))
-        ids = ["stock_price_id"]
-        if on_duplicate == "error":
-            repeated = not duplicate_keys(new, ids).isEmpty()
-            known = stored.select(*ids).join(new.select(*ids), ids, "left_semi")
-            if repeated or not known.isEmpty():
-                self.discard(staged)
-                raise KeyViolation("stock_price_id occurs twice")
-            fresh = new
-        else:
-            rest = [c for c in table.stored.names if c not in ids]
-            first = F.min(F.struct("timestamp", *[c for c in rest if c != "timestamp"])).alias("_row")
-            single = new.groupBy(*ids).agg(first).select(*ids, "_row.*")
-            fresh = unseen(single, stored, ids)
-
-        if on_duplicate == "skip":
-            # Counted from a written table: the anti-join must not see its own output.
-            picked = shared_dir(self.spark, f"{table.name}-picked")
-            fresh.write.parquet(picked)
-            fresh = self.spark.read.schema(table.stored).parquet(picked)
-        added = fresh.count()
-        if added:
-            self._save(fresh, table, self.path(table), "append")
-        self.discard(staged)
-        if on_duplicate == "skip":
+        try:
+            new = self.spark.read.schema(rows.schema).parquet(staged)
+            self._require(new, ["stock_price_id", "symbol", "price", "timestamp"])
+            stored = self.stored(table)
+            ids = ["stock_price_id"]
+            if on_duplicate == "error":
+                known = stored.select(*ids).join(new.select(*ids), ids, "left_semi")
+                if not duplicate_keys(new, ids).isEmpty() or not known.isEmpty():
+                    raise KeyViolation("stock_price_id occurs twice")
+                fresh = new
+            else:
+                rest = [c for c in table.stored.names if c not in ids]
+                first = F.min(F.struct("timestamp", *[c for c in rest if c != "timestamp"])).alias("_row")
+                single = new.groupBy(*ids).agg(first).select(*ids, "_row.*")
+                # Counted from a written table: the anti-join must not see its own output.
+                unseen(single, stored, ids).write.parquet(picked)
+                fresh = self.spark.read.schema(table.stored).parquet(picked)
+            added = fresh.count()
+            if added:
+                self._save(fresh, table, self.path(table), "append")
+        finally:
+            self.discard(staged)
             self.discard(picked)
         return added
 
@@ -412,18 +402,19 @@ class Warehouse:
     def _append_staged(self, table: Table, rows: DataFrame) -> int:
         staged = shared_dir(self.spark, f"{table.name}-batch")
         table.with_partition(rows).write.parquet(staged)
-        new = self.spark.read.schema(table.stored).parquet(staged)
-        count = new.count()
-        if count:
-            self._require(new, [f.name for f in table.schema.fields if not f.nullable])
-            for key in {table.key, (table.schema.names[0],)} if table.key else ():
-                stored = self.stored(table).select(*key)
-                clash = stored.join(new.select(*key), list(key), "left_semi")
-                if not (duplicate_keys(new, list(key)).isEmpty() and clash.isEmpty()):
-                    self.discard(staged)
-                    raise KeyViolation(f"{table.name}: {key} occurs twice")
-            self._save(new, table, self.path(table), "append")
-        self.discard(staged)
+        try:
+            new = self.spark.read.schema(table.stored).parquet(staged)
+            count = new.count()
+            if count:
+                self._require(new, [f.name for f in table.schema.fields if not f.nullable])
+                for key in {table.key, (table.schema.names[0],)} if table.key else ():
+                    stored = self.stored(table).select(*key)
+                    clash = stored.join(new.select(*key), list(key), "left_semi")
+                    if not (duplicate_keys(new, list(key)).isEmpty() and clash.isEmpty()):
+                        raise KeyViolation(f"{table.name}: {key} occurs twice")
+                self._save(new, table, self.path(table), "append")
+        finally:
+            self.discard(staged)
         return count
 
     def log_run(self, job: str, execution_date: dt.date | None, status: str, loaded: int) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
@@ -101,43 +102,64 @@ def run_consumer_pipeline(
 
     Copies are found against the table itself, so a late quote is still stored.
     ``drain`` handles what the source holds and stops. ``max_messages`` (none or 0: no
-    limit) ends the job after the micro-batch that reaches it; limit the source per
-    trigger for small batches. ``quarantine`` is a folder for the unusable messages and
-    why they are; each micro-batch has its own subfolder, replaced if it is sent again.
-    ``on_process`` sees the quotes of each micro-batch.
+    limit) is never exceeded: the job ends before the micro-batch that would, and the next
+    start reads that one first. It counts the messages seen, good or not, in whole
+    micro-batches, so it needs a source limited per trigger: a first micro-batch that alone
+    exceeds it is an error. ``quarantine`` is a folder for the unusable messages and why
+    they are; each micro-batch of each checkpoint has its own subfolder, replaced if it is
+    sent again. ``on_process`` sees the quotes of each micro-batch.
     """
     warehouse.create_missing()
     written: list[int] = []
-
-    def may_go_on() -> bool:
-        return not max_messages or sum(written) < max_messages
+    stop = _Stop()
+    seen = 0
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not may_go_on():
-            raise sinks.EnoughSeen
+        nonlocal seen
         # Decoded once for both outputs; a lost block is decoded again to the same rows.
         checked = batch.persist()
-        quotes = accepted(checked).drop("value", "record_timestamp")
-        written.append(warehouse.append_prices(quotes, "skip", "day", "kafka"))
-        bad = rejected(checked).select("value", "record_timestamp", "reasons")
-        if quarantine and not bad.isEmpty():
-            bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
-        if on_process:
-            on_process(quotes, batch_id)
-        checked.unpersist()
+        try:
+            if max_messages:
+                messages = checked.count()
+                if messages > max_messages:
+                    raise ValueError(
+                        f"a micro-batch has {messages} messages, max_messages is {max_messages}: limit the source per trigger"
+                    )
+                if seen + messages > max_messages:
+                    stop.now()
+                seen += messages
+            quotes = accepted(checked).drop("value", "record_timestamp")
+            written.append(warehouse.append_prices(quotes, "skip", source="kafka"))
+            bad = rejected(checked).select("value", "record_timestamp", "reasons")
+            if quarantine and not bad.isEmpty():
+                run = sinks.run_id(warehouse.spark, checkpoint)
+                bad.write.mode("overwrite").parquet(f"{quarantine}/run={run}/batch_id={batch_id}")
+            if on_process:
+                on_process(quotes, batch_id)
+        finally:
+            checked.unpersist()
 
     checked = check_messages(records)
-    query = sinks.write_batches(checked, write, checkpoint, every=every, drain=drain)
-    _await_or_enough(query, may_go_on)
+    stop.wait(sinks.write_batches(checked, write, checkpoint, every=every, drain=drain))
     return sum(written)
 
 
-def _await_or_enough(query: StreamingQuery, may_go_on: Callable[[], bool]) -> None:
-    try:
-        query.awaitTermination()
-    except StreamingQueryException:
-        if may_go_on():
-            raise
+class _Stop:
+    """Ends a query from within a micro-batch; every other error is the caller's."""
+
+    def __init__(self) -> None:
+        self.raised = False
+
+    def now(self) -> None:
+        self.raised = True
+        raise sinks.EnoughSeen
+
+    def wait(self, query: StreamingQuery) -> None:
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            if not self.raised:
+                raise
 
 
 def publish_continuously(
@@ -157,19 +179,16 @@ def publish_continuously(
     published when the job is started again.
     """
     sent: list[int] = []
-
-    def may_go_on() -> bool:
-        return max_rounds is None or len(sent) < max_rounds
+    stop = _Stop()
 
     def round_(batch: DataFrame, batch_id: int) -> None:
-        if not may_go_on():
-            raise sinks.EnoughSeen
+        if max_rounds is not None and len(sent) >= max_rounds:
+            stop.now()
         sent.append(publish(batch, options, fmt, path))
         if on_round:
             on_round(batch, batch_id)
 
-    query = sinks.write_batches(quotes, round_, checkpoint, every=interval, drain=drain)
-    _await_or_enough(query, may_go_on)
+    stop.wait(sinks.write_batches(quotes, round_, checkpoint, every=interval, drain=drain))
     return sent
 
 
@@ -178,19 +197,24 @@ def keep_latest_windows(
 ) -> StreamingQuery:
     """Sliding statistics as one row per symbol and window, updated as quotes arrive.
 
-    Each micro-batch's changed windows are one folder, replaced if the batch is sent
-    again; :func:`latest_windows` reads the newest state of each window.
+    Each micro-batch's changed windows are one folder of its checkpoint's run, replaced if
+    the batch is sent again; :func:`latest_windows` reads the newest state of each window.
+    A run with a new checkpoint starts its windows anew, and its states are the newer ones.
     """
     stats = flat_windows(sliding_stats(decode_permissive(records)))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        run = sinks.run_id(batch.sparkSession, checkpoint)
+        stamped = batch.withColumn("written_at", F.lit(dt.datetime.now(dt.timezone.utc)))
+        stamped.write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
 
     return sinks.write_batches(stats, write, checkpoint, "update", drain=drain)
 
 
 def latest_windows(states: DataFrame) -> DataFrame:
+    """The newest state of each window, by the time its micro-batch was written."""
     key = ["symbol", "window_start", "window_end"]
-    rest = [c for c in states.columns if c not in (*key, "batch_id")]
-    newest = F.max(F.struct("batch_id", *rest)).alias("newest")
+    order = ["written_at", "batch_id"]
+    rest = [c for c in states.columns if c not in (*key, *order, "run")]
+    newest = F.max(F.struct(*order, *rest)).alias("newest")
     return states.groupBy(*key).agg(newest).select(*key, *[f"newest.{c}" for c in rest])

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
@@ -79,6 +80,12 @@ class EnoughSeen(Exception):
     start reads it again."""
 
 
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a checkpoint gives its query: the same when the query is started again,
+    another one for another checkpoint. Known once the query has started."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+
+
 def append_to_warehouse(
     quotes: DataFrame,
     warehouse: Warehouse,
@@ -91,7 +98,7 @@ def append_to_warehouse(
     """Append every micro-batch to the price table; a batch sent again adds nothing."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        written = warehouse.append_prices(batch, on_duplicate="skip", within="day", source="kafka")
+        written = warehouse.append_prices(batch, on_duplicate="skip", source="kafka")
         if on_batch:
             on_batch(batch, batch_id)
         if on_written:

@@ -79,9 +79,9 @@ def test_daily_etl_is_repeatable_and_reports(spark, warehouse, tmp_path):
         assert (report.status, report.records_loaded, report.rejected) == ("success", 2, 1)
     assert warehouse.read("daily_aggregates").count() == 2
     assert spark.read.parquet(str(tmp_path / "bad")).first().reasons == "symbol: longer than 10"
-    assert jobs.run_daily_etl(warehouse, source, D(2030, 1, 1)).status == "no_data"
+    assert jobs.run_daily_etl(warehouse, source, D(2030, 1, 1)).status == "skipped"
     assert jobs.run_daily_etl(warehouse, source, D(2024, 1, 15), ["TOOLONGSYMBOL"]).status == "skipped"
-    assert sorted(r.status for r in warehouse.read("job_runs").collect()) == ["no_data", "skipped", "success", "success"]
+    assert sorted(r.status for r in warehouse.read("job_runs").collect()) == ["skipped", "skipped", "success", "success"]
 
 
 def test_historical_etl_keeps_flat_days_and_stores_nothing(spark, warehouse):

@@ -153,3 +153,35 @@ def test_range_shape_and_key_rules(spark):
     twice = spark.createDataFrame([(1,), (1,), (2,)], "k int")
     assert [tuple(r) for r in duplicate_keys(twice, ["k"]).collect()] == [(1, 2)]
     assert clean_nulls(prices, ["price"]).count() == 3
+
+
+def test_extreme_prices_are_rejected_not_raised(spark):
+    rows = [("A", dt.datetime(2024, 1, 1), 99999999.0, 1.0, 1.0, -99999999.0, 1), ("B", dt.datetime(2024, 1, 1), 0.0001, 1.0, 1.0, 99999999.0, 1)]
+    raw = spark.createDataFrame(rows, "symbol string, ts timestamp, Open double, High double, Low double, Close double, Volume long")
+    got = {r.symbol: r.reasons for r in check_bars(raw).collect()}
+    assert got == {"A": "", "B": "percent out of range"}
+
+
+def test_every_reason_is_counted(spark):
+    nan = float("nan")
+    rows = [
+        (None, dt.datetime(2024, 1, 1), 1.0, 1.0, 1.0, 1.0, 1),
+        ("B", None, 1.0, 1.0, 1.0, 1.0, 1),
+        ("C", dt.datetime(2024, 1, 1), nan, 1.0, 1.0, 1.0, 1),
+        ("D", dt.datetime(2024, 1, 1), 1e9, 1.0, 1.0, 1.0, 1),
+        ("E", dt.datetime(2024, 1, 1), 0.0001, 1.0, 1.0, 1e6, 1),
+    ]
+    raw = spark.createDataFrame(rows, "symbol string, ts timestamp, Open double, High double, Low double, Close double, Volume long")
+    got = {r.reason: r["rows"] for r in reject_counts(check_bars(raw)).collect()}
+    assert got == {"symbol missing": 1, "date missing": 1, "not a number": 1, "price out of range": 1, "percent out of range": 1}
+
+
+def test_first_and_last_bar_of_a_day_go_by_instant(spark, warehouse):
+    from barlake.plans import jobs
+
+    at = lambda hour: dt.datetime(2024, 1, 15, hour)
+    rows = [("A", at(15), 50.0, 60.0, 40.0, 55.0, 1), ("A", at(9), 100.0, 110.0, 90.0, 105.0, 1)]
+    raw = spark.createDataFrame(rows, "symbol string, ts timestamp, Open double, High double, Low double, Close double, Volume long")
+    assert [float(r.open_price) for r in jobs.daily_bars(raw, dt.date(2024, 1, 15), ["A"]).collect()] == [100.0]
+    jobs.run_backfill(warehouse, raw, dt.date(2024, 1, 20), ["A"], period="max")
+    assert [float(r.open_price) for r in warehouse.read("daily_aggregates").collect()] == [50.0]

@@ -137,3 +137,23 @@ def test_charts_filter_then_limit(bars, prices):
 def test_top_by_metric(bars):
     rows = statistics.top_by_metric(bars, ["avg_daily_change", "total_volume"]).collect()
     assert [(r.symbol, r.total_volume) for r in rows] == [("AAPL", 2_200_000), ("GOOGL", None)]
+
+
+def test_totals_pass_64_bits(spark):
+    from barlake.operators import statistics
+
+    rows = [("A", dt.date(2024, 1, d), Decimal(1), 9 * 10**18) for d in (1, 2)]
+    bars = spark.createDataFrame(rows, "symbol string, date date, close_price decimal(12,4), volume long")
+    assert statistics.all_stats(bars).first().avg_volume == 9e18
+    assert statistics.symbol_stats(bars, "A").first().avg_volume == 9e18
+    assert bars.groupBy().agg(statistics.exact_total(bars["volume"]).alias("v")).first().v == 18 * 10**18
+
+
+def test_an_asked_limit_is_kept(spark):
+    from barlake.plans import dashboard
+
+    rows = [(f"S{n}", Decimal(1), 1, dt.datetime(2024, 1, 1), str(n)) for n in range(6000)]
+    prices = spark.createDataFrame(rows, "symbol string, price decimal(12,4), volume long, timestamp timestamp, stock_price_id string")
+    assert dashboard.latest_prices_chart(prices, limit=5500).count() == 5500
+    assert dashboard.latest_prices_chart(prices, limit=0).count() == 0
+    assert dashboard.latest_prices_chart(prices).count() == 20

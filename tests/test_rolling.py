@@ -71,3 +71,11 @@ def test_empty_in_empty_out(spark):
 def test_split_must_cover_a_frame(spark):
     with pytest.raises(ValueError):
         rolling_metrics(spark.createDataFrame([], SCHEMA), 19)
+
+
+@pytest.mark.parametrize("split_rows", [20, 23])
+def test_missing_symbols_dates_and_shared_days_survive_the_split(spark, split_rows):
+    rows = [(s, d, Decimal(n), Decimal(n % 7)) for s in ("A", None) for d in (None, dt.date(2024, 1, 1), dt.date(2024, 1, 2)) for n in range(15)]
+    bars = spark.createDataFrame(rows, "symbol string, date date, close_price decimal(12,4), daily_change_percent decimal(8,4)")
+    key = lambda frame: sorted(map(repr, frame.collect()))
+    assert key(rolling_metrics(bars, split_rows).select(*rolling_metrics(bars).columns)) == key(rolling_metrics(bars))

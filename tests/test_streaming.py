@@ -3,6 +3,7 @@ import json
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from barlake.operators.sliding import flat_windows, sliding_stats
@@ -199,3 +200,39 @@ def test_append_sink(spark, warehouse, tmp_path):
             rows, warehouse, str(tmp_path / checkpoint), on_written=counts.append, drain=True
         ).awaitTermination()
     assert counts == [2, 0]
+
+
+def test_a_first_batch_beyond_the_limit_is_an_error(spark, warehouse, tmp_path):
+    topics.publish(quotes(spark, *[(n, "A", "1", n) for n in range(5)]), fmt="parquet", path=str(tmp_path / "t"))
+    with pytest.raises(StreamingQueryException, match="limit the source per trigger"):
+        jobs.run_consumer_pipeline(topic(spark, tmp_path / "t"), warehouse, str(tmp_path / "cp"), 2)
+    assert warehouse.read("stock_prices").isEmpty()
+
+
+def test_errors_of_a_batch_are_raised_with_a_limit_too(spark, warehouse, tmp_path):
+    topics.publish(quotes(spark, (1, "A", "1", 0)), fmt="parquet", path=str(tmp_path / "t"))
+
+    def fail(batch, batch_id):
+        raise RuntimeError("broken callback")
+
+    with pytest.raises(StreamingQueryException, match="broken callback"):
+        jobs.run_consumer_pipeline(topic(spark, tmp_path / "t"), warehouse, str(tmp_path / "cp"), 1, on_process=fail)
+
+
+def test_quarantines_of_two_checkpoints_stay_apart(spark, warehouse, tmp_path):
+    raw = "key binary, value binary, timestamp timestamp"
+    for n in range(2):
+        path = str(tmp_path / f"t{n}")
+        rows = spark.createDataFrame([(b"A", b"junk %d" % n, dt.datetime(2024, 1, 1))], raw)
+        rows.write.parquet(path)
+        jobs.run_consumer_pipeline(topic(spark, path), warehouse, str(tmp_path / f"cp{n}"), quarantine=str(tmp_path / "bad"))
+    assert spark.read.parquet(str(tmp_path / "bad")).count() == 2
+
+
+def test_windows_of_a_new_checkpoint_replace_the_old_ones(spark, tmp_path):
+    path = str(tmp_path / "w")
+    for n in range(2):
+        topics.publish(quotes(spark, (n, "A", str(5 + n), 0)), fmt="parquet", path=str(tmp_path / "t"))
+        jobs.keep_latest_windows(topic(spark, tmp_path / "t", maxFilesPerTrigger=1), path, str(tmp_path / f"cp{n}")).awaitTermination()
+    got = {(r.trade_count, float(r.max_price)) for r in jobs.latest_windows(spark.read.parquet(path)).collect()}
+    assert got == {(2, 6.0)}

@@ -114,7 +114,7 @@ def test_interrupted_replacement_is_finished_by_the_next_writer(spark, warehouse
     # A driver lost after staging the replacement and deleting the month it replaces.
     full = warehouse.stored(DAILY_AGGREGATES).withColumn("close_price", F.lit(7).cast("decimal(12,4)"))
     warehouse._save(full, DAILY_AGGREGATES, f"{warehouse._replacement(DAILY_AGGREGATES)}/x", "error")
-    warehouse._discard(f"{warehouse.path(DAILY_AGGREGATES)}/month=2024-01")
+    warehouse.discard(f"{warehouse.path(DAILY_AGGREGATES)}/month=2024-01")
     warehouse.upsert_bars(spark.createDataFrame([bar("A", jan, "2")], BAR))
     got = {r.symbol: r.close_price for r in warehouse.read("daily_aggregates").collect()}
     assert got == {"A": Decimal("2"), "B": Decimal("7")}
@@ -135,8 +135,8 @@ def test_prices_append_and_refuse_known_ids(spark, warehouse):
 def test_prices_skip_known_ids(spark, warehouse):
     warehouse.append_prices(spark.createDataFrame([quote("a")], QUOTE))
     again = spark.createDataFrame([quote("a"), quote("c", price="2"), quote("c", price="2"), quote("d")], QUOTE)
-    for within in ("table", "day"):
-        warehouse.append_prices(again, on_duplicate="skip", within=within)
+    for _ in range(2):
+        warehouse.append_prices(again, on_duplicate="skip")
     assert sorted(r.stock_price_id for r in warehouse.read("stock_prices").collect()) == ["a", "c", "d"]
 
 
