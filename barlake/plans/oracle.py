@@ -282,6 +282,13 @@ ORACLE: dict[str, str] = {
         (SELECT symbol FROM checked WHERE abs(coalesce(p_u, 0)) > 99999999)""",
     "rejected_bars": f"""{_PART} SELECT 'percent out of range' AS reason, count(*) AS rows
         FROM checked WHERE abs(coalesce(p_u, 0)) > 99999999 HAVING count(*) > 0""",
+    "concatenated_bars": f"""SELECT * FROM ({_USER} {_ALL_BAR_COLUMNS})
+        UNION ALL SELECT * FROM ({_FLAG} {_ALL_BAR_COLUMNS})""",
+    "processing_time": "SELECT count(*) AS stamped, 1 AS instants FROM events",
+    "validated_stocks": """SELECT 'symbol: missing' AS reason, count(*) AS rows FROM orders WHERE o_orderstatus = 'P'
+        HAVING count(*) > 0 UNION ALL SELECT 'symbol: longer than 10', count(*) FROM orders
+        WHERE o_orderstatus <> 'P' AND length(o_orderpriority) > 10 HAVING count(*) > 0""",
+    "creation_times": f"{_USER} SELECT count(*) AS rows, count(*) AS kept, count(*) AS volume FROM bars",
     "zero_as_null": f"{_USER} {_BLANKED}",
     "validated_bars": f"""{_RECORDS} SELECT o_orderkey, symbol, date, total AS open_price,
         total AS close_price, total AS high_price, CAST(NULL AS DOUBLE) AS low_price,
@@ -383,6 +390,9 @@ ORACLE: dict[str, str] = {
     "publish_quotes": f"{_QUOTES} SELECT symbol AS key, count(*) AS messages FROM quote GROUP BY symbol",
     "sliding_stats_stream": f"""{_WINDOWS} SELECT * FROM windows
         WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE""",
+    "sliding_stats_late": f"""{_WINDOWS} SELECT * FROM windows
+        WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE""",
+    "publish_rounds": "SELECT count(*) AS messages, 3 AS rounds FROM orders WHERE o_orderstatus <> 'P'",
     "sliding_stats_updates": f"{_WINDOWS} SELECT * FROM windows",
     "stream_to_parquet": f"""{_QUOTES} SELECT symbol AS kafka_key, {_QUOTE_COLUMNS} FROM quote""",
     "stream_rejects": f"""{_MESSAGES}

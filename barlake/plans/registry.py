@@ -12,7 +12,7 @@ from pyspark.sql.types import DecimalType, TimestampType
 from barlake import schemas
 from barlake.operators import lookups, ranking, statistics
 from barlake.operators.messages import check_messages, decode_permissive, decode_strict, encode_quotes
-from barlake.operators.normalize import check_bars, normalize_bars, normalize_quotes, zero_bars_as_null
+from barlake.operators.normalize import check_bars, concat_bars, normalize_bars, normalize_quotes, zero_bars_as_null
 from barlake.operators.quarantine import accepted, reject_counts
 from barlake.operators.rolling import rolling_metrics
 from barlake.operators.sliding import flat_windows, sliding_stats
@@ -21,6 +21,8 @@ from barlake.operators.validate import (
     check_bar_shape,
     check_price_range,
     check_price_records,
+    check_stock_records,
+    with_processing_time,
 )
 from barlake.operators.validate import duplicate_keys as find_duplicates
 from barlake.plans import dashboard, given, jobs
@@ -323,6 +325,46 @@ def rejected_bars(spark, folder):
     return reject_counts(check_bars(given.raw_part_bars(spark, folder)))
 
 
+@query
+def concatenated_bars(spark, folder):
+    """Bars of two sources in one frame."""
+    return concat_bars(given.user_bars(spark, folder), normalize_bars(given.raw_flag_bars(spark, folder)))
+
+
+@query
+def processing_time(spark, folder):
+    """Every row is stamped, with one instant for all."""
+    stamped = with_processing_time(given.quotes(spark, folder))
+    return stamped.agg(
+        F.count("processed_at").alias("stamped"), F.count_distinct("processed_at").alias("instants")
+    )
+
+
+@query
+def validated_stocks(spark, folder):
+    """Orders as stocks: a symbol that is missing or too long is refused."""
+    records = given.price_records(spark, folder).select(
+        F.when(F.col("price").isNotNull(), F.col("symbol")).alias("symbol"), "o_orderkey",
+        F.lit("a company").alias("company_name"), F.lit("a sector").alias("sector"),
+    )
+    return reject_counts(check_stock_records(records))
+
+
+@query
+def creation_times(spark, folder):
+    """created_at is set once: an upsert of known keys keeps it."""
+    warehouse = _warehouse(spark)
+    bars = given.user_bars(spark, folder)
+    warehouse.upsert_bars(bars)
+    before = warehouse.read("daily_aggregates").select("symbol", "date", F.col("created_at").alias("created_before"))
+    kept = shared_dir(spark, "created")
+    before.write.parquet(kept)
+    warehouse.upsert_bars(bars.withColumn("volume", F.lit(1)))
+    both = warehouse.read("daily_aggregates").join(spark.read.parquet(kept), ["symbol", "date"])
+    same = F.count_if(F.col("created_at") == F.col("created_before"))
+    return both.agg(F.count(F.lit(1)).alias("rows"), same.alias("kept"), F.sum("volume").alias("volume"))
+
+
 @query
 def zero_as_null(spark, folder):
     return zero_bars_as_null(given.user_bars(spark, folder))
@@ -586,6 +628,33 @@ def sliding_stats_stream(spark, folder):
     return spark.read.schema(columns).parquet(path)
 
 
+@query
+def sliding_stats_late(spark, folder):
+    """The same in three micro-batches, the last of which sends the first hour once more, too
+    late: it is left out."""
+    path, checkpoint, topic = (shared_dir(spark, name) for name in ("windows", "checkpoint", "topic"))
+    quotes = given.quotes(spark, folder)
+    early = F.col("timestamp") < F.to_timestamp(F.lit("2024-01-16 00:00:00"))
+    hour = F.col("timestamp") < F.to_timestamp(F.lit("2024-01-01 01:00:00"))
+    for part in (early, ~early, hour):
+        topics.publish(quotes.filter(part).coalesce(1), fmt="parquet", path=topic)
+    records = topics.read_topic(spark, {"maxFilesPerTrigger": "1"}, "parquet", topic)
+    stream_jobs.run_aggregation_job(records, "parquet", path, checkpoint, drain=True)
+    return spark.read.schema(flat_windows(sliding_stats(quotes)).schema).parquet(path)
+
+
+@query
+def publish_rounds(spark, folder):
+    """Landed quotes, one file for each round, published round after round."""
+    landed, topic, checkpoint = (shared_dir(spark, name) for name in ("landed", "topic", "checkpoint"))
+    for part in range(3):
+        given.raw_quotes(spark, folder).filter(F.col("last_volume") % 3 == part).coalesce(1).write.mode("append").parquet(landed)
+    reader = spark.readStream.schema(schemas.RAW_QUOTES).option("maxFilesPerTrigger", 1).parquet(landed)
+    sent = stream_jobs.publish_continuously(normalize_quotes(reader), checkpoint, fmt="parquet", path=topic, drain=True)
+    rows = spark.read.schema(schemas.TOPIC_RECORDS).parquet(topic)
+    return rows.agg(F.count(F.lit(1)).alias("messages"), F.lit(len(sent)).alias("rounds"))
+
+
 @query
 def sliding_stats_updates(spark, folder):
     """The same in update mode: the newest state of every window, open ones included, after

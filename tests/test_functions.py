@@ -104,3 +104,24 @@ def test_literal_instants_do_not_depend_on_the_machine(spark):
     finally:
         os.environ.pop("TZ") if zone is None else os.environ.__setitem__("TZ", zone)
         time.tzset()
+
+
+INSTANTS = [
+    "20240115T101500", "2024-01-15T10:15:00+0530", "2024-01-15 10", "2024-01-15T10:15:00,5", "20240115", "2024-W03-1", "2024W03",
+    "2024-W03-7T1015", "2024-01-15T10:15:00.123456789-01:02:03", "2024-01-15x101500+05", "2024-01-15T10:15:00Z", "2024-0115",
+    "202401-15", "2024-02-30", "2024-W54-1", "2023-W53-1", "2024-01-15T25", "2024-01-15T10:1500", "2024-01-15T10:15:00+24:00", "", "T10",
+    "2024-01-15T10:15:00.", "2020-W53-7",
+]
+
+
+def test_instants_in_every_iso_spelling(spark):
+    def known(text):
+        try:
+            at = dt.datetime.fromisoformat(text)
+        except ValueError:
+            return None
+        return (at if at.tzinfo else at.replace(tzinfo=dt.timezone.utc)).astimezone(dt.timezone.utc).replace(tzinfo=None)
+
+    rows = spark.createDataFrame([(t,) for t in INSTANTS], "t string")
+    got = {r.t: r.at for r in rows.select("t", parse_instant(F.col("t")).cast("timestamp_ntz").alias("at")).collect()}
+    assert got == {t: known(t) for t in INSTANTS}
