@@ -43,10 +43,11 @@ def op3_token_rollups(spark: SparkSession, folder: str) -> DataFrame:
     revised where cleaning changes them. The second batch is committed twice."""
     rows = staged(rollups.counted(table(spark, folder, "documents")), "token-counts")
     rollup = rollups.Rollup(spark, shared_dir(spark, "rollup"))
+    firsts = rollups.first_copies(rows)
     rollup.commit("crawl", rollups.inserts(rows))
     for _ in range(2):
-        rollup.commit("copies", rollups.deletes_of_copies(rows))
-    rollup.commit("cleaning", rollups.revisions(rows))
+        rollup.commit("copies", rollups.deletes_of_copies(rows, firsts))
+    rollup.commit("cleaning", rollups.revisions(rows, firsts))
     return rollup.totals()
 
 

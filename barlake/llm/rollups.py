@@ -118,19 +118,25 @@ def inserts(rows: DataFrame) -> DataFrame:
     return rows.select("tokenizer", F.lit(None).cast(_SIDE).alias("before"), _side("raw").alias("after"))
 
 
-def deletes_of_copies(rows: DataFrame) -> DataFrame:
+def first_copies(rows: DataFrame) -> DataFrame:
+    """(text_hash, first): the smallest doc_id of every text, as a written table, so that a
+    join with it can split a text with very many copies. Null texts are not in it."""
+    known = rows.filter(F.col("text_hash").isNotNull())
+    return staged(known.groupBy("text_hash").agg(F.min("doc_id").alias("first")), "first-copies")
+
+
+def deletes_of_copies(rows: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
     """Deletes of the rows whose whole text another row with a smaller doc_id has (null ids
     last); of rows that share text and doc_id none is a copy of the other."""
-    firsts = rows.groupBy("text_hash", "tokenizer").agg(F.min("doc_id").alias("first"))
-    same = rows.join(firsts, ["text_hash", "tokenizer"])  # null texts have no hash and are no copies
+    same = rows.join(first_copies(rows) if firsts is None else firsts, "text_hash")
     gone = same.filter(F.col("doc_id").isNull() & F.col("first").isNotNull() | (F.col("doc_id") > F.col("first")))
     return gone.select("tokenizer", _side("raw").alias("before"), F.lit(None).cast(_SIDE).alias("after"))
 
 
-def revisions(rows: DataFrame) -> DataFrame:
+def revisions(rows: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
     """Revised counts of the first copies whose count the cleaning changes."""
-    firsts = rows.groupBy("text_hash", "tokenizer").agg(F.min("doc_id").alias("first"))
-    same = rows.filter(F.col("raw") != F.col("clean")).join(firsts, ["text_hash", "tokenizer"])
+    changed = rows.filter(F.col("raw") != F.col("clean"))
+    same = changed.join(first_copies(rows) if firsts is None else firsts, "text_hash")
     kept = same.filter(F.col("doc_id").eqNullSafe(F.col("first")))
     return kept.select("tokenizer", _side("raw").alias("before"), _side("clean").alias("after"))
 

@@ -147,6 +147,8 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = R
         F.coalesce("component", "fp").alias("group"),
         F.when(F.col("component").isNull(), F.col("least_id")).otherwise(F.col("head")).alias("component_id"),
     )
+    # Read from a table, the join's sides are plain shuffles: Spark can split a hot fingerprint.
+    classes = staged(classes, "simhash-classes")
     return every.join(classes, "fp").select("doc_id", "text_hash", "fp", "group", "component_id")
 
 
