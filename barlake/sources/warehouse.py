@@ -1,7 +1,7 @@
 """Three Parquet tables with keys: stocks, stock_prices, daily_aggregates.
 
-Layout: prices by day, bars by month, files within a partition sorted by symbol so that
-row-group statistics stand in for an index. A write first stages its input in a written
+Layout: prices by day, bars by month; the files of one write hold disjoint ranges of symbols
+and are sorted, so that their statistics stand in for an index. A write first stages its input in a written
 table (so it is computed once and counted exactly, whatever tasks are run again), then
 touches only the partitions the input has rows for. One writer per table at a time.
 """
@@ -104,8 +104,12 @@ class Warehouse:
         return self.stored(table).select(*table.schema.names)
 
     def register_views(self) -> None:
-        for name in TABLES:
+        """A view of each table, and of partitioned ones ``<name>_stored`` with the partition
+        column (``month`` as text, ``day``): a filter on it prunes folders."""
+        for name, table in TABLES.items():
             self.read(name).createOrReplaceTempView(name)
+            if table.partition:
+                self.stored(table).createOrReplaceTempView(f"{name}_stored")
 
     def sql(self, text: str, args: list | dict | None = None) -> DataFrame:
         """A query over the tables with bound parameters (``?`` or ``:name``)."""
@@ -184,27 +188,21 @@ class Warehouse:
         fs.delete(target, True)
 
     def _save(self, rows: DataFrame, table: Table, path: str, mode: str) -> None:
-        """Write rows in the table's layout.
+        """Write rows, read from a written table, in the table's layout.
 
-        REBALANCE sizes the files by partition value at run time: a small month becomes
-        one file, a month with a third of all rows is split over many tasks.
+        Ranges of (partition value, order): small months share a task, a month with a third
+        of all rows is dealt to many, and no symbol lies in more files than its rows need.
         """
         rows = rows.select(*table.stored.names)
+        order = [*([table.partition.name] if table.partition else []), *(table.order or table.stored.names[:1])]
+        writer = rows.repartitionByRange(*order).sortWithinPartitions(*order).write
         if table.partition:
-            value = table.partition.name
-            rows = rows.hint("rebalance", value).sortWithinPartitions(value, *table.order)
-            writer = rows.write.partitionBy(value)
-        else:
-            writer = rows.hint("rebalance").sortWithinPartitions(*table.order or table.stored.names[:1]).write
+            writer = writer.partitionBy(table.partition.name).option("partitionOverwriteMode", "dynamic")
         writer.mode(mode).parquet(path)
 
     def _publish(self, table: Table, staged: str) -> None:
         """Replace the staged partitions (or the whole unpartitioned table)."""
-        rows = self.spark.read.schema(table.stored).parquet(staged)
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        if table.partition:
-            writer = writer.partitionBy(table.partition.name)
-        writer.parquet(self.path(table))
+        self._save(self.spark.read.schema(table.stored).parquet(staged), table, self.path(table), "overwrite")
 
     def recover(self, table: Table) -> None:
         """Finish a replacement that a lost driver left half done.
@@ -303,7 +301,8 @@ class Warehouse:
             self._save(new, table, self.path(table), "append")
             return
         merged = f"{self._replacement(table)}/{uuid.uuid4().hex}"
-        self._save(merge(old, new, list(table.key), updated), table, merged, "error")
+        # As it comes; the table's layout is made when it is published.
+        merge(old, new, list(table.key), updated).select(*table.stored.names).write.parquet(merged)
         before, after = old.count(), self.spark.read.schema(table.stored).parquet(merged).count()
         if not max(before, distinct) <= after <= before + distinct:
             raise RuntimeError(f"{table.name}: {after} rows from {before} old and {distinct} new ones")

@@ -232,3 +232,27 @@ def test_latest_reads_look_at_the_newest_partitions_first(spark, warehouse):
 
 def test_latest_reads_of_empty_tables(warehouse):
     assert warehouse.latest_bars().isEmpty() and warehouse.latest_price("A").isEmpty()
+
+
+def test_files_of_a_month_hold_disjoint_symbols(spark, warehouse):
+    from barlake.sources.warehouse import DAILY_AGGREGATES as BARS
+
+    days = [dt.date(2024, 1, d) for d in range(1, 21)]
+    rows = [bar(f"S{n:03d}", day, "1") for n in range(60) for day in days]
+    coalesce = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        warehouse.upsert_bars(spark.createDataFrame(rows, BAR))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    stored = warehouse.stored(BARS).withColumn("file", F.input_file_name())
+    ranges = sorted((r.low, r.high) for r in stored.groupBy("file").agg(F.min("symbol").alias("low"), F.max("symbol").alias("high")).collect())
+    assert len(ranges) > 1 and all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_sql_on_a_stored_view_prunes_folders(spark, warehouse):
+    for month in (1, 2, 3):
+        warehouse.upsert_bars(spark.createDataFrame([bar("A", dt.date(2024, month, 5), "1")], BAR))
+    rows = warehouse.sql("SELECT symbol, date FROM daily_aggregates_stored WHERE month = ? AND date >= ?", ["2024-02", dt.date(2024, 2, 1)])
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and rows.count() == 1
