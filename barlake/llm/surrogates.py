@@ -46,6 +46,7 @@ PHONE = (
     r"\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
     r"|\+[2-9][0-9]{0,2}(?:[ -]?\([0-9]{1,4}\))?(?:[ -][0-9]{2,4}){2,4}(?![0-9])"
     r"|\+[2-9][0-9]{7,14}(?![0-9])"
+    r"|(?<![0-9(+])(?:\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|(?<![0-9-])[0-9]{3}-[0-9]{3}-[0-9]{4})(?![0-9-])"
 )
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 CARD = (
@@ -83,6 +84,7 @@ def kind_of(mention: Column) -> Column:
     return (
         F.when(F.contains(mention, F.lit("@")), F.lit("email"))
         .when(F.startswith(mention, F.lit("+")), F.lit("phone"))
+        .when(whole(r"[0-9() -]+") & (F.length(digits) == 10), F.lit("phone"))
         .when(whole("[0-9]+(?:[.][0-9]+){3}"), F.lit("ip"))
         .when(whole("[0-9]{3}-[0-9]{2}-[0-9]{4}"), F.lit("ssn"))
         .when(card, F.when(_luhn_sum(digits, False) % 10 == 0, F.lit("card")))
@@ -102,7 +104,8 @@ def normal(kind: Column, mention: Column) -> Column:
     name = F.lower(F.regexp_replace(mention, _TITLE, ""))
     return (
         F.when(kind == "email", F.lower(mention))
-        .when(kind == "phone", F.concat(F.lit("+"), _digits(mention)))
+        # Ten digits without a country's are those behind +1.
+        .when(kind == "phone", F.concat(F.when(F.startswith(mention, F.lit("+")), "+").otherwise("+1"), _digits(mention)))
         .when(kind == "ip", mention)
         .when(kind == "person", F.concat_ws("|", group, name))
         .otherwise(_digits(mention))
@@ -168,7 +171,7 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str = KEY) -> Co
 def formatted(kind: Column, mention: Column, found: Column) -> Column:
     """A surrogate in the format of a mention."""
     begin = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
-    digits = _digits(found)
+    digits = F.right(_digits(found), F.length(_digits(mention)))
 
     def step(state: Column, c: Column) -> Column:
         digit = F.regexp_like(c, F.lit("[0-9]"))

@@ -263,6 +263,7 @@ def test_surrogates_are_consistent_distinct_and_typed(spark):
     rows = [
         (1, "bo.b@mail.example.com or BO.B@MAIL.EXAMPLE.COM, 4845168114407329 and 4845-1681-1440-7329, not 4845168114407328"),
         (2, "97.51.17.173, 999.1.1.1, v1.2.3.4, +1 (017) 555-7713 97.51.17.173; 123-45-6789 Mr. John Smith, Frau Müller, Госпожа Иванова"),
+        (4, "call (017) 555-7713 or 017-555-7713 or +1 017 555 7713, not 12-345-6789 or 017-555-77134"),
         (3, "mr john smith stays; Mr. John Smith and bo.b@mail.example.com"),
         *[(100 + i, f"a{i % 10}.{i:03d}@x.org +1 (555) 555-{i:04d}") for i in range(600)],
     ]
@@ -277,6 +278,8 @@ def test_surrogates_are_consistent_distinct_and_typed(spark):
     assert got[1].text.endswith("not 4845168114407328") and "999.1.1.1, v1.2.3.4" in got[2].text
     assert [m.kind for m in two] == ["ip", "phone", "ip", "ssn", "person", "person", "person"]
     assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", two[1].surrogate)
+    numbers = [re.sub(r"\D", "", m.surrogate)[-10:] for m in got[4].mentions]
+    assert numbers == [re.sub(r"\D", "", two[1].surrogate)[-10:]] * 3 and got[4].text.endswith("not 12-345-6789 or 017-555-77134")
     assert two[4].surrogate == three[0].surrogate and two[4].surrogate.split()[1] in surrogates.GIVEN["m", "latin"]
     assert re.fullmatch(r"Госпожа [А-Яа-я]+", two[6].surrogate)
     emails = [got[100 + i].mentions[0].surrogate for i in range(600)]
