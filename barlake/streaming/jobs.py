@@ -73,7 +73,8 @@ def run_aggregation_job(
     if sink == "console":
         query = sinks.write_console(stats, "update", checkpoint, drain)
     elif sink == "parquet":
-        query = sinks.write_parquet(stats, path, checkpoint, drain)
+        # No folder per symbol: the files of one trigger stay as few as its tasks.
+        query = sinks.write_parquet(stats, path, checkpoint, drain, partition=None)
     else:
         query = sinks.write_memory(stats, name, "update", drain)
     return _wait(query, await_termination)
