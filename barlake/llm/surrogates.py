@@ -158,7 +158,10 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str = KEY) -> Co
     for (gender, script), names in GIVEN.items():
         given = F.element_at(F.array(*map(F.lit, names)), byte(1) % len(names) + 1)
         syllables = F.array(*map(F.lit, SYLLABLES[script]))
-        family = F.initcap(F.concat(*[F.element_at(syllables, byte(i) % 16 + 1) for i in (2, 3, 4, 5)]))
+        # Longer with every attempt, so that the names outnumber any number of entities.
+        count = F.least(attempt + 4, F.lit(90))
+        drawn = F.transform(F.sequence(F.lit(2), count + 1), lambda i: F.element_at(syllables, byte(i) % len(SYLLABLES[script]) + 1))
+        family = F.initcap(F.array_join(drawn, ""))
         named = F.when(F.contains(F.element_at(parts, 3), F.lit(" ")), F.concat_ws(" ", given, family)).otherwise(family)
         here = (F.element_at(parts, 1) == gender) & (F.element_at(parts, 2) == script)
         person = F.when(here, F.concat_ws("|", F.lit(gender), F.lit(script), named)).otherwise(person)

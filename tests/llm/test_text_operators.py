@@ -300,6 +300,14 @@ def test_lost_collisions_are_drawn_again(spark, monkeypatch):
     assert len(set(found)) == 21 and "same" not in found
 
 
+def test_more_persons_than_names_of_four_syllables(spark, monkeypatch):
+    monkeypatch.setitem(surrogates.SYLLABLES, "latin", ("to", "ka") * 8)
+    norms = [f"f|latin|name{i}" for i in range(100)] + [f"m|latin|john name{i}" for i in range(300)]
+    entities = spark.createDataFrame([("person", norm) for norm in norms], "kind string, norm string")
+    found = {r.norm: r.surrogate for r in surrogates.distinct_surrogates(entities).collect()}
+    assert sorted(found) == sorted(norms) and len(set(found.values())) == 400
+
+
 def test_classifier_on_held_out_texts():
     draw = random.Random(10)
     words = [f"{a}{b}{c}" for a in ("th", "er", "on") for b in ("an", "in", "ou") for c in ("", "es", "ly")]
