@@ -156,12 +156,12 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str = KEY) -> Co
     parts = F.split(norm, r"\|")
     person = F.lit(None).cast("string")
     for (gender, script), names in GIVEN.items():
-        given = F.element_at(F.array(*map(F.lit, names)), byte(1) % len(names) + 1)
+        given = F.lower(F.element_at(F.array(*map(F.lit, names)), byte(1) % len(names) + 1))
         syllables = F.array(*map(F.lit, SYLLABLES[script]))
         # Longer with every attempt, so that the names outnumber any number of entities.
         count = F.least(attempt + 4, F.lit(90))
         drawn = F.transform(F.sequence(F.lit(2), count + 1), lambda i: F.element_at(syllables, byte(i) % len(SYLLABLES[script]) + 1))
-        family = F.initcap(F.array_join(drawn, ""))
+        family = F.array_join(drawn, "")
         named = F.when(F.contains(F.element_at(parts, 3), F.lit(" ")), F.concat_ws(" ", given, family)).otherwise(family)
         here = (F.element_at(parts, 1) == gender) & (F.element_at(parts, 2) == script)
         person = F.when(here, F.concat_ws("|", F.lit(gender), F.lit(script), named)).otherwise(person)
@@ -183,7 +183,7 @@ def formatted(kind: Column, mention: Column, found: Column) -> Column:
 
     filled = F.aggregate(F.split(mention, ""), begin, step, lambda s: s["out"])
     shouted = F.when(mention == F.upper(mention), F.upper(found)).otherwise(found)
-    name = F.concat(F.regexp_extract(mention, _TITLE, 0), F.element_at(F.split(found, r"\|"), -1))
+    name = F.concat(F.regexp_extract(mention, _TITLE, 0), F.initcap(F.element_at(F.split(found, r"\|"), -1)))
     return F.when(kind == "email", shouted).when(kind == "ip", found).when(kind == "person", name).otherwise(filled)
 
 

@@ -308,6 +308,14 @@ def test_more_persons_than_names_of_four_syllables(spark, monkeypatch):
     assert sorted(found) == sorted(norms) and len(set(found.values())) == 400
 
 
+def test_no_person_gets_the_name_of_another(spark, monkeypatch):
+    monkeypatch.setitem(surrogates.SYLLABLES, "latin", ("to", "ka") * 8)
+    real = [f"f|latin|{a}{b}{c}to" for a in ("to", "ka") for b in ("to", "ka") for c in ("to", "ka")]
+    entities = spark.createDataFrame([("person", norm) for norm in [*real, *(f"f|latin|name{i}" for i in range(8))]], "kind string, norm string")
+    found = [r.surrogate.lower() for r in surrogates.distinct_surrogates(entities).collect()]
+    assert len(set(found)) == 16 and not set(found) & set(real)
+
+
 def test_classifier_on_held_out_texts():
     draw = random.Random(10)
     words = [f"{a}{b}{c}" for a in ("th", "er", "on") for b in ("an", "in", "ou") for c in ("", "es", "ly")]
