@@ -42,11 +42,14 @@ KEY = "surrogates-1"
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}"
 IP = rf"(?<![A-Za-z0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"
+# Behind another country's code: single digits, so that the longest row of groups with 8 to 15
+# digits is taken and a longer row is not lost. French numbers have nine behind the code.
 PHONE = (
     r"\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
-    r"|\+[2-9][0-9]{0,2}(?:[ -]?\([0-9]{1,4}\))?(?:[ -][0-9]{2,4}){2,4}(?![0-9])"
-    r"|\+[2-9][0-9]{7,14}(?![0-9])"
-    r"|(?<![0-9(+])(?:\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|(?<![0-9-])[0-9]{3}-[0-9]{3}-[0-9]{4})(?![0-9-])"
+    r"|\+33[ .-]?(?:\(0\)[ .-]?)?[1-9](?:[ .-]?[0-9]{2}){4}(?![0-9])"
+    r"|\+[2-9][0-9]{0,2}[ .-]?(?:\([0-9]{1,2}\)(?:[ .-]?[0-9]){5,10}|\([0-9]{3,4}\)(?:[ .-]?[0-9]){4,8})(?![0-9])"
+    r"|\+[2-9](?:[ .-]?[0-9]){7,14}(?![0-9])"
+    r"|(?<![0-9(+])(?:\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|(?<![0-9-])(?<![0-9]\.)[0-9]{3}(?:-[0-9]{3}-|\.[0-9]{3}\.| [0-9]{3} )[0-9]{4})(?![0-9-]|\.[0-9])"
 )
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 CARD = (
@@ -83,9 +86,9 @@ def kind_of(mention: Column) -> Column:
     card = F.regexp_like(mention, F.lit("^[0-9 -]+$")) & (F.length(digits) >= 13)
     return (
         F.when(F.contains(mention, F.lit("@")), F.lit("email"))
-        .when(F.startswith(mention, F.lit("+")), F.lit("phone"))
-        .when(whole(r"[0-9() -]+") & (F.length(digits) == 10), F.lit("phone"))
+        .when(F.startswith(mention, F.lit("+")), F.when(F.length(digits).between(8, 15), F.lit("phone")))
         .when(whole("[0-9]+(?:[.][0-9]+){3}"), F.lit("ip"))
+        .when(whole(r"[0-9() .-]+") & (F.length(digits) == 10), F.lit("phone"))
         .when(whole("[0-9]{3}-[0-9]{2}-[0-9]{4}"), F.lit("ssn"))
         .when(card, F.when(_luhn_sum(digits, False) % 10 == 0, F.lit("card")))
         .otherwise(F.lit("person"))

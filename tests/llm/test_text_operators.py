@@ -316,6 +316,30 @@ def test_no_person_gets_the_name_of_another(spark, monkeypatch):
     assert len(set(found)) == 16 and not set(found) & set(real)
 
 
+PHONES = {
+    "+33 1 23 45 67 89": ["+33123456789", "+33.1.23.45.67.89", "+33 1-23-45-67-89"],
+    "+33 6 12 34 56 78": ["+33 612345678"],
+    "+49 30 12345678": ["+493012345678", "+49-30-12345678", "+49 (30) 12345678", "+49(30)12345678"],
+    "+49 171 1234567": ["+49 171 123 45 67"],
+    "+44 20 7946 0958": ["+442079460958"],
+    "+1 (555) 123-4567": ["555.123.4567", "555 123 4567", "(555) 123 4567", "555-123-4567"],
+}
+
+
+def test_spellings_of_phones(spark):
+    rows = [(i, f"call {first} now, or " + " or ".join(others) + ".") for i, (first, others) in enumerate(PHONES.items())]
+    rows += [(90, "tel +33 1 23 45 67 89 12 fois, 192.168.10.10, 555.123.4567.8, +49 30, 2555 123 4567 and x+2 34"), (91, "(+49 30 12345678) 3 mal, +4 (1) 23456")]
+    got = {r.doc_id: r for r in surrogates.replace_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (first, others) in enumerate(PHONES.items()):
+        mentions = got[i].mentions
+        assert [re.sub(r"\d", "0", m.surrogate) for m in mentions] == [re.sub(r"\d", "0", one) for one in (first, *others)]
+        assert len({re.sub(r"\D", "", m.surrogate)[-9:] for m in mentions}) == 1 and {m.kind for m in mentions} == {"phone"}
+        assert not any(one in got[i].text for one in (first, *others))
+    assert [m.kind for m in got[90].mentions] == ["phone", "ip"] and got[90].mentions[0].surrogate == got[0].mentions[0].surrogate
+    assert got[91].text == f"({got[2].mentions[0].surrogate}) 3 mal, +4 (1) 23456"
+    assert got[90].text.endswith(", 555.123.4567.8, +49 30, 2555 123 4567 and x+2 34")
+
+
 def test_classifier_on_held_out_texts():
     draw = random.Random(10)
     words = [f"{a}{b}{c}" for a in ("th", "er", "on") for b in ("an", "in", "ou") for c in ("", "es", "ly")]
