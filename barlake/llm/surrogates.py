@@ -6,6 +6,9 @@ valid check digit and the same first digit and length, a name of the same gender
 Surrogates that two entities share, or that are an entity themselves, are drawn again until
 none are left, so distinct entities stay distinct. Every mention gets its entity's surrogate
 in its own format: separators, brackets, case and titles stay.
+
+Persons are found by their titles. Their full and family names are then replaced wherever
+the same text has them without one. A family name has one surrogate, for all who bear it.
 """
 
 from __future__ import annotations
@@ -55,7 +58,8 @@ SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 CARD = (
     r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"
 )
-_WORD = r"\p{Lu}[\p{L}'-]{1,40}"
+# A name ends before a possessive 's.
+_WORD = r"\p{Lu}(?:\p{L}|-(?=\p{L})|'(?=\p{L})(?!s(?!\p{L}))){1,40}"
 PERSON = (
     "(?<![\\p{L}])(?:" + "|".join(t for titles in TITLES.values() for t in titles) + rf")\.? {_WORD}(?: {_WORD})?"
 )
@@ -156,21 +160,28 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str = KEY) -> Co
         shaped(local, 1), letters(64, F.greatest(8 - F.length(local), F.lit(2))), F.lit("@"), shaped(domain, 33), F.lit(".example")
     )
 
+    # Names grow with every attempt, so that they outnumber any number of entities.
     parts = F.split(norm, r"\|")
-    person = F.lit(None).cast("string")
+
+    def syllables(script: str, count: Column) -> Column:
+        known = F.array(*map(F.lit, SYLLABLES[script]))
+        drawn = F.transform(F.sequence(F.lit(2), count + 1), lambda i: F.element_at(known, byte(i) % len(SYLLABLES[script]) + 1))
+        return F.array_join(drawn, "")
+
+    family = F.lit(None).cast("string")
+    for script in SYLLABLES:
+        named = F.concat_ws("|", F.lit(script), syllables(script, F.least(attempt + 4, F.lit(90))))
+        family = F.when(F.element_at(parts, 1) == script, named).otherwise(family)
+    given = F.lit(None).cast("string")
     for (gender, script), names in GIVEN.items():
-        given = F.lower(F.element_at(F.array(*map(F.lit, names)), byte(1) % len(names) + 1))
-        syllables = F.array(*map(F.lit, SYLLABLES[script]))
-        # Longer with every attempt, so that the names outnumber any number of entities.
-        count = F.least(attempt + 4, F.lit(90))
-        drawn = F.transform(F.sequence(F.lit(2), count + 1), lambda i: F.element_at(syllables, byte(i) % len(SYLLABLES[script]) + 1))
-        family = F.array_join(drawn, "")
-        named = F.when(F.contains(F.element_at(parts, 3), F.lit(" ")), F.concat_ws(" ", given, family)).otherwise(family)
+        first_name = F.lower(F.element_at(F.array(*map(F.lit, names)), byte(1) % len(names) + 1))
+        more = F.when(attempt > 0, syllables(script, F.least(attempt + 1, F.lit(90))))
         here = (F.element_at(parts, 1) == gender) & (F.element_at(parts, 2) == script)
-        person = F.when(here, F.concat_ws("|", F.lit(gender), F.lit(script), named)).otherwise(person)
+        named = F.concat_ws("|", F.lit(gender), F.lit(script), F.element_at(parts, 3), F.concat_ws("-", first_name, more))
+        given = F.when(here, named).otherwise(given)
     return (
-        F.when(kind == "email", email).when(kind == "phone", phone).when(kind == "ip", ip)
-        .when(kind == "ssn", ssn).when(kind == "card", card).otherwise(person)
+        F.when(kind == "email", email).when(kind == "phone", phone).when(kind == "ip", ip).when(kind == "ssn", ssn)
+        .when(kind == "card", card).when(kind == "family", family).when(kind == "given", given)
     )
 
 
@@ -186,7 +197,8 @@ def formatted(kind: Column, mention: Column, found: Column) -> Column:
 
     filled = F.aggregate(F.split(mention, ""), begin, step, lambda s: s["out"])
     shouted = F.when(mention == F.upper(mention), F.upper(found)).otherwise(found)
-    name = F.concat(F.regexp_extract(mention, _TITLE, 0), F.initcap(F.element_at(F.split(found, r"\|"), -1)))
+    capital = F.array_join(F.transform(F.split(F.element_at(F.split(found, r"\|"), -1), "-"), F.initcap), "-")
+    name = F.concat(F.regexp_extract(mention, _TITLE, 0), capital)
     return F.when(kind == "email", shouted).when(kind == "ip", found).when(kind == "person", name).otherwise(filled)
 
 
@@ -194,10 +206,39 @@ def distinct_surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
     """(kind, norm, surrogate) for distinct (kind, norm): no two entities of a type share a
     surrogate and none is an entity of that type.
 
+    A person's surrogate is that of the family name, the same for all persons of a script,
+    behind that of the given name, which differs from the others of that family.
+    """
+    entities = staged(entities.select("kind", "norm").distinct(), "entities")
+    parts = F.split("norm", r"\|")
+    name = F.element_at(parts, 3)
+    persons = entities.filter(F.col("kind") == "person").select(
+        "kind", "norm", F.element_at(parts, 1).alias("gender"), F.element_at(parts, 2).alias("script"),
+        F.regexp_extract(name, "[^ ]*$", 0).alias("family"), F.regexp_extract(name, "^(.*) ", 1).alias("given"),
+    )
+    persons = persons.withColumn("family_norm", F.concat_ws("|", "script", "family")).withColumn(
+        "given_norm", F.when(F.col("given") != "", F.concat_ws("|", "gender", "script", "family", "given"))
+    )
+    names = [persons.select(F.lit(kind).alias("kind"), F.col(f"{kind}_norm").alias("norm")) for kind in ("family", "given")]
+    others = entities.filter(F.col("kind") != "person")
+    drawn = _drawn(others.unionByName(names[0]).unionByName(names[1]).filter("norm IS NOT NULL").distinct(), key)
+    last = F.element_at(F.split("surrogate", r"\|"), -1)
+    for kind in ("family", "given"):
+        found = drawn.filter(F.col("kind") == kind).select(F.col("norm").alias(f"{kind}_norm"), last.alias(f"new_{kind}"))
+        persons = persons.join(found, f"{kind}_norm", "left")
+    told = F.concat_ws("|", "gender", "script", F.concat_ws(" ", "new_given", "new_family"))
+    persons = persons.select("kind", "norm", told.alias("surrogate"))
+    return drawn.filter(~F.col("kind").isin("family", "given")).unionByName(persons)
+
+
+def _drawn(entities: DataFrame, key: str) -> DataFrame:
+    """(kind, norm, surrogate) for distinct (kind, norm), distinct within a kind and none an
+    entity of it.
+
     Entities that lose a collision draw again; those settled before stay. A round is a
     written table, the driver sees the number of losers.
     """
-    entities = staged(entities.select("kind", "norm").distinct(), "entities")
+    entities = staged(entities, "names")
     current = entities.withColumn("attempt", F.lit(0))
     while True:
         current = staged(
@@ -235,25 +276,73 @@ def replace_personal_data(docs: DataFrame, key: str = KEY) -> DataFrame:
         "mentions",
     )
     real = every.filter(F.col("kind").isNotNull())
-    mapping = distinct_surrogates(real, key)
+    # Full and family names of the persons of a text; two of one name are the first of them.
+    parts = F.split("norm", r"\|")
+    whole = F.element_at(parts, 3)
+    both = F.explode(F.array(whole, F.regexp_extract(whole, "[^ ]*$", 0))).alias("name")
+    persons = real.filter(F.col("kind") == "person").select("h1", "h2", F.concat_ws("|", F.get(parts, 0), F.get(parts, 1)).alias("group"), both)
+    known = persons.groupBy("h1", "h2", "name").agg(F.concat_ws("|", F.min("group"), "name").alias("norm"))
+    known = staged(known.withColumn("kind", F.lit("person")), "names-of-texts")
+    mapping = distinct_surrogates(real.select("kind", "norm").unionByName(known.select("kind", "norm")), key)
     told = every.join(mapping, ["kind", "norm"], "left").select(
         "h1", "h2",
         F.struct(
             "pos", F.when(F.col("surrogate").isNotNull(), F.col("kind")).alias("kind"),
             F.coalesce(formatted(F.col("kind"), F.col("mention"), F.col("surrogate")), F.col("mention")).alias("put"),
         ).alias("put"),
+        F.lit(None).cast("struct<name:string,put:string>").alias("name"),
+    )
+    again = known.join(mapping, ["kind", "norm"]).select(
+        "h1", "h2", F.lit(None).cast(told.schema["put"].dataType).alias("put"),
+        F.struct("name", formatted(F.col("kind"), F.col("name"), F.col("surrogate")).alias("put")).alias("name"),
     )
     # The mentions of one text: as many as its length allows, whatever its copies.
-    texts = staged(told.groupBy("h1", "h2").agg(F.array_sort(F.collect_list("put")).alias("puts")), "replacements")
+    longest = lambda a, b: F.when(F.length(a["name"]) != F.length(b["name"]), F.length(b["name"]) - F.length(a["name"])).otherwise(
+        F.when(a["name"] < b["name"], -1).when(a["name"] > b["name"], 1).otherwise(0)
+    )
+    texts = told.unionByName(again).groupBy("h1", "h2").agg(
+        F.array_sort(F.collect_list("put")).alias("puts"), F.array_sort(F.collect_list("name"), longest).alias("names")
+    )
+    texts = staged(texts, "replacements")
 
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
     rows = rows.withColumns({"h1": F.xxhash64("row.text"), "h2": F.xxhash64(F.lit(1), "row.text")})
     # The same plan at every size: texts are dealt by their names, hot ones can be split.
     joined = rows.join(texts.hint("merge"), ["h1", "h2"], "left")
     pieces = F.split(F.col("row.text"), ANY, -1)
-    woven = F.zip_with(pieces, F.col("puts"), lambda piece, put: F.concat(piece, F.coalesce(put["put"], F.lit(""))))
-    changed = F.when(F.col("puts").isNotNull(), F.array_join(woven, "")).otherwise(F.col("row.text"))
-    real_puts = F.filter(F.coalesce("puts", F.array().cast("array<struct<pos:int,kind:string,put:string>>")), lambda p: p["kind"].isNotNull())
-    listed = F.transform(real_puts, lambda p: F.struct(p["kind"].alias("kind"), p["put"].alias("surrogate")))
+    put = lambda put: F.array(F.struct(put["put"].alias("out"), put["kind"].alias("kind")))
+    woven = F.flatten(
+        F.zip_with(
+            F.transform(pieces, lambda piece: _named_again(piece, F.col("names"))), F.col("puts"),
+            lambda piece, one: F.concat(piece, F.when(one.isNotNull(), put(one)).otherwise(F.array().cast(SEGMENTS))),
+        )
+    )
+    joined = joined.select("row", F.when(F.col("puts").isNotNull(), woven).alias("woven"))
+    changed = F.coalesce(F.array_join(F.transform("woven", lambda s: s["out"]), ""), F.col("row.text"))
+    real_puts = F.filter(F.coalesce("woven", F.array().cast(SEGMENTS)), lambda s: s["kind"].isNotNull())
+    listed = F.transform(real_puts, lambda s: F.struct(s["kind"].alias("kind"), s["out"].alias("surrogate")))
     columns = [changed.alias("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns if c != "mentions"]
     return joined.select(*columns, listed.alias("mentions"))
+
+
+SEGMENTS = "array<struct<out:string,kind:string>>"
+
+
+def _named_again(piece: Column, names: Column) -> Column:
+    """Text without titled names as segments: ``names`` (name, put; longest first) that stand
+    in it as whole words with a capital are persons."""
+    plain = F.array(F.struct(piece.alias("out"), F.lit(None).cast("string").alias("kind")))
+    pattern = F.concat(
+        F.lit(r"(?<!\p{L})(?<!\p{L}['-])(?=\p{Lu})(?iu:"), F.array_join(F.transform(names, lambda n: n["name"]), "|"),
+        F.lit(r")(?!\p{L}|-\p{L}|'(?!s(?!\p{L}))\p{L})"),
+    )
+
+    def person(mention: Column) -> Column:
+        found = F.get(F.filter(names, lambda n: n["name"] == F.lower(mention)), 0)["put"]
+        shown = F.when(mention == F.upper(mention), F.upper(found)).otherwise(found)
+        return F.struct(F.coalesce(shown, mention).alias("out"), F.when(found.isNotNull(), "person").alias("kind"))
+
+    mentions = F.transform(F.regexp_extract_all(piece, pattern, F.lit(0)), person)
+    between = F.transform(F.split(piece, pattern, -1), lambda gap: F.struct(gap.alias("out"), F.lit(None).cast("string").alias("kind")))
+    segments = F.flatten(F.zip_with(between, mentions, lambda gap, one: F.when(one.isNull(), F.array(gap)).otherwise(F.array(gap, one))))
+    return F.when(F.size(names) == 0, plain).otherwise(segments)

@@ -340,6 +340,26 @@ def test_spellings_of_phones(spark):
     assert got[90].text.endswith(", 555.123.4567.8, +49 30, 2555 123 4567 and x+2 34")
 
 
+def test_mentions_of_a_person_agree(spark):
+    rows = [
+        (1, "Mr John Smith came. Mr Smith's hat: John Smith's, SMITH, Smith-Jones, Smithson, smith, 'Smith', a.b@x.org Smith"),
+        (2, "Ms Ann Smith, Smith and Mr James Smith, Mr John Smith"),
+        (3, "Smith of no title, Frau Anna-Lena Müller-Lang, MÜLLER-LANG; Müller"),
+        (4, "Господин Иван Петров, Иван Петров и Петров"),
+        (5, "".join(f"Mr Given{'abcdefghij'[i // 10]}{'abcdefghij'[i % 10]} Smith. " for i in range(100))),
+    ]
+    got = {r.doc_id: r for r in surrogates.replace_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    said = {i: [m.surrogate for m in got[i].mentions if m.kind == "person"] for i in got}
+    full, family = said[1][0].removeprefix("Mr "), said[1][1].removeprefix("Mr ")
+    email = next(m.surrogate for m in got[1].mentions if m.kind == "email")
+    assert full.split()[-1] == family and "Smith" not in full
+    assert got[1].text == f"Mr {full} came. Mr {family}'s hat: {full}'s, {family.upper()}, Smith-Jones, Smithson, smith, '{family}', {email} {family}"
+    assert [s.split()[-1] for s in said[2]] == [family] * 4 and len(set(said[2])) == 4 and said[2][3] == f"Mr {full}"
+    assert got[3].text.startswith("Smith of no title, Frau ") and got[3].text.endswith(f"{said[3][0].split()[-1].upper()}; Müller")
+    assert said[4][0] == f"Господин {said[4][1]}" and said[4][1].split()[1] == said[4][2]
+    assert len(set(said[5])) == 100 and {s.split()[-1] for s in said[5]} == {family}
+
+
 def test_classifier_on_held_out_texts():
     draw = random.Random(10)
     words = [f"{a}{b}{c}" for a in ("th", "er", "on") for b in ("an", "in", "ou") for c in ("", "es", "ly")]
