@@ -49,9 +49,17 @@ BASE = (
     Rule("hex", "[0-9a-f]{32,}", least=32),
 )
 
+# What follows a private key's first line: all up to its last line, or, if that is missing,
+# header lines and the lines of base64. Bounded repeats: no engine runs out of stack.
+_TO_END = r"[A-Za-z0-9+/=\x09-\x0D\x20:,\\\"'-]*?-----END[A-Z\x20]*-{0,5}"
+_LINES = (
+    r"(?:[\x0A\x0D]+[A-Za-z-]+:\x20[^\x0A\x0D]*){0,5}[\x09-\x0D\x20\\\"']*[A-Za-z0-9+/=]{16}[A-Za-z0-9+/=\x0A\x0D\\]*"
+    r"(?:[\x09\x20\"',+]+[A-Za-z0-9+/=]{16}[A-Za-z0-9+/=\x0A\x0D\\]*){0,60}"
+)
+
 # Fixed forms of public services' credentials.
 MORE = (
-    Rule("private_key", r"-----BEGIN[A-Z\x20]*PRIVATE\x20KEY-----"),
+    Rule("private_key", rf"-----BEGIN[A-Z\x20]*PRIVATE\x20KEY-----(?:{_TO_END}|{_LINES})?"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", least=30),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", least=40),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", least=15),

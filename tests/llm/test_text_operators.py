@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 import regex
@@ -259,6 +260,33 @@ def test_secrets_equal_brute_force(spark):
     assert clean == Counter((i, without(t)) for i, t in rows)
 
 
+def test_private_keys_go_whole(spark):
+    lines = ["MIIEpAIBAAKCAQEA" + "aB3+/" * 9 + f"{i:03d}" for i in range(30)] + ["Zm9vYmFy=="]
+    head, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    keys = [
+        "\n".join([head, *lines, end]),
+        "\r\n".join([head, "Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0123ABCD", "", *lines, end]),
+        "\\n".join([head, *lines, end]),
+        "\n".join([head, *lines]),
+        "\n".join([head, "Proc-Type: 4,ENCRYPTED", "Comment: (none).", "", *lines]),
+        "\n    ".join([head, *lines[:-1]]),
+        "\n".join([head, *lines, "-----END"]),
+        head,
+        "\n".join([head, *(lines * 700)]),
+    ]
+    rows = [(i, f"before {key}. After") for i, key in enumerate(keys)]
+    rows += [(50, f"{keys[0]} and {keys[0]}"), (51, f"{head} begins a key")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in secret_scan.redact_secrets(docs).collect()}
+    assert [got[i] for i in range(len(keys))] == ["before [SECRET]. After"] * len(keys)
+    assert got[50] == "[SECRET] and [SECRET]" and got[51] == "[SECRET] begins a key"
+    db = duckdb.connect()
+    db.register("documents", docs.toPandas())
+    spans = dict(db.execute("SELECT doc_id, spans FROM (" + secret_scan.oracle() + ")").fetchall())
+    ours = {r.doc_id: r.s for r in secret_scan.find_secrets(docs).select("doc_id", secret_scan.listed(F.col("spans")).alias("s")).collect()}
+    assert spans == ours
+
+
 def test_surrogates_are_consistent_distinct_and_typed(spark):
     rows = [
         (1, "bo.b@mail.example.com or BO.B@MAIL.EXAMPLE.COM, 4845168114407329 and 4845-1681-1440-7329, not 4845168114407328"),
