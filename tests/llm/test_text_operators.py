@@ -409,3 +409,15 @@ def test_classifier_on_held_out_texts():
     # Wherever it stands, also beyond the words that are scored at once.
     far = toxicity.words_of("than the " * 60_000 + "idiot " + "than the " * 60_000)
     assert model.scores([far, [], far[:100]])[0] > 0.5 > model.scores([far, [], far[:100]])[2]
+
+
+def test_a_language_of_few_rows_keeps_near_the_common_threshold(monkeypatch):
+    rows = [("en", 0.9 + i / 1000, 1) for i in range(40)] + [("en", 0.02 + i / 1000, 0) for i in range(40)]
+    rows += [("xx", 0.01, 1), ("xx", 0.02, 0), ("xx", 0.015, 0), ("xx", 0.005, 0), ("yy", 0.3, 0)]
+    rows += [("zz", 0.2 + i / 1000, 1) for i in range(400)] + [("zz", i / 10000, 0) for i in range(400)]
+    model = toxicity.Model.fresh(7)
+    monkeypatch.setattr(toxicity.Model, "scores", lambda self, texts: np.array(texts))
+    toxicity.calibrate(model, [r[1] for r in rows], [r[2] for r in rows], [r[0] for r in rows])
+    assert model.thresholds["xx"] > 0.02 and model.thresholds["xx"] > 0.9 * model.threshold
+    assert model.thresholds["yy"] == model.threshold
+    assert abs(model.thresholds["zz"] - 0.12) < 0.01
