@@ -4,12 +4,17 @@ production, to its whole table. SQL stands beside those that SQL can express."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from zlib import crc32
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import bpe, dual_tree, embedding_dedup, mixing, reputation, rollups, secret_scan, simhash, surrogates, toxicity
+from barlake.llm import (
+    bpe, centroids, dual_tree, embedding_dedup, exact_dedup, mixing, periodic, reputation, rollups, secret_scan, simhash,
+    surrogates, toxicity,
+)
 from barlake.llm.common import staged, table
 from barlake.session import shared_dir
 
@@ -131,3 +136,60 @@ def op9_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_pstable_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
+def repeated_tail(doc_id: int | None, count: int) -> np.ndarray | None:
+    """The places that the words of a document are taken from: a tenth of all documents, by
+    the checksum of their ids, repeat a stretch up to their end."""
+    h = crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not count:
+        return None
+    g = h // 10
+    start = g % count
+    period = 1 + (count - start) // (3 + g % 8)
+    return np.concatenate((np.arange(start), start + np.arange(count - start) % period))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = periodic.find_runs(docs, repeated_tail)
+    best = found.withColumn("best", periodic.strongest(F.col("runs")))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(periodic.listed(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op12_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = exact_dedup.exact_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+ORACLE["op12_exact_dedup"] = """
+    WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+    SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+        row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+    FROM texts WINDOW same AS (PARTITION BY t)"""
+
+
+@query
+def op13_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    found = centroids.cluster(centroids.integers(table(spark, folder, "embeddings")))
+    # One row for each cluster.
+    sums = found.rows.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("own"))
+    whole = found.rows.agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("whole"))
+    return found.rows.join(sums, "cluster").join(F.broadcast(whole)).select(
+        "vec_id", "cluster", "distance",
+        F.col("own").cast("long").alias("cluster_inertia"),
+        F.col("whole").cast("long").alias("inertia"),
+        found.digest(F.col("cluster")).alias("centroid_sha256"),
+    )
+
+
+ORACLE["op13_centroids"] = centroids.oracle()
