@@ -114,12 +114,12 @@ def settle(points: np.ndarray, centroids: np.ndarray, drift: np.ndarray, heaps:
 # --- on tables ---------------------------------------------------------------------------
 
 _STATE = (
-    "block long, entries array<double>, members array<int>, sizes array<int>, "
-    "sums array<long>, counts array<long>, looked long"
+    # Changes: of the clusters' sums, then of their counts, then how many vectors were measured.
+    "block long, entries array<double>, members array<int>, sizes array<int>, changes array<long>"
 )
 _STATE_ARROW = pa.schema([
     ("block", pa.int64()), ("entries", pa.list_(pa.float64())), ("members", pa.list_(pa.int32())),
-    ("sizes", pa.list_(pa.int32())), ("sums", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())), ("looked", pa.int64()),
+    ("sizes", pa.list_(pa.int32())), ("changes", pa.list_(pa.int64())),
 ])
 _ANSWER_ARROW = pa.schema([("vec_id", pa.int64()), ("cluster", pa.int32()), ("distance", pa.int64())])
 
@@ -151,6 +151,12 @@ class Clustering:
     centroids: list[list[int]]
     looked: list[int]
 
+    def inertia(self) -> list[int]:
+        """The distances summed for each cluster: one number each, exact."""
+        summed = self.rows.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("own")).collect()
+        found = {row.cluster: int(row.own) for row in summed}
+        return [found.get(number, 0) for number in range(len(self.centroids))]
+
     def digest(self, cluster: Column) -> Column:
         """SHA-256 of a cluster's centroid, components as decimals joined by commas."""
         hashes = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in self.centroids]
@@ -188,7 +194,7 @@ def _round(centroids: list[list[int]], drift: list[float], last: bool) -> Callab
                 every = [entry for heap in heaps for entry in heap]
                 values = [
                     row["block"].as_py(), [e for e, _ in every], [m for _, m in every], [len(heap) for heap in heaps],
-                    sums.ravel().tolist(), counts.tolist(), looked,
+                    [*sums.ravel().tolist(), *counts.tolist(), looked],
                 ]
                 columns = [pa.array([value], field.type) for value, field in zip(values, _STATE_ARROW)]
                 yield pa.RecordBatch.from_arrays(columns, schema=_STATE_ARROW)
@@ -196,9 +202,9 @@ def _round(centroids: list[list[int]], drift: list[float], last: bool) -> Callab
     return work
 
 
-def _changes(state: DataFrame, column: str) -> list[int]:
-    """Column sums over all blocks, as whole numbers of any size: one row for each place."""
-    each = state.select(F.posexplode(column).alias("place", "change"))
+def _changes(state: DataFrame) -> list[int]:
+    """Sums over all blocks, as whole numbers of any size: one row for each place."""
+    each = state.select(F.posexplode("changes").alias("place", "change"))
     summed = each.groupBy("place").agg(F.sum(F.col("change").cast("decimal(38,0)")).alias("change")).collect()
     return [int(row.change) for row in sorted(summed, key=lambda row: row.place)]
 
@@ -229,11 +235,12 @@ def cluster(points: DataFrame, clusters: int = CLUSTERS, rounds: int = ROUNDS, b
         sums, counts = np.zeros((len(here), size), object), np.zeros(len(here), object)
         drift, state, looked = np.zeros(len(here)), None, []
         for _ in range(rounds):
-            joined = packed if state is None else packed.join(state.drop("sums", "counts", "looked"), "block")
+            joined = packed if state is None else packed.join(state.drop("changes"), "block")
             state = tables.write(joined.mapInArrow(_round(here, drift.tolist(), False), _STATE))
-            sums = sums + np.array(_changes(state, "sums"), object).reshape(sums.shape)
-            counts = counts + np.array(_changes(state, "counts"), object)
-            looked.append(state.agg(F.sum("looked")).first()[0])
+            *changes, measured_now = _changes(state)
+            looked.append(measured_now)
+            sums = sums + np.array(changes[: sums.size], object).reshape(sums.shape)
+            counts = counts + np.array(changes[sums.size :], object)
             there = [
                 [int(total) // int(count) for total in row] if count else old
                 for row, count, old in zip(sums, counts, here)
@@ -241,7 +248,7 @@ def cluster(points: DataFrame, clusters: int = CLUSTERS, rounds: int = ROUNDS, b
             ways = np.array([sum((a - b) ** 2 for a, b in zip(x, y)) ** 0.5 for x, y in zip(here, there)])
             others = [np.delete(ways, number).max(initial=0.0) for number in range(len(ways))]
             here, drift = there, drift + ways + others
-        joined = packed if state is None else packed.join(state.drop("sums", "counts", "looked"), "block")
+        joined = packed if state is None else packed.join(state.drop("changes"), "block")
         answer = joined.mapInArrow(_round(here, drift.tolist(), True), "vec_id long, cluster int, distance long")
         return Clustering(staged(answer, "centroid-rows"), here, looked)
     finally:

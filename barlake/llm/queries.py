@@ -181,13 +181,11 @@ ORACLE["op12_exact_dedup"] = """
 @query
 def op13_centroids(spark: SparkSession, folder: str) -> DataFrame:
     found = centroids.cluster(centroids.integers(table(spark, folder, "embeddings")))
-    # One row for each cluster.
-    sums = found.rows.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("own"))
-    whole = found.rows.agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("whole"))
-    return found.rows.join(sums, "cluster").join(F.broadcast(whole)).select(
+    own = found.inertia()
+    return found.rows.select(
         "vec_id", "cluster", "distance",
-        F.col("own").cast("long").alias("cluster_inertia"),
-        F.col("whole").cast("long").alias("inertia"),
+        F.element_at(F.array(*[F.lit(n).cast("long") for n in [*own, 0]]), F.col("cluster") + 1).alias("cluster_inertia"),
+        F.lit(sum(own)).cast("long").alias("inertia"),
         found.digest(F.col("cluster")).alias("centroid_sha256"),
     )
 
