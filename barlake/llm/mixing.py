@@ -1,10 +1,12 @@
 """Mixing sources to target weights by subset-sum budget fitting.
 
 Documents are counted by exact length for each source. A source's target becomes a number of
-whole passes over it and a remaining budget. The budget is first filled in proportion to the
-counts of every length, then a bounded-knapsack dynamic program over the counts left closes
-the rest, so the lengths taken sum to the budget as closely as they can. Which documents of a
-length are taken follows from a seeded hash of their ids.
+whole passes over it and a remaining budget. A small budget is met by a bounded-knapsack
+dynamic program over all counts. A larger one is first filled in proportion to the counts of
+every length; then a bounded-knapsack program over changes, documents to be added and taken
+ones to be given back, closes the rest. Its window of sums widens until the budget is met,
+up to the whole budget, where the program is exhaustive, or to a multiple of the longest text.
+Which documents of a length are taken follows from a seeded hash of their ids.
 """
 
 from __future__ import annotations
@@ -23,8 +25,10 @@ MOST_PASSES = 3
 SEED = 17
 # Documents of one source and length are ranked within so many hash ranges.
 RANGES = 1024
-# Budget, in words, that the dynamic program closes.
-CLOSED = 1 << 15
+# Widths, in words, of the dynamic program's windows of sums; the last one is widened to
+# LONGEST times the longest text. A window takes five bytes for each of its sums.
+WINDOWS = (1 << 15, 1 << 20, 1 << 24)
+LONGEST = 8
 
 
 def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, passes: int = MOST_PASSES) -> DataFrame:
@@ -55,54 +59,138 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, passes: int
 
 def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int = SEED) -> np.ndarray:
     """How many texts of each length to take, so that their lengths sum to ``budget`` as
-    closely as possible (the smaller sum of two equally close ones)."""
+    closely as possible (the smaller sum of two equally close ones).
+
+    Exhaustive for budgets up to the last window. Beyond it the answer is the closest that
+    changes of the proportional choice within that window reach.
+    """
     total = int((lengths * counts).sum())
-    taken = np.zeros(len(lengths), np.int64)
     if budget <= 0 or not total:
-        return taken
+        return np.zeros(len(lengths), np.int64)
     if budget >= total:
         return counts.copy()
-    # In proportion, by exact integer arithmetic, but for a budget that the program closes.
-    open_part = max(0, budget - CLOSED // 2)
-    taken = np.array([int(c) * open_part // total for c in counts], np.int64) if budget > CLOSED else taken
+    # Sums are multiples of the common divisor: the nearest one is aimed at.
+    step = int(np.gcd.reduce(lengths))
+    parts, aim = lengths // step, (2 * budget + step - 1) // (2 * step)
+    away = lambda taken: abs(int((lengths * taken).sum()) - budget)
+    widest = max(WINDOWS[-1], LONGEST * int(parts.max()))
+    if aim <= WINDOWS[0]:
+        return min(_whole(parts, counts, aim), key=away)
+    draw = np.random.default_rng(seed)
+    best = _filled(parts, counts, aim, draw.permutation(len(parts)))
+    # Another order: texts taken and texts left alternate in it.
+    order = draw.permutation(len(parts))
+    for width in (*WINDOWS[:-1], widest):
+        if int((parts * best).sum()) == aim:
+            return best
+        if width == widest and aim <= widest:
+            return min([best, *_whole(parts, counts, aim)], key=lambda taken: (away(taken), int((lengths * taken).sum())))
+        # A smaller sum of two equally close ones comes first.
+        best = min((best, _changed(parts, counts, best, aim, width, order)), key=lambda t: (away(t), int((parts * t).sum())))
+    return best
+
+
+def _filled(lengths: np.ndarray, counts: np.ndarray, budget: int, order: np.ndarray) -> np.ndarray:
+    """Counts in proportion, rounded down, then one more text of some lengths, in the order
+    given, while they fit and much is left."""
+    total, small = int((lengths * counts).sum()), WINDOWS[0] // 2
+    taken = np.array([int(c) * max(0, budget - small // 2) // total for c in counts], np.int64)
     rest = budget - int((lengths * taken).sum())
-    order = np.random.default_rng(seed).permutation(len(lengths))
     for i in order:
-        if rest <= CLOSED:
+        if rest <= small:
             break
         if counts[i] > taken[i] and lengths[i] <= rest:
-            more = min(int(counts[i] - taken[i]), (rest - CLOSED) // int(lengths[i]) + 1, rest // int(lengths[i]))
-            taken[i] += more
-            rest -= more * int(lengths[i])
-    return taken + _closest(lengths, counts - taken, rest)
-
-
-def _closest(lengths: np.ndarray, left: np.ndarray, budget: int) -> np.ndarray:
-    """Bounded knapsack: a bit set holds the sums that the lengths so far can reach; a length
-    with many texts enters as 1, 2, 4, ... of them. Stops as soon as the budget is met."""
-    longest = int(lengths.max(initial=0))
-    mask = (1 << (budget + longest + 1)) - 1
-    reached, steps = 1, []
-    for i in np.argsort(-lengths, kind="stable"):
-        length, count, size = int(lengths[i]), int(left[i]), 1
-        count = min(count, budget // length + 1) if length else 0
-        while count and not reached >> budget & 1:
-            size = min(size, count)
-            steps.append((i, size, reached))
-            reached |= reached << length * size & mask
-            count -= size
-            size *= 2
-    below = (reached & ((1 << (budget + 1)) - 1)).bit_length() - 1
-    above = reached >> (budget + 1)
-    # The lowest sum beyond the budget, if it comes closer.
-    gap = (above & -above).bit_length() if above else None
-    best = budget + gap if gap is not None and gap < budget - below else below
-    added = np.zeros(len(lengths), np.int64)
-    for i, size, before in reversed(steps):
-        if not before >> best & 1:
-            added[i] += size
-            best -= int(lengths[i]) * size
-    return added
+            taken[i] += 1
+            rest -= int(lengths[i])
+    return taken
+
+
+def _portions(count: int) -> Iterator[int]:
+    """1, 2, 4, ... and the rest: sums of them give every number up to ``count``."""
+    size = 1
+    while count > 0:
+        yield min(size, count)
+        count -= min(size, count)
+        size *= 2
+
+
+def _whole(lengths: np.ndarray, counts: np.ndarray, budget: int) -> list[np.ndarray]:
+    """Bounded knapsack over all sums up to the budget: the counts of the largest sum within
+    it and of the smallest beyond it. Stops as soon as the budget is met.
+
+    ``last`` holds the portion that reached a sum first. The smallest sum beyond is reached
+    from one within by one more portion, or it would not be the smallest.
+    """
+    last = np.full(budget + 1, -1, np.int32)
+    last[0] = 0
+    portions, top = [(0, 0)], 0
+    beyond, by = None, (0, 0)
+    for i in np.argsort(lengths, kind="stable"):
+        length = int(lengths[i])
+        for size in _portions(min(int(counts[i]), budget // length + 1)):
+            weight = size * length
+            # The smallest sum that this portion carries beyond the budget.
+            start = max(0, budget + 1 - weight)
+            over = np.argmax(last[start : top + 1] >= 0) if start <= top else 0
+            if start <= top and last[start + over] >= 0 and (beyond is None or start + over + weight < beyond):
+                beyond, by = start + int(over) + weight, (i, size)
+                from_sum = start + int(over)
+            if weight <= budget:
+                high = min(top, budget - weight)
+                new = np.flatnonzero((last[: high + 1] >= 0) & (last[weight : weight + high + 1] < 0)) + weight
+                last[new] = len(portions)
+                top = max(top, int(new[-1])) if len(new) else top
+            portions.append((i, size))
+            if last[budget] >= 0:
+                return [_traced(last, portions, lengths, budget)]
+        if length > budget:
+            break  # longer ones only go farther beyond
+    found = [_traced(last, portions, lengths, top)]
+    if beyond is not None:
+        more = _traced(last, portions, lengths, from_sum)
+        more[by[0]] += by[1]
+        found.append(more)
+    return found
+
+
+def _traced(last: np.ndarray, portions: list[tuple[int, int]], lengths: np.ndarray, place: int) -> np.ndarray:
+    """The counts whose portions lead to a place; every portion was reached before the next."""
+    change = np.zeros(len(lengths), np.int64)
+    while last[place]:
+        i, size = portions[last[place]]
+        change[i] += size
+        place -= size * int(lengths[i])
+    return change
+
+
+def _changed(
+    lengths: np.ndarray, counts: np.ndarray, taken: np.ndarray, budget: int, width: int, order: np.ndarray
+) -> np.ndarray:
+    """Bounded knapsack over changes of ``taken``: portions of texts added or given back, as
+    long as the change stays within the window. The choice whose sum is closest to the budget."""
+    half = width // 2
+    aim = half + budget - int((lengths * taken).sum())
+    last = np.full(2 * half + 1, -1, np.int32)
+    last[half] = 0
+    portions, low, high = [(0, 0)], half, half
+    if not 0 <= aim <= 2 * half:
+        return taken
+    for i in order:
+        for sign, most in ((1, int(counts[i] - taken[i])), (-1, int(taken[i]))):
+            for size in _portions(most):
+                weight = sign * size * int(lengths[i])
+                a, b = max(low, -min(weight, 0)), min(high, 2 * half - max(weight, 0))
+                if a > b:
+                    continue
+                new = np.flatnonzero((last[a : b + 1] >= 0) & (last[a + weight : b + 1 + weight] < 0)) + a + weight
+                last[new] = len(portions)
+                portions.append((i, sign * size))
+                if len(new):
+                    low, high = min(low, int(new[0])), max(high, int(new[-1]))
+                if last[aim] >= 0:
+                    return taken + _traced(last, portions, lengths, aim)
+    reached = np.flatnonzero(last >= 0)
+    return taken + _traced(last, portions, lengths, int(reached[np.abs(reached - aim).argmin()]))
 
 
 def _fit_sources(histogram: DataFrame, seed: int) -> DataFrame:

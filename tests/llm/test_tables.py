@@ -116,3 +116,29 @@ def test_the_rest_works_without_this_subpackage(tmp_path):
     copy = shutil.copytree(root, tmp_path / "rest", ignore=left)
     code = "import __spark_entry__ as e; assert len(e.queries()) > 70 and 'pipeline' not in e.queries()"
     subprocess.run([sys.executable, "-c", code], cwd=copy, check=True, timeout=100)
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="given tables are not here")
+def test_sizes_and_targets_of_the_mix_equal_sql(spark):
+    """What SQL can express of the mix. Capping goes on for as many rounds as sources."""
+    rounds = ", ".join(
+        f"""s{n + 1} AS (SELECT source, size, w, coalesce(target, CASE WHEN share * w >= 3 * size THEN 3.0 * size END) AS target
+        FROM (SELECT *, (sum(size) OVER () - coalesce(sum(target) OVER (), 0)) / (sum(CASE WHEN target IS NULL THEN w END) OVER ()) AS share
+        FROM s{n}))"""
+        for n in range(20)
+    )
+    sql = f"""
+        WITH sized AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents),
+        s0 AS (SELECT source, sum(size)::double AS size, [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w,
+            NULL::double AS target FROM sized GROUP BY source), {rounds},
+        aimed AS (SELECT source, size AS source_size, coalesce(target, w * (sum(size) OVER () - coalesce(sum(target) OVER (), 0))
+            / (sum(CASE WHEN target IS NULL THEN w END) OVER ())) AS target FROM s20)
+        SELECT doc_id, z.size, source_size::bigint, target FROM sized z JOIN aimed a ON z.source IS NOT DISTINCT FROM a.source"""
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{FOLDER}/documents.parquet'")
+    want = {row[0]: row[1:] for row in con.execute(sql).fetchall()}
+    got = contract.queries()["op1_mix"](spark, FOLDER).collect()
+    assert len(got) == len(want)
+    for r in got:
+        size, source_size, target = want[r.doc_id]
+        assert (r["size"], r.source_size) == (size, source_size) and r.target == pytest.approx(target)
