@@ -8,6 +8,7 @@ expression runs on its candidates only. Rules without a mandatory sequence run o
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from itertools import product
 from re import _parser as parser
@@ -50,8 +51,10 @@ BASE = (
 )
 
 # What follows a private key's first line: all up to its last line, or, if that is missing,
-# header lines and the lines of base64. Bounded repeats: no engine runs out of stack.
-_TO_END = r"[A-Za-z0-9+/=\x09-\x0D\x20:,\\\"'-]*?-----END[A-Z\x20]*-{0,5}"
+# header lines and the lines of base64. The body holds single hyphens only, a few of them, so
+# no search goes on past the next header. Bounded repeats: no engine runs out of stack.
+_BODY = r"[A-Za-z0-9+/=\x09-\x0D\x20:,\\\"']"
+_TO_END = rf"{_BODY}*(?:-{_BODY}+){{0,12}}-----END[A-Z\x20]*-{{0,5}}"
 _LINES = (
     r"(?:[\x0A\x0D]+[A-Za-z-]+:\x20[^\x0A\x0D]*){0,5}[\x09-\x0D\x20\\\"']*[A-Za-z0-9+/=]{16}[A-Za-z0-9+/=\x0A\x0D\\]*"
     r"(?:[\x09\x20\"',+]+[A-Za-z0-9+/=]{16}[A-Za-z0-9+/=\x0A\x0D\\]*){0,60}"
@@ -192,34 +195,66 @@ def _holds(query: Query) -> Column:
 SPAN = "struct<start:int,rank:int,end:int,kind:string>"
 
 
-def _spans(text: Column, rule: Rule, rank: int) -> Column:
-    """The counting matches of a rule in a text, positions in code points. The pieces
-    between the matches give the positions."""
+def _given(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once: inside functions of functions a column
+    would be computed at every step."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running(values: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """For each of some whole numbers, what merging all before it gives, from 0 on.
+
+    An array that grows by one is copied whole, so the numbers are merged in parts of the
+    square root of their count: first each part, then the parts, then within each again.
+    """
+    zero = F.lit(0)
+    grown = lambda part, start: F.aggregate(
+        part, F.array(start), lambda all_, x: F.concat(all_, F.array(merge(F.element_at(all_, -1), x)))
+    )
+
+    def whole(every: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(every))).cast("int")
+        cut = F.transform(F.sequence(zero, F.floor((F.size(every) - 1) / width).cast("int")), lambda c: F.slice(every, c * width + 1, width))
+        return _given(cut, lambda parts: F.flatten(F.zip_with(
+            parts,
+            F.slice(grown(F.transform(parts, lambda part: F.aggregate(part, zero, merge)), zero), 1, F.size(parts)),
+            lambda part, start: F.slice(grown(part, start), 1, F.size(part)),
+        )))
+
+    return _given(values, lambda every: F.when(F.size(every) > 0, whole(every)).otherwise(every))
+
+
+def _spans(text: Column, rule: Rule, rank: int, unit: Callable[[Column], Column]) -> Column:
+    """The counting matches of a rule in a text. The pieces between the matches give the
+    positions."""
     pattern = F.lit(rule.pattern)
-    pieces = F.transform(F.split(text, rule.pattern, -1), F.length)
-    sizes = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), F.length)
-    counted = F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), F.length)
-    every = F.zip_with(
-        F.zip_with(F.slice(pieces, 1, F.size(sizes)), sizes, lambda gap, size: F.struct(gap.alias("gap"), size.alias("size"))),
-        counted,
-        lambda at, group: F.struct(at["gap"].alias("gap"), at["size"].alias("size"), group.alias("group")),
+    found = F.struct(
+        F.transform(F.split(text, rule.pattern, -1), unit).alias("gaps"),
+        F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), unit).alias("sizes"),
+        F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), F.length).alias("counted"),
     )
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("found"))
 
-    def step(state: Column, match: Column) -> Column:
-        start = state["at"] + match["gap"]
-        end = start + match["size"]
-        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(rule.kind).alias("kind"))
-        found = F.when(match["group"] >= rule.least, F.concat(state["found"], F.array(span)))
-        return F.struct(end.alias("at"), F.coalesce(found, state["found"]).alias("found"))
+    def placed(all_: Column) -> Column:
+        gaps = F.slice(all_["gaps"], 1, F.size(all_["sizes"]))
+        before = _running(F.zip_with(gaps, all_["sizes"], lambda gap, size: gap + size), lambda a, b: a + b)
+        starts = F.zip_with(before, gaps, lambda at, gap: at + gap)
+        spans = F.zip_with(starts, F.arrays_zip(all_["sizes"].alias("size"), all_["counted"].alias("counted")), lambda start, m: F.struct(
+            start.alias("start"), F.lit(rank).alias("rank"), (start + m["size"]).alias("end"), F.lit(rule.kind).alias("kind"),
+            m["counted"].alias("counted"),
+        ))
+        kept = F.filter(spans, lambda s: s["counted"] >= rule.least)
+        return F.transform(kept, lambda s: F.struct(*[s[name].alias(name) for name in ("start", "rank", "end", "kind")]))
 
-    return F.aggregate(every, begin, step, lambda state: state["found"])
+    return _given(found, placed)
 
 
-def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, into: str = "spans") -> DataFrame:
+def find_secrets(
+    docs: DataFrame, rules: tuple[Rule, ...] = RULES, into: str = "spans", unit: Callable[[Column], Column] = F.length
+) -> DataFrame:
     """The rows of ``docs`` (doc_id, text and any other columns) with a column ``into``, an
     array of (start, rank, end, kind) by start and then rule; empty for null and clean texts.
-    A column of ``docs`` with that name is replaced.
+    A column of ``docs`` with that name is replaced. Positions are in code points, or, with
+    ``unit`` octet_length, in bytes.
 
     Repeated rows stay repeated. Rows without doc_id are not in the index and are scanned
     by every rule.
@@ -237,7 +272,7 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, into: str = "
         if trigram_query(rule.pattern):
             asked = F.col("row.doc_id").isNull() | F.coalesce(F.array_contains(kinds, rule.kind), F.lit(False))
             here = asked & here
-        spans.append(F.when(here, _spans(text, rule, rank)).otherwise(none))
+        spans.append(F.when(here, _spans(text, rule, rank, unit)).otherwise(none))
     kept = [F.col("row")[c].alias(c) for c in docs.columns if c != into]
     return rows.select(*kept, F.array_sort(F.concat(*spans)).alias(into))
 
@@ -251,25 +286,30 @@ def listed(spans: Column) -> Column:
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with every run of overlapping spans replaced by a mark."""
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(state: Column, span: Column) -> Column:
-        gap = F.substring(text, state["at"] + 1, F.greatest(span["start"] - state["at"], F.lit(0)))
-        out = F.when(span["start"] >= state["at"], F.concat(state["out"], gap, F.lit(mark))).otherwise(state["out"])
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), out.alias("out"))
+    """The text with every run of overlapping spans, in bytes and by start, replaced by a
+    mark. Bytes are cut where they lie; characters would be counted from the front each time."""
+
+    def cut(all_: Column) -> Column:
+        spans_, whole = all_["spans"], all_["bytes"]
+        reached = _running(F.transform(spans_, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+        runs = F.filter(
+            F.zip_with(spans_, reached, lambda s, at: F.struct(s["start"].alias("start"), at.alias("at"))),
+            lambda r: r["start"] >= r["at"],
+        )
+        gaps = F.transform(runs, lambda r: F.substring(whole, r["at"] + 1, r["start"] - r["at"]).cast("string"))
+        last = F.array_max(F.transform(spans_, lambda s: s["end"]))
+        rest = F.substring(whole, last + 1, F.length(whole)).cast("string")
+        return F.concat(F.array_join(gaps, mark), F.lit(mark), rest)
 
-    changed = F.aggregate(
-        spans, begin, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text)))
-    )
-    return F.when(F.size(spans) > 0, changed).otherwise(text)
+    both = F.struct(text.cast("binary").alias("bytes"), spans.alias("spans"))
+    return F.when(F.size(spans) > 0, _given(both, cut)).otherwise(text)
 
 
 def redact_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with every secret replaced in ``text`` and ``n_chars`` counted anew for the
     texts that changed. No row goes."""
     spans = "secret spans"
-    found = find_secrets(docs, rules, spans)
+    found = find_secrets(docs, rules, spans, F.octet_length)
     clean = redacted(F.col("text"), F.col(spans))
     columns = [
         clean.alias("text") if c == "text"

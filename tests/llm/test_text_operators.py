@@ -155,6 +155,49 @@ def test_knapsack_is_exact():
         assert abs(int((taken * lengths).sum()) - budget) == min(abs(s - budget) for s in sums)
 
 
+def test_changes_within_windows_are_exact(monkeypatch):
+    """With windows far below the budgets, against all sums."""
+    for windows, longest in (((8, 16, 4000), 8), ((8, 16, 32), 30)):
+        monkeypatch.setattr(mixing, "WINDOWS", windows)
+        monkeypatch.setattr(mixing, "LONGEST", longest)
+        for seed in range(150):
+            draw = random.Random(seed)
+            step = draw.choice([1, 1, 3])
+            lengths = np.array(sorted(draw.sample(range(5, 60), draw.randint(2, 8)))) * step
+            counts = np.array([draw.randint(1, 5) for _ in lengths])
+            budget = draw.randint(1, int((lengths * counts).sum()) - 1)
+            taken = mixing.fit_counts(lengths, counts, budget)
+            assert (taken >= 0).all() and (taken <= counts).all()
+            sums = {0}
+            for length, count in zip(lengths, counts):
+                sums = {s + length * n for s in sums for n in range(count + 1)}
+            assert abs(int((taken * lengths).sum()) - budget) == min(abs(s - budget) for s in sums)
+
+
+def test_long_documents_close_the_budget():
+    draw = np.random.default_rng(40)
+    for _ in range(4):
+        lengths = np.unique(draw.integers(33_000, 60_000, 40))
+        budget = int(lengths[draw.random(len(lengths)) < 0.4].sum())
+        assert (mixing.fit_counts(lengths, np.ones(len(lengths), int), budget) * lengths).sum() == budget
+        assert (mixing.fit_counts(lengths, np.ones(len(lengths), int), 713_481) * lengths).sum() == 713_481
+
+
+def test_books_close_the_budget_in_bounded_memory():
+    import tracemalloc
+
+    draw = np.random.default_rng(41)
+    lengths = np.unique(draw.integers(300, 1_500_000, 9000))
+    tracemalloc.start()
+    taken = mixing.fit_counts(lengths, draw.integers(1, 4, len(lengths)), 3_456_789_013)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (taken * lengths).sum() == 3_456_789_013 and most < 200e6
+    few = np.arange(1_400_001, 1_500_000, 16)  # none is short
+    taken = mixing.fit_counts(few, np.ones(len(few), int), 1_234_567_891)
+    assert (taken * few).sum() == 1_234_567_891
+
+
 def test_large_budgets_keep_the_mix_of_lengths():
     lengths, counts = np.arange(1, 400), np.full(399, 1000)
     taken = mixing.fit_counts(lengths, counts, 40_000_001)
@@ -287,6 +330,27 @@ def test_private_keys_go_whole(spark):
     assert spans == ours
 
 
+def test_time_grows_with_the_text(spark):
+    """Each of these took minutes or more when work grew with the square of the matches."""
+    import time
+
+    head = "-----BEGIN PRIVATE KEY----- a "
+    texts = {
+        1: head * 100_000,
+        2: "é token=abcdefgh12 " * 100_000,
+        3: "-----BEGIN PRIVATE KEY-----\nA: b\n" * 50_000,
+        4: "-----BEGIN PRIVATE KEY-----" + "-a" * 500_000,
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    began = time.perf_counter()
+    clean = {r.doc_id: r.text for r in secret_scan.redact_secrets(docs).collect()}
+    spans = {r.doc_id: r.spans for r in secret_scan.find_secrets(docs).collect()}
+    assert time.perf_counter() - began < 60
+    assert clean[1] == "[SECRET] a " * 100_000 and clean[2] == "é [SECRET] " * 100_000
+    assert [s.start for s in spans[2]] == [19 * i + 2 for i in range(100_000)]
+    assert len(spans[3]) == 50_000 and len(spans[4]) == 1
+
+
 def test_surrogates_are_consistent_distinct_and_typed(spark):
     rows = [
         (1, "bo.b@mail.example.com or BO.B@MAIL.EXAMPLE.COM, 4845168114407329 and 4845-1681-1440-7329, not 4845168114407328"),
