@@ -475,6 +475,40 @@ def test_classifier_on_held_out_texts():
     assert model.scores([far, [], far[:100]])[0] > 0.5 > model.scores([far, [], far[:100]])[2]
 
 
+def test_few_labels_are_not_learnt_by_heart():
+    """Thirty toxic texts of words that occur once, but for five that they share."""
+    draw, labels, texts = random.Random(33), [], []
+    for i in range(700):
+        toxic = draw.random() < 1 / 12
+        text = ["".join(draw.choice("aeioulmnrst") for _ in range(8)) for _ in range(draw.randint(60, 300))]
+        for _ in range(2 if toxic else 0):
+            text.insert(draw.randrange(len(text)), draw.choice(["scum", "idiot", "loser", "pathetic", "trash"]))
+        texts.append(toxicity.words_of(" ".join(text)))
+        labels.append(int(toxic))
+    model = toxicity.trained(texts[:400], labels[:400], ["en"] * 400)
+    scores, truth = model.scores(texts[400:]), np.array(labels[400:])
+    assert model.threshold == 0.5
+    assert (scores[truth == 1] >= 0.5).mean() >= 0.8 and (scores[truth == 0] >= 0.5).mean() <= 0.03
+
+
+def test_the_output_moves_with_the_threshold():
+    words = [[b"bad"], [b"good"]]
+    model = toxicity.fit(words * 40, [1, 0] * 40)
+    model.offset -= 3
+    toxicity.calibrate(model, words * 40, [1, 0] * 40, ["en"] * 80)
+    bad, good = model.scores(words)
+    assert good < 0.5 <= bad and model.thresholds["en"] == pytest.approx(0.5)
+
+
+def test_lots_of_texts_are_bounded(monkeypatch):
+    import pandas as pd
+
+    monkeypatch.setattr(toxicity, "CHARACTERS_AT_ONCE", 10)
+    texts = pd.Series(["abc", None, "", "d" * 25, "ef", "g" * 8])
+    lots = list(toxicity._lots(texts))
+    assert pd.concat(lots).equals(texts) and len(lots) > 2
+
+
 def test_a_language_of_few_rows_keeps_near_the_common_threshold(monkeypatch):
     rows = [("en", 0.9 + i / 1000, 1) for i in range(40)] + [("en", 0.02 + i / 1000, 0) for i in range(40)]
     rows += [("xx", 0.01, 1), ("xx", 0.02, 0), ("xx", 0.015, 0), ("xx", 0.005, 0), ("yy", 0.3, 0)]
@@ -484,4 +518,6 @@ def test_a_language_of_few_rows_keeps_near_the_common_threshold(monkeypatch):
     toxicity.calibrate(model, [r[1] for r in rows], [r[2] for r in rows], [r[0] for r in rows])
     assert model.thresholds["xx"] > 0.02 and model.thresholds["xx"] > 0.9 * model.threshold
     assert model.thresholds["yy"] == model.threshold
-    assert abs(model.thresholds["zz"] - 0.12) < 0.01
+    # The output moved by the offset; 0.12 is before that.
+    odds = np.log(model.thresholds["zz"] / (1 - model.thresholds["zz"])) - model.offset
+    assert abs(1 / (1 + np.exp(-odds)) - 0.12) < 0.01
