@@ -1,16 +1,22 @@
 """Three Parquet tables with keys: stocks, stock_prices, daily_aggregates.
 
-Layout: prices by day, bars by month; the files of one write hold disjoint ranges of symbols
-and are sorted, so that their statistics stand in for an index. A write first stages its input in a written
-table (so it is computed once and counted exactly, whatever tasks are run again), then
-touches only the partitions the input has rows for. One writer per table at a time.
+Layout: prices by day, bars by month; the files of one write are sorted by symbol, large
+ones hold disjoint ranges of symbols, so that their statistics stand in for an index. A write
+stages its input in a written table (so it is computed once and counted exactly, whatever
+tasks are run again), writes the partitions it has rows for once, into a folder of its own,
+and publishes them as the table's next version (``snapshots``).
+
+The price table has two indexes, published with it: hashes of all ids with their days, and
+the newest day of every symbol. Small segments of a day and of an index are merged by eights.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
-from dataclasses import dataclass
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +35,17 @@ from barlake.operators.normalize import (
 )
 from barlake.operators.validate import duplicate_keys
 from barlake.session import shared_dir
+from barlake.sources.snapshots import ConcurrentWrite, Files, Segment, Version, Versions
+
+# Rows of a partition that one task writes; more are dealt to tasks by ranges of symbols.
+FILE_ROWS = 1 << 20
+# So many segments of one level are merged into one of the next.
+FAN = 8
+# Keys of a bucket of the id index, and buckets that are looked up one by one.
+BUCKET_KEYS = 1 << 21
+MOST_BUCKETS = 1 << 12
+# Batches up to this are looked up by value: Parquet then consults its Bloom filters.
+FEW = 10
 
 
 class KeyViolation(ValueError):
@@ -55,6 +72,10 @@ class Table:
             return F.to_date("timestamp")
         return F.date_format("date", "yyyy-MM")
 
+    @property
+    def required(self) -> list[str]:
+        return [f.name for f in self.schema.fields if not f.nullable]
+
 
 STOCKS = Table("stocks", schemas.STOCKS, ("symbol",), order=("symbol",))
 STOCK_PRICES = Table(
@@ -74,30 +95,51 @@ DAILY_AGGREGATES = Table(
 JOB_RUNS = Table("job_runs", schemas.JOB_RUNS, ())
 TABLES = {t.name: t for t in (STOCKS, STOCK_PRICES, DAILY_AGGREGATES, JOB_RUNS)}
 
+_KEYS, _ZONES = "key long, day date, bucket int", "symbol string, day date"
+
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
+        self.files = Files(spark)
 
     # ---- tables -------------------------------------------------------------
 
     def path(self, table: Table) -> str:
         return f"{self.root}/{table.name}"
 
+    def versions(self, table: Table) -> Versions:
+        return Versions(self.files, self.path(table), table.partition.name if table.partition else None)
+
     def create_missing(self) -> Warehouse:
         """Create every table that does not exist; existing ones are left alone."""
         for table in TABLES.values():
-            empty = self.spark.createDataFrame([], table.stored)
-            writer = empty.write.mode("ignore")
-            if table.partition:
-                writer = writer.partitionBy(table.partition.name)
-            writer.parquet(self.path(table))
+            versions = self.versions(table)
+            if versions.current().number < 0:
+                try:
+                    versions.publish(Version())
+                except ConcurrentWrite:
+                    pass  # created by somebody else
         return self
 
-    def stored(self, table: Table) -> DataFrame:
-        """The table with its partition column."""
-        return self.spark.read.schema(table.stored).parquet(self.path(table))
+    def stored(
+        self, table: Table, wanted: Callable[[str], bool] | None = None, version: Version | None = None
+    ) -> DataFrame:
+        """The table, in its newest version unless given, with its partition column;
+        ``wanted`` picks partitions by their value before anything is listed or read."""
+        version = version or self.versions(table).current()
+        return self._segments(
+            table, {v: s for v, s in version.parts.items() if wanted is None or wanted(v)}
+        )
+
+    def _segments(self, table: Table, parts: dict[str, list[Segment]]) -> DataFrame:
+        name = table.partition.name if table.partition else None
+        folders = sorted({Version.folder(name, value, s) for value, segments in parts.items() for s in segments})
+        if not folders:
+            return self.spark.createDataFrame([], table.stored)
+        reader = self.spark.read.schema(table.stored).option("basePath", f"{self.path(table)}/data")
+        return reader.parquet(*[f"{self.path(table)}/{folder}" for folder in folders]).select(*table.stored.names)
 
     def read(self, name: str) -> DataFrame:
         table = TABLES[name]
@@ -120,9 +162,11 @@ class Warehouse:
 
     def bars(self, start: dt.date, end: dt.date) -> DataFrame:
         """All bars of a span, both ends included, from the months concerned only."""
-        month = F.col("month").between(f"{start:%Y-%m}", f"{end:%Y-%m}")
+        first, last = f"{start:%Y-%m}", f"{end:%Y-%m}"
+        month = F.col("month").between(first, last)
         date = F.col("date").between(F.lit(start), F.lit(end))
-        return self.stored(DAILY_AGGREGATES).filter(month & date).select(*DAILY_AGGREGATES.schema.names)
+        rows = self.stored(DAILY_AGGREGATES, lambda value: first <= value <= last)
+        return rows.filter(month & date).select(*DAILY_AGGREGATES.schema.names)
 
     def bars_between(self, symbol: str, start: dt.date, end: dt.date) -> DataFrame:
         """Bars of a symbol, both ends included."""
@@ -139,9 +183,13 @@ class Warehouse:
         return rows.select(*STOCK_PRICES.schema.names).orderBy("timestamp", "stock_price_id")
 
     def latest_price(self, symbol: str) -> DataFrame:
-        """At most one row, looked for from the newest day backwards."""
-        newest = self._newest(STOCK_PRICES, 1, F.col("symbol") == symbol)
-        return ranking.latest_price(newest, symbol)
+        """At most one row, from the newest day that the symbol has; an unknown symbol reads
+        no prices."""
+        version = self.versions(STOCK_PRICES).current()
+        found = self._zones(version).filter(F.col("symbol") == symbol).agg(F.max("day")).first()
+        day = found[0].isoformat() if found[0] else None
+        rows = self.stored(STOCK_PRICES, lambda value: value == day, version)
+        return ranking.latest_price(rows.select(*STOCK_PRICES.schema.names), symbol)
 
     def latest_prices(self, limit: int = 20) -> DataFrame:
         return ranking.latest_prices(self._newest(STOCK_PRICES, limit), limit)
@@ -149,76 +197,62 @@ class Warehouse:
     def latest_bars(self, limit: int = 100) -> DataFrame:
         return ranking.latest_bars(self._newest(DAILY_AGGREGATES, limit), limit)
 
-    def _newest(self, table: Table, rows: int, wanted: Column | None = None) -> DataFrame:
+    def _newest(self, table: Table, rows: int) -> DataFrame:
         """Rows of the newest partitions, enough of them to hold the ``rows`` newest ones.
 
-        Days and months are in the order of the rows in them, so the newest rows lie in
-        the newest partitions. One, two, four ... partitions are tried; their names are
-        a bounded list.
+        Days and months are in the order of the rows in them, so the newest rows lie in the
+        newest partitions; a version says how many rows each has.
         """
-        value, kind = table.partition.name, table.partition.dataType
-        fs, root = self._fs(self.path(table))
-        names = [status.getPath().getName() for status in fs.listStatus(root)]
-        values = sorted((n.split("=", 1)[1] for n in names if n.startswith(f"{value}=")), reverse=True)
-        stored = self.stored(table)
-        if wanted is not None:
-            stored = stored.filter(wanted)
-        width = 1
-        while width < len(values):
-            newest = stored.filter(F.col(value) >= F.lit(values[width - 1]).cast(kind))
-            if newest.limit(rows).count() >= rows:
-                stored = newest
+        version = self.versions(table).current()
+        newest: set[str] = set()
+        for value in sorted(version.parts, reverse=True):
+            if sum(map(version.rows, newest)) >= rows:
                 break
-            width *= 2
-        return stored.select(*table.schema.names)
+            newest.add(value)
+        return self.stored(table, newest.__contains__, version).select(*table.schema.names)
 
-    # ---- files ----------------------------------------------------------------
-
-    def _replacement(self, table: Table) -> str:
-        """Where a replacement is kept until it is published: by the tables, so that the
-        next writer finds it."""
-        return f"{self.root}/_staging/{table.name}"
-
-    def _fs(self, path: str):
-        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()), target
+    # ---- writes ----------------------------------------------------------------
 
     def discard(self, path: str) -> None:
-        fs, target = self._fs(path)
-        fs.delete(target, True)
+        self.files.delete(path)
 
-    def _save(self, rows: DataFrame, table: Table, path: str, mode: str) -> None:
-        """Write rows, read from a written table, in the table's layout.
+    def _save(self, rows: DataFrame, table: Table, write: str, most: int) -> None:
+        """Write rows, sorted by (partition value, order), into the folder of a write.
 
-        Ranges of (partition value, order): small months share a task, a month with a third
-        of all rows is dealt to many, and no symbol lies in more files than its rows need.
+        ``most`` bounds the rows of a partition. Small partitions are a file each; a large
+        one is dealt to tasks by ranges, and no symbol lies in more files than its rows need.
         """
         rows = rows.select(*table.stored.names)
-        order = [*([table.partition.name] if table.partition else []), *(table.order or table.stored.names[:1])]
-        writer = rows.repartitionByRange(*order).sortWithinPartitions(*order).write
-        if table.partition:
-            writer = writer.partitionBy(table.partition.name).option("partitionOverwriteMode", "dynamic")
-        writer.mode(mode).parquet(path)
-
-    def _publish(self, table: Table, staged: str) -> None:
-        """Replace the staged partitions (or the whole unpartitioned table)."""
-        self._save(self.spark.read.schema(table.stored).parquet(staged), table, self.path(table), "overwrite")
-
-    def recover(self, table: Table) -> None:
-        """Finish a replacement that a lost driver left half done.
+        value = [table.partition.name] if table.partition else []
+        order = [*value, *(table.order or table.stored.names[:1])]
+        if most > FILE_ROWS:
+            dealt = rows.repartitionByRange(*order)
+        else:
+            dealt = rows.repartition(*value) if value else rows.repartition(1)
+        writer = dealt.sortWithinPartitions(*order).write
+        (writer.partitionBy(*value) if value else writer).parquet(f"{self.path(table)}/data/write={write}")
+
+    def _counts(self, rows: DataFrame, table: Table, extra: list[Column] | None = None) -> dict[str, tuple]:
+        """Rows of each partition value (a calendar month or day each), and aggregates."""
+        value = F.col(table.partition.name).cast("string") if table.partition else F.lit("")
+        counted = rows.groupBy(value.alias("value")).agg(F.count(F.lit(1)), *(extra or [])).collect()
+        return {row[0]: tuple(row)[1:] for row in counted}
+
+    def _missing(self, columns: list[str]) -> list[Column]:
+        return [F.count_if(F.col(c).isNull()) for c in columns]
+
+    def _require(self, columns: list[str], counts: list[tuple]) -> None:
+        bad = {c: sum(n) for c, n in zip(columns, zip(*counts)) if sum(n)}
+        if bad:
+            raise KeyViolation(f"rows without a required value: {bad}")
 
-        A complete staged copy (it has a ``_SUCCESS`` marker) is published again; that
-        is safe because the copy is discarded before the next write begins.
-        """
-        base = self._replacement(table)
-        fs, target = self._fs(base)
-        if not fs.exists(target):
-            return
-        for run in fs.listStatus(target):
-            merged = f"{base}/{run.getPath().getName()}"
-            if fs.exists(self._fs(f"{merged}/_SUCCESS")[1]):
-                self._publish(table, merged)
-        fs.delete(target, True)
+    def _published(self, table: Table, write: str, version: Version) -> None:
+        try:
+            self.versions(table).publish(version)
+        except ConcurrentWrite:
+            for folder in ("data", "keys", "zones"):
+                self.discard(f"{self.path(table)}/{folder}/write={write}")
+            raise
 
     # ---- upserts ----------------------------------------------------------------
 
@@ -267,7 +301,7 @@ class Warehouse:
         updated: list[str],
         sequence: str | None,
     ) -> int:
-        self.recover(table)
+        version = self.versions(table).current()
         key = list(table.key)
         types = {f.name: f.dataType for f in table.schema.fields}
         typed = rows.withColumns({c: F.col(c).cast(types[c]) for c in (*key, *last, *first)})
@@ -279,42 +313,29 @@ class Warehouse:
         batch.write.parquet(staged)
         try:
             new = self.spark.read.schema(batch.schema).parquet(staged)
-            self._require(new, key)
-            found = new.agg(F.sum("_copies"), F.count(F.lit(1)), F.max("_copies")).first()
-            count, distinct, most = found[0] or 0, found[1], found[2] or 0
-            if most > 1 and sequence is None:
+            counts = self._counts(new, table, [F.sum("_copies"), F.max("_copies"), *self._missing(key)])
+            self._require(key, [c[3:] for c in counts.values()])
+            if any(c[2] > 1 for c in counts.values()) and sequence is None:
                 raise KeyViolation(f"{table.name}: rows share a key; name the column that orders them")
-            if distinct:
-                self._merge_in(table, new, updated, distinct)
+            if counts:
+                self._merge_in(table, version, new, updated, {v: c[0] for v, c in counts.items()})
         finally:
             self.discard(staged)
-        return count
-
-    def _merge_in(self, table: Table, new: DataFrame, updated: list[str], distinct: int) -> None:
-        old = self.stored(table)
-        if table.partition:
-            # Calendar months: a bounded list, and literals prune at planning time.
-            value = table.partition.name
-            touched = [r[0] for r in new.select(value).distinct().collect()]
-            old = old.filter(F.col(value).isin(touched))
-        if old.isEmpty():
-            self._save(new, table, self.path(table), "append")
-            return
-        merged = f"{self._replacement(table)}/{uuid.uuid4().hex}"
-        # As it comes; the table's layout is made when it is published.
-        merge(old, new, list(table.key), updated).select(*table.stored.names).write.parquet(merged)
-        before, after = old.count(), self.spark.read.schema(table.stored).parquet(merged).count()
-        if not max(before, distinct) <= after <= before + distinct:
+        return sum(c[1] for c in counts.values())
+
+    def _merge_in(self, table: Table, version: Version, new: DataFrame, updated: list[str], distinct: dict[str, int]) -> None:
+        """The touched partitions, old and new rows merged, written once and published."""
+        write = uuid.uuid4().hex
+        before = {value: version.rows(value) for value in distinct}
+        rows = new
+        if any(before.values()):
+            rows = merge(self.stored(table, distinct.__contains__, version), new, list(table.key), updated)
+        self._save(rows, table, write, max(before[v] + distinct[v] for v in distinct))
+        after = {v: c[0] for v, c in self._counts(self._segments(table, {v: [Segment(write, 0)] for v in distinct}), table).items()}
+        if any(not max(before[v], distinct[v]) <= after.get(v, 0) <= before[v] + distinct[v] for v in distinct):
+            self.discard(f"{self.path(table)}/data/write={write}")
             raise RuntimeError(f"{table.name}: {after} rows from {before} old and {distinct} new ones")
-        self._publish(table, merged)
-        self.discard(self._replacement(table))
-
-    def _require(self, rows: DataFrame, columns: list[str]) -> None:
-        missing = [F.count_if(F.col(c).isNull()).alias(c) for c in columns]
-        counts = rows.agg(*missing).first().asDict()
-        bad = {c: n for c, n in counts.items() if n}
-        if bad:
-            raise KeyViolation(f"rows without a required value: {bad}")
+        self._published(table, write, version.with_parts({v: [Segment(write, n)] for v, n in after.items()}))
 
     # ---- appends ------------------------------------------------------------------
 
@@ -323,16 +344,22 @@ class Warehouse:
         quotes: DataFrame,
         on_duplicate: str = "error",
         source: str = schemas.QUOTE_SOURCE,
+        batch: tuple[str, int] | None = None,
     ) -> int:
         """Append quotes; returns the number of rows added.
 
         ``on_duplicate='error'`` adds nothing if an id occurs twice in the input or is
-        already stored, on whatever day; ``'skip'`` adds each new id once. The check reads
-        the id column of the table only, and a small batch is sent to it.
+        already stored, on whatever day; ``'skip'`` adds each new id once. The check looks
+        the ids up in the id index and reads the days of its hits only. ``batch``, a
+        stream's id and the number of its micro-batch, is recorded with the rows: one that
+        is recorded adds nothing and reads nothing.
         """
         if on_duplicate not in ("error", "skip"):
             raise ValueError("on_duplicate is 'error' or 'skip'")
-        table = STOCK_PRICES
+        table, ids = STOCK_PRICES, ["stock_price_id"]
+        version = self.versions(table).current()
+        if batch and version.ledger.get(batch[0], -1) >= batch[1]:
+            return 0
         types = {f.name: f.dataType for f in table.schema.fields if f.name != "created_at"}
         rows = zero_quotes_as_null(with_quote_defaults(quotes, source))
         rows = rows.select(*[F.col(c).cast(t).alias(c) for c, t in types.items()])
@@ -342,29 +369,167 @@ class Warehouse:
         picked = shared_dir(self.spark, f"{table.name}-picked")
         rows.write.parquet(staged)
         try:
-            new = self.spark.read.schema(rows.schema).parquet(staged)
-            self._require(new, ["stock_price_id", "symbol", "price", "timestamp"])
-            stored = self.stored(table)
-            ids = ["stock_price_id"]
+            fresh = self.spark.read.schema(rows.schema).parquet(staged)
+            needed = ["stock_price_id", "symbol", "price", "timestamp"]
+            counts = self._counts(fresh, table, self._missing(needed))
+            self._require(needed, [c[1:] for c in counts.values()])
+            total = sum(c[0] for c in counts.values())
+            twice = total > 1 and fresh.agg(F.count_distinct(*ids)).first()[0] < total
+            hits = self._days_of(version, fresh, total)
+            known = self.stored(table, hits.__contains__, version)
             if on_duplicate == "error":
-                known = stored.select(*ids).join(new.select(*ids), ids, "left_semi")
-                if not duplicate_keys(new, ids).isEmpty() or not known.isEmpty():
+                if twice or (hits and not known.join(fresh.select(*ids), ids, "left_semi").isEmpty()):
                     raise KeyViolation("stock_price_id occurs twice")
-                fresh = new
-            else:
+            elif twice or hits:
                 rest = [c for c in table.stored.names if c not in ids]
                 first = F.min(F.struct("timestamp", *[c for c in rest if c != "timestamp"])).alias("_row")
-                single = new.groupBy(*ids).agg(first).select(*ids, "_row.*")
-                # Counted from a written table: the anti-join must not see its own output.
-                unseen(single, stored, ids).write.parquet(picked)
+                single = fresh.groupBy(*ids).agg(first).select(*ids, "_row.*")
+                unseen(single, known, ids).write.parquet(picked)
                 fresh = self.spark.read.schema(table.stored).parquet(picked)
-            added = fresh.count()
+                counts = self._counts(fresh, table)
+            added = {value: c[0] for value, c in counts.items()}
             if added:
-                self._save(fresh, table, self.path(table), "append")
+                self._add(table, version, fresh, added, batch)
         finally:
             self.discard(staged)
             self.discard(picked)
-        return added
+        return sum(added.values())
+
+    def _add(self, table: Table, version: Version, rows: DataFrame, added: dict[str, int], batch: tuple[str, int] | None = None) -> None:
+        """Write rows of a written table as a new segment, with those of the indexes, and
+        publish them; then merge segments that have become many."""
+        write, total = uuid.uuid4().hex, sum(added.values())
+        parts = {v: [*version.parts.get(v, []), Segment(write, n)] for v, n in added.items()}
+        after = version.with_parts(parts)
+        jobs = [lambda: self._save(rows, table, write, max(added.values()))]
+        if table is STOCK_PRICES:
+            keys = rows.select(F.xxhash64("stock_price_id").alias("key"), "day")
+            buckets = _buckets(total)
+            jobs.append(lambda: self._save_keys(keys, write, buckets))
+            jobs.append(lambda: self._save_zones(rows, write))
+            after = replace(
+                after, keys=[*after.keys, Segment(write, total, 0, buckets)], zones=[*after.zones, Segment(write, total)]
+            )
+        if batch:
+            after = replace(after, ledger={**after.ledger, batch[0]: batch[1]})
+        # Independent jobs over the same written rows.
+        with ThreadPoolExecutor(len(jobs)) as pool:
+            for done in [pool.submit(job) for job in jobs]:
+                done.result()
+        self._published(table, write, after)
+        self._tidy(table)
+
+    # ---- the price table's indexes -----------------------------------------------------
+
+    def _save_keys(self, keys: DataFrame, write: str, buckets: int) -> None:
+        """(key, day) by the key's lowest bits, sorted, with Bloom filters."""
+        dealt = keys.withColumn("bucket", F.expr(f"cast(key & {buckets - 1} as int)"))
+        dealt = dealt.coalesce(1) if buckets == 1 else dealt.repartition(buckets, "bucket")
+        writer = dealt.sortWithinPartitions("bucket", "key").write.option("parquet.bloom.filter.enabled#key", "true")
+        writer.partitionBy("bucket").parquet(f"{self.path(STOCK_PRICES)}/keys/write={write}")
+
+    def _save_zones(self, rows: DataFrame, write: str) -> None:
+        """The newest day of every symbol."""
+        newest = rows.groupBy("symbol").agg(F.max("day").alias("day"))
+        newest.repartitionByRange(_buckets(1), "symbol").sortWithinPartitions("symbol").write.parquet(
+            f"{self.path(STOCK_PRICES)}/zones/write={write}"
+        )
+
+    def _index(self, kind: str, segments: list[Segment], schema: str) -> DataFrame:
+        if not segments:
+            return self.spark.createDataFrame([], schema)
+        root = f"{self.path(STOCK_PRICES)}/{kind}"
+        reader = self.spark.read.schema(schema).option("basePath", root)
+        return reader.parquet(*[f"{root}/write={s.write}" for s in segments])
+
+    def _zones(self, version: Version) -> DataFrame:
+        return self._index("zones", version.zones, _ZONES).select("symbol", "day")
+
+    def _days_of(self, version: Version, rows: DataFrame, count: int) -> set[str]:
+        """The days that may hold one of these ids: a bounded list, nearly always empty for new
+        ids. Hashes may coincide, so the days' own ids decide."""
+        if not version.keys or not count:
+            return set()
+        keys = rows.select(F.xxhash64("stock_price_id").alias("key"))
+        index = self._index("keys", version.keys, _KEYS)
+        most = max(segment.buckets for segment in version.keys)
+        if count <= FEW:
+            few = [row[0] for row in keys.collect()]
+            index = index.filter(F.col("key").isin(few))
+        if 1 < most <= MOST_BUCKETS:
+            touched = {row[0] for row in keys.select(F.expr(f"cast(key & {most - 1} as int)")).distinct().collect()}
+            if len(touched) < most:
+                index = self._touched(version.keys, touched)
+        hits = index.join(keys, "key", "left_semi").select(F.col("day").cast("string")).distinct()
+        return {row[0] for row in hits.collect()}
+
+    def _touched(self, segments: list[Segment], touched: set[int]) -> DataFrame:
+        """The index with only those buckets of every segment that hold such keys."""
+        parts = [
+            self._index("keys", [s for s in segments if s.buckets == n], _KEYS).filter(
+                F.col("bucket").isin(sorted({bucket & (n - 1) for bucket in touched}))
+            )
+            for n in sorted({s.buckets for s in segments})
+        ]
+        whole = parts[0]
+        for part in parts[1:]:
+            whole = whole.unionByName(part)
+        return whole
+
+    # ---- merging of segments ---------------------------------------------------------
+
+    def _tidy(self, table: Table) -> None:
+        """Merge ``FAN`` segments of one level, of a partition or an index, into one of the
+        next: a table of n small writes keeps some log(n) segments, and a row is rewritten
+        as often."""
+        version = self.versions(table).current()
+        due = {v: _due(segments) for v, segments in version.parts.items()}
+        due = {v: chosen for v, chosen in due.items() if chosen}
+        keys, zones = _due(version.keys), _due(version.zones)
+        if due or keys or zones:
+            self._merge_segments(table, version, due, keys, zones)
+
+    def compact(self, name: str, keep_newest: bool = True) -> int:
+        """Merge every partition of several segments, but the newest, into one segment whose
+        files hold disjoint ranges of symbols. Returns the number of merged partitions."""
+        table = TABLES[name]
+        version = self.versions(table).current()
+        newest = max(version.parts, default=None) if keep_newest and table.partition else None
+        due = {v: segments for v, segments in version.parts.items() if len(segments) > 1 and v != newest}
+        if due:
+            self._merge_segments(table, version, due, [], [])
+        return len(due)
+
+    def _merge_segments(
+        self, table: Table, version: Version, due: dict[str, list[Segment]], keys: list[Segment], zones: list[Segment]
+    ) -> None:
+        write = uuid.uuid4().hex
+
+        def joined(all_: list[Segment], chosen: list[Segment], buckets: int = 1) -> list[Segment]:
+            if not chosen:
+                return all_
+            level = max(s.level for s in chosen) + 1
+            return [*[s for s in all_ if s not in chosen], Segment(write, sum(s.rows for s in chosen), level, buckets)]
+
+        jobs: list[Callable[[], None]] = []
+        if due:
+            most = max(sum(s.rows for s in segments) for segments in due.values())
+            jobs.append(lambda: self._save(self._segments(table, due), table, write, most))
+        buckets = _buckets(sum(s.rows for s in keys))
+        if keys:
+            jobs.append(lambda: self._save_keys(self._index("keys", keys, _KEYS).select("key", "day"), write, buckets))
+        if zones:
+            jobs.append(lambda: self._save_zones(self._index("zones", zones, _ZONES), write))
+        with ThreadPoolExecutor(len(jobs)) as pool:
+            for done in [pool.submit(job) for job in jobs]:
+                done.result()
+        parts = {value: joined(version.parts[value], segments) for value, segments in due.items()}
+        after = version.with_parts(
+            parts, keys=joined(version.keys, keys, buckets), zones=joined(version.zones, zones)
+        )
+        self._published(table, write, after)
+
+    # ---- other inserts ------------------------------------------------------------------
 
     def seed_stocks(self, seeds: DataFrame | None = None) -> int:
         """Add the default stocks whose symbol is not there yet; existing rows stay."""
@@ -399,22 +564,33 @@ class Warehouse:
         return self._append_staged(table, typed)
 
     def _append_staged(self, table: Table, rows: DataFrame) -> int:
+        version = self.versions(table).current()
         staged = shared_dir(self.spark, f"{table.name}-batch")
         table.with_partition(rows).write.parquet(staged)
         try:
             new = self.spark.read.schema(table.stored).parquet(staged)
-            count = new.count()
-            if count:
-                self._require(new, [f.name for f in table.schema.fields if not f.nullable])
-                for key in {table.key, (table.schema.names[0],)} if table.key else ():
-                    stored = self.stored(table).select(*key)
-                    clash = stored.join(new.select(*key), list(key), "left_semi")
-                    if not (duplicate_keys(new, list(key)).isEmpty() and clash.isEmpty()):
-                        raise KeyViolation(f"{table.name}: {key} occurs twice")
-                self._save(new, table, self.path(table), "append")
+            counts = self._counts(new, table, self._missing(table.required))
+            self._require(table.required, [c[1:] for c in counts.values()])
+            added = {value: c[0] for value, c in counts.items()}
+            for key in {table.key, (table.schema.names[0],)} if table.key and added else ():
+                if not (duplicate_keys(new, list(key)).isEmpty() and self._absent(table, version, new, key, added)):
+                    raise KeyViolation(f"{table.name}: {key} occurs twice")
+            if added:
+                self._add(table, version, new, added)
         finally:
             self.discard(staged)
-        return count
+        return sum(added.values())
+
+    def _absent(self, table: Table, version: Version, new: DataFrame, key: tuple[str, ...], added: dict[str, int]) -> bool:
+        """Whether no row of ``new`` has a key that is stored. Prices are looked up in the id
+        index, bars in their months; other ids are compared with those of the whole table."""
+        wanted = None
+        if table is STOCK_PRICES:
+            wanted = self._days_of(version, new, sum(added.values())).__contains__
+        elif key == DAILY_AGGREGATES.key:
+            wanted = added.__contains__
+        known = self.stored(table, wanted, version).select(*key)
+        return known.join(new.select(*key), list(key), "left_semi").isEmpty()
 
     def log_run(self, job: str, execution_date: dt.date | None, status: str, loaded: int) -> DataFrame:
         """Append one report row and return it."""
@@ -422,5 +598,19 @@ class Warehouse:
             [(job, execution_date, status, loaded)],
             "job string, execution_date date, status string, records_loaded long",
         ).withColumn("completed_at", F.lit(dt.datetime.now(dt.timezone.utc)))
-        row.write.mode("append").parquet(self.path(JOB_RUNS))
+        self._add(JOB_RUNS, self.versions(JOB_RUNS).current(), row, {"": 1})
         return row
+
+
+def _buckets(keys: int) -> int:
+    """A power of two."""
+    return 1 << max(0, -(-keys // BUCKET_KEYS) - 1).bit_length()
+
+
+def _due(segments: list[Segment]) -> list[Segment]:
+    """The segments of the lowest level that has become full."""
+    for level in sorted({s.level for s in segments}):
+        same = [s for s in segments if s.level == level]
+        if len(same) >= FAN:
+            return same
+    return []

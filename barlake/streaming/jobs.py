@@ -130,10 +130,10 @@ def run_consumer_pipeline(
                     stop.now()
                 seen += messages
             quotes = accepted(checked).drop("value", "record_timestamp")
-            written.append(warehouse.append_prices(quotes, "skip", source="kafka"))
+            run = sinks.run_id(warehouse.spark, checkpoint)
+            written.append(warehouse.append_prices(quotes, "skip", source="kafka", batch=(run, batch_id)))
             bad = rejected(checked).select("value", "record_timestamp", "reasons")
             if quarantine and not bad.isEmpty():
-                run = sinks.run_id(warehouse.spark, checkpoint)
                 bad.write.mode("overwrite").parquet(f"{quarantine}/run={run}/batch_id={batch_id}")
             if on_process:
                 on_process(quotes, batch_id)

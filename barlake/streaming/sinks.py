@@ -95,10 +95,12 @@ def append_to_warehouse(
     every: str | None = None,
     drain: bool = False,
 ) -> StreamingQuery:
-    """Append every micro-batch to the price table; a batch sent again adds nothing."""
+    """Append every micro-batch to the price table. The table records it with its rows: one
+    that is sent again adds nothing."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        written = warehouse.append_prices(batch, on_duplicate="skip", source="kafka")
+        sent = run_id(warehouse.spark, checkpoint), batch_id
+        written = warehouse.append_prices(batch, on_duplicate="skip", source="kafka", batch=sent)
         if on_batch:
             on_batch(batch, batch_id)
         if on_written:

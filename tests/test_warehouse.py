@@ -6,7 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from barlake import schemas
-from barlake.sources.warehouse import DAILY_AGGREGATES, KeyViolation
+from barlake.sources import snapshots
+from barlake.sources import warehouse as warehouse_module
+from barlake.sources.snapshots import ConcurrentWrite, Versions
+from barlake.sources.warehouse import DAILY_AGGREGATES, STOCK_PRICES, KeyViolation
 
 NOW = dt.datetime(2024, 1, 1, 12)
 QUOTE = "stock_price_id string, symbol string, price decimal(12,4), volume long, bid decimal(12,4), ask decimal(12,4), timestamp timestamp, source string"
@@ -98,26 +101,156 @@ def test_missing_key_is_refused(spark, warehouse):
     assert warehouse.read("daily_aggregates").isEmpty()
 
 
-def test_only_touched_months_are_rewritten(spark, warehouse, tmp_path):
+def test_only_touched_months_are_rewritten(spark, warehouse):
     jan, feb = dt.date(2024, 1, 5), dt.date(2024, 2, 5)
     warehouse.upsert_bars(spark.createDataFrame([bar("A", jan, "1"), bar("A", feb, "1")], BAR))
-    table = tmp_path / "warehouse" / "daily_aggregates"
-    january, february = ({p.name for p in (table / f"month=2024-0{m}").iterdir()} for m in (1, 2))
-    warehouse.upsert_bars(spark.createDataFrame([bar("A", feb, "2")], BAR))
-    assert {p.name for p in (table / "month=2024-01").iterdir()} == january
-    assert {p.name for p in (table / "month=2024-02").iterdir()} != february
+    before = warehouse.versions(DAILY_AGGREGATES).current()
+    warehouse.upsert_bars(spark.createDataFrame([bar("A", feb, "2"), bar("B", feb, "2")], BAR))
+    after = warehouse.versions(DAILY_AGGREGATES).current()
+    assert after.parts["2024-01"] == before.parts["2024-01"] and after.rows("2024-02") == 2
+    assert not {s.write for s in after.parts["2024-02"]} & {s.write for s in before.parts["2024-02"]}
 
 
-def test_interrupted_replacement_is_finished_by_the_next_writer(spark, warehouse):
+def test_readers_see_a_table_before_a_write_or_after_it(spark, warehouse, monkeypatch):
+    """The table is read around every file operation and every save of an upsert and an append."""
     jan = dt.date(2024, 1, 5)
     warehouse.upsert_bars(spark.createDataFrame([bar("A", jan, "1"), bar("B", jan, "1")], BAR))
-    # A driver lost after staging the replacement and deleting the month it replaces.
-    full = warehouse.stored(DAILY_AGGREGATES).withColumn("close_price", F.lit(7).cast("decimal(12,4)"))
-    warehouse._save(full, DAILY_AGGREGATES, f"{warehouse._replacement(DAILY_AGGREGATES)}/x", "error")
-    warehouse.discard(f"{warehouse.path(DAILY_AGGREGATES)}/month=2024-01")
+    warehouse.append_prices(spark.createDataFrame([quote("a")], QUOTE))
+    seen = []
+
+    def look():
+        bars = {r.symbol: int(r.close_price) for r in warehouse.read("daily_aggregates").collect()}
+        seen.append((tuple(sorted(bars.items())), warehouse.read("stock_prices").count()))
+
+    def watched(owner, name):
+        real = getattr(owner, name)
+
+        def wrapped(*args, **named):
+            look()
+            found = real(*args, **named)
+            look()
+            return found
+
+        monkeypatch.setattr(owner, name, wrapped)
+
+    for name in ("create", "delete"):
+        watched(type(warehouse.files), name)
+    for name in ("_save", "_save_keys", "_save_zones", "_published"):
+        watched(type(warehouse), name)
+    warehouse.upsert_bars(spark.createDataFrame([bar("A", jan, "2"), bar("C", jan, "2")], BAR))
+    warehouse.append_prices(spark.createDataFrame([quote("b"), quote("c")], QUOTE))
+    monkeypatch.undo()
+    old, new = (("A", 1), ("B", 1)), (("A", 2), ("B", 1), ("C", 2))
+    steps = [step for at, step in enumerate(seen) if not at or step != seen[at - 1]]
+    assert steps == [(old, 1), (new, 1), (new, 3)] and len(seen) > 15
+
+
+def test_a_write_lost_before_it_is_published_leaves_no_trace(spark, warehouse, monkeypatch):
+    jan = dt.date(2024, 1, 5)
+    warehouse.upsert_bars(spark.createDataFrame([bar("A", jan, "1"), bar("B", jan, "1")], BAR))
+    with monkeypatch.context() as patch:
+        patch.setattr(type(warehouse), "_published", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            warehouse.upsert_bars(spark.createDataFrame([bar("A", jan, "7")], BAR))
+    assert {r.close_price for r in warehouse.read("daily_aggregates").collect()} == {Decimal(1)}
     warehouse.upsert_bars(spark.createDataFrame([bar("A", jan, "2")], BAR))
     got = {r.symbol: r.close_price for r in warehouse.read("daily_aggregates").collect()}
-    assert got == {"A": Decimal("2"), "B": Decimal("7")}
+    assert got == {"A": Decimal("2"), "B": Decimal("1")}
+
+
+def test_of_two_writers_one_is_refused(spark, warehouse, monkeypatch):
+    first = warehouse.versions(STOCK_PRICES).current()
+    warehouse.append_prices(spark.createDataFrame([quote("a")], QUOTE))
+    with monkeypatch.context() as patch:  # a writer that began before
+        patch.setattr(Versions, "current", lambda self: first)
+        with pytest.raises(ConcurrentWrite):
+            warehouse.append_prices(spark.createDataFrame([quote("b")], QUOTE))
+    assert [r.stock_price_id for r in warehouse.read("stock_prices").collect()] == ["a"]
+    assert len(warehouse.files.names(f"{warehouse.path(STOCK_PRICES)}/data")) == 1
+    assert warehouse.append_prices(spark.createDataFrame([quote("b")], QUOTE)) == 1
+
+
+def test_old_versions_and_their_folders_go(spark, warehouse, monkeypatch):
+    monkeypatch.setattr(snapshots, "KEPT", 2)
+    jan, feb = dt.date(2024, 1, 5), dt.date(2024, 2, 5)
+    warehouse.upsert_bars(spark.createDataFrame([bar("A", feb, "9")], BAR))
+    for close in range(1, 6):
+        warehouse.upsert_bars(spark.createDataFrame([bar("A", jan, str(close))], BAR))
+    path = warehouse.path(DAILY_AGGREGATES)
+    assert len(warehouse.files.names(f"{path}/_versions")) <= 4
+    months = [m for w in warehouse.files.names(f"{path}/data") for m in warehouse.files.names(f"{path}/data/{w}")]
+    assert months.count("month=2024-02") == 1 and months.count("month=2024-01") == 2
+    assert sorted(r.close_price for r in warehouse.read("daily_aggregates").collect()) == [5, 9]
+
+
+def batch_of(spark, number, size=6, day=0):
+    rows = [quote(f"b{number}-{n}", f"S{n % 4}", "1", NOW + dt.timedelta(days=day, seconds=number)) for n in range(size)]
+    return spark.createDataFrame(rows, QUOTE)
+
+
+def test_small_batches_keep_the_table_small(spark, warehouse):
+    """After many micro-batches the folders of a day and of the indexes stay few, and an
+    append looks ids up without opening a price file."""
+    days = [
+        (f"d{n}", f"S{n % 50}", Decimal(1), 1, None, None, NOW - dt.timedelta(days=n), "test") for n in range(1000)
+    ]
+    warehouse.append_prices(spark.createDataFrame(days, QUOTE).repartition(2))
+    opened = []
+    real = type(warehouse)._segments
+
+    def counted(self, table, parts):
+        opened.append(sum(map(len, parts.values())))
+        return real(self, table, parts)
+
+    for number in range(20):
+        version = warehouse.versions(STOCK_PRICES).current()
+        new = batch_of(spark, number)
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(type(warehouse), "_segments", counted)
+            patch.setattr(type(warehouse), "_tidy", lambda *_: None)
+            assert warehouse.append_prices(new, "skip", batch=("stream", number)) == 6
+        warehouse._tidy(STOCK_PRICES)
+        assert opened == [0] * (number + 1)
+        assert len(version.keys) <= 2 * 8 and len(version.zones) <= 2 * 8
+    version = warehouse.versions(STOCK_PRICES).current()
+    assert max(map(len, version.parts.values())) <= 2 * 8 and version.rows("2024-01-01") == 121
+    assert warehouse.append_prices(batch_of(spark, 3), "skip") == 0
+    assert opened[-1] == 0 and warehouse.read("stock_prices").count() == 1120
+    with pytest.raises(KeyViolation):
+        warehouse.append_prices(batch_of(spark, 3))
+    assert warehouse.compact("stock_prices", keep_newest=False) == 1
+    assert len(warehouse.versions(STOCK_PRICES).current().parts["2024-01-01"]) == 1
+    assert warehouse.read("stock_prices").count() == 1120
+    assert warehouse.latest_price("S3").first().stock_price_id.startswith("b19-")
+
+
+@pytest.mark.parametrize("few", [0, 10])
+def test_ids_are_found_in_buckets_and_merged_segments(spark, warehouse, monkeypatch, few):
+    monkeypatch.setattr(warehouse_module, "BUCKET_KEYS", 40)
+    monkeypatch.setattr(warehouse_module, "FAN", 3)
+    monkeypatch.setattr(warehouse_module, "FEW", few)
+    for number in range(7):
+        assert warehouse.append_prices(batch_of(spark, number, 150 if number == 2 else 30, day=number)) == (150 if number == 2 else 30)
+    version = warehouse.versions(STOCK_PRICES).current()
+    assert max(s.buckets for s in version.keys) >= 8 and max(s.level for s in version.keys) >= 1
+    for number in (0, 2, 6):
+        again = batch_of(spark, number, 3).unionByName(batch_of(spark, number + 100, 2))
+        assert warehouse.append_prices(again, "skip") == 2
+    assert warehouse.append_prices(batch_of(spark, 2, 150), "skip") == 0
+    assert warehouse.read("stock_prices").count() == 6 * 30 + 150 + 6
+
+
+def test_a_recorded_batch_reads_nothing(spark, warehouse, monkeypatch):
+    assert warehouse.append_prices(batch_of(spark, 1), "skip", batch=("s", 4)) == 6
+    version = warehouse.versions(STOCK_PRICES).current()
+    assert version.ledger == {"s": 4}
+    with monkeypatch.context() as patch:
+        patch.setattr(type(warehouse), "_segments", None)
+        patch.setattr(type(warehouse), "_index", None)
+        assert warehouse.append_prices(batch_of(spark, 1), "skip", batch=("s", 4)) == 0
+        assert warehouse.append_prices(batch_of(spark, 1), "skip", batch=("s", 3)) == 0
+    assert warehouse.append_prices(batch_of(spark, 2), "skip", batch=("other", 0)) == 6
+    assert warehouse.versions(STOCK_PRICES).current().ledger == {"s": 4, "other": 0}
 
 
 def test_prices_append_and_refuse_known_ids(spark, warehouse):
@@ -178,8 +311,9 @@ def test_range_reads_prune_partitions(spark, warehouse):
     assert "month" in filters and "2024-01" in filters, plan
 
 
-def test_a_hot_month_is_written_by_several_tasks(spark, warehouse, tmp_path):
+def test_a_hot_month_is_written_by_several_tasks(spark, warehouse, tmp_path, monkeypatch):
     """One month holds most rows: more than one task writes it."""
+    monkeypatch.setattr(warehouse_module, "FILE_ROWS", 10_000)
     days = spark.range(40_000).select(
         F.concat(F.lit("S"), (F.col("id") % 2000).cast("string")).alias("symbol"),
         F.when(F.col("id") < 36_000, F.date_add(F.lit("2024-01-01"), (F.col("id") / 2000).cast("int")))
@@ -196,7 +330,7 @@ def test_a_hot_month_is_written_by_several_tasks(spark, warehouse, tmp_path):
     finally:
         spark.conf.unset(size)
     table = tmp_path / "warehouse" / "daily_aggregates"
-    files = {m.name: len(list(m.glob("*.parquet"))) for m in table.glob("month=*")}
+    files = {m.name: len(list(m.glob("*.parquet"))) for m in table.glob("data/*/month=*")}
     assert files["month=2024-01"] > 1 and sum(files.values()) < 8, files
     assert warehouse.read("daily_aggregates").count() == 40_000
 
@@ -222,8 +356,9 @@ def test_latest_reads_look_at_the_newest_partitions_first(spark, warehouse):
     assert warehouse.latest_price("AAPL").first().stock_price_id == "q08"
     assert warehouse.latest_price("INVALID").isEmpty()
     assert warehouse.latest_prices(50).count() == 9
-    plan = warehouse.latest_prices(1)._jdf.queryExecution().executedPlan().toString()
-    assert "2024-01-09" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    newest = warehouse._newest(STOCK_PRICES, 1)
+    assert len(newest.inputFiles()) == 1 and "day=2024-01-09" in newest.inputFiles()[0]
+    assert not warehouse.stored(STOCK_PRICES, lambda day: False).inputFiles()
     bars = [bar("A", dt.date(2024, m, 1), str(m)) for m in range(1, 6)] + [bar("B", dt.date(2024, 5, 1), "9")]
     warehouse.upsert_bars(spark.createDataFrame(bars, BAR))
     assert [(r.symbol, r.date.month) for r in warehouse.latest_bars(3).collect()] == [("A", 5), ("B", 5), ("A", 4)]
@@ -234,9 +369,8 @@ def test_latest_reads_of_empty_tables(warehouse):
     assert warehouse.latest_bars().isEmpty() and warehouse.latest_price("A").isEmpty()
 
 
-def test_files_of_a_month_hold_disjoint_symbols(spark, warehouse):
-    from barlake.sources.warehouse import DAILY_AGGREGATES as BARS
-
+def test_files_of_a_month_hold_disjoint_symbols(spark, warehouse, monkeypatch):
+    monkeypatch.setattr(warehouse_module, "FILE_ROWS", 100)
     days = [dt.date(2024, 1, d) for d in range(1, 21)]
     rows = [bar(f"S{n:03d}", day, "1") for n in range(60) for day in days]
     coalesce = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
@@ -245,7 +379,7 @@ def test_files_of_a_month_hold_disjoint_symbols(spark, warehouse):
         warehouse.upsert_bars(spark.createDataFrame(rows, BAR))
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
-    stored = warehouse.stored(BARS).withColumn("file", F.input_file_name())
+    stored = warehouse.stored(DAILY_AGGREGATES).withColumn("file", F.input_file_name())
     ranges = sorted((r.low, r.high) for r in stored.groupBy("file").agg(F.min("symbol").alias("low"), F.max("symbol").alias("high")).collect())
     assert len(ranges) > 1 and all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
 
