@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -95,22 +98,30 @@ def _price_problem(text: Column, parsed: Column) -> Column:
     return ~F.coalesce(has_four_places(text) & parsed.isNotNull(), F.lit(False))
 
 
+# Each member as a variant keeps apart an absent one, a null, a text and a number.
+_VARIANTS = ", ".join([*[f"{name} variant" for name in _MEMBERS], "_broken string"])
+_STRICT = {
+    "columnNameOfCorruptRecord": "_broken", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false",
+}
+
+
 def _members(records: DataFrame) -> DataFrame:
-    """The variant type and the text of each member of the JSON object."""
+    """The variant type and the text of each member of the JSON object, read in one pass. Of
+    members with one name the last counts."""
     text = F.try_validate_utf8(F.col("value").cast("string"))
     body = records.select(
-        "value", F.col("timestamp").alias("record_timestamp"), F.try_parse_json(text).alias("_body")
-    )
-    found = body.withColumns(
-        {f"_{n}": F.try_variant_get("_body", f"$.{n}", "variant") for n in _MEMBERS}
-    )
-    return found.select(
-        "value",
-        "record_timestamp",
-        F.col("_body").isNull().alias("_unreadable"),
-        *[F.schema_of_variant(f"_{n}").alias(f"_kind_{n}") for n in _MEMBERS],
-        *[F.try_variant_get(f"_{n}", "$", "string").alias(f"_text_{n}") for n in _MEMBERS],
+        "value", F.col("timestamp").alias("record_timestamp"), F.from_json(text, _VARIANTS, _STRICT).alias("_body")
     )
+    return body.select("value", "record_timestamp", *_member_columns(records.sparkSession.sparkContext))
+
+
+@lru_cache(maxsize=1)
+def _member_columns(context: SparkContext) -> list[Column]:
+    return [
+        (F.col("_body").isNull() | F.col("_body._broken").isNotNull()).alias("_unreadable"),
+        *[F.schema_of_variant(f"_body.{n}").alias(f"_kind_{n}") for n in _MEMBERS],
+        *[F.try_variant_get(f"_body.{n}", "$", "string").alias(f"_text_{n}") for n in _MEMBERS],
+    ]
 
 
 def check_messages(records: DataFrame) -> DataFrame:
@@ -120,7 +131,15 @@ def check_messages(records: DataFrame) -> DataFrame:
     ``source`` may be absent, but not null. Falsy bid and ask mean none. The raw value
     is kept for the quarantine.
     """
-    spelled = _members(records).select(
+    spelled, typed, checks = _check_columns(records.sparkSession.sparkContext)
+    checked = with_reasons(_members(records).select(*spelled).withColumns(typed), *checks)
+    return checked.select(*QUOTE_MESSAGE.names, "value", "record_timestamp", "reasons")
+
+
+@lru_cache(maxsize=1)
+def _check_columns(context: SparkContext) -> tuple[list, dict[str, Column], list[tuple[str, Column]]]:
+    """The expressions of the check, some thousand calls to the JVM: made once for a session."""
+    spelled = [
         "value",
         "record_timestamp",
         "_unreadable",
@@ -136,20 +155,17 @@ def check_messages(records: DataFrame) -> DataFrame:
         _number("ask").alias("_ask"),
         parse_instant(_text("timestamp")).alias("timestamp"),
         F.when(F.col("_kind_source").isNull(), MESSAGE_SOURCE).otherwise(_text("source")).alias("source"),
-    )
-    typed = spelled.withColumns(
-        {
-            "price": F.col("_price").try_cast(PRICE),
-            "volume": F.coalesce(
-                F.col("_volume").try_cast("bigint"),
-                F.when(F.col("_volume").rlike(INTEGER_TEXT) | F.col("_is_float"), _whole(F.col("_volume"))),
-            ),
-            "bid": F.when(F.col("_has_bid"), F.col("_bid").try_cast(PRICE)),
-            "ask": F.when(F.col("_has_ask"), F.col("_ask").try_cast(PRICE)),
-        }
-    )
-    checked = with_reasons(
-        typed,
+    ]
+    typed = {
+        "price": F.col("_price").try_cast(PRICE),
+        "volume": F.coalesce(
+            F.col("_volume").try_cast("bigint"),
+            F.when(F.col("_volume").rlike(INTEGER_TEXT) | F.col("_is_float"), _whole(F.col("_volume"))),
+        ),
+        "bid": F.when(F.col("_has_bid"), F.col("_bid").try_cast(PRICE)),
+        "ask": F.when(F.col("_has_ask"), F.col("_ask").try_cast(PRICE)),
+    }
+    checks = [
         ("not JSON", F.col("_unreadable")),
         ("stock_price_id", F.col("stock_price_id").isNull()),
         ("symbol", F.col("symbol").isNull() | (F.length("symbol") > MAX_SYMBOL)),
@@ -159,8 +175,8 @@ def check_messages(records: DataFrame) -> DataFrame:
         ("ask", F.col("_has_ask") & _price_problem(F.col("_ask"), F.col("ask"))),
         ("timestamp", F.col("timestamp").isNull()),
         ("source", F.col("source").isNull()),
-    )
-    return checked.select(*QUOTE_MESSAGE.names, "value", "record_timestamp", "reasons")
+    ]
+    return spelled, typed, checks
 
 
 def _whole(text: Column) -> Column:
