@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barlake.session import shared_dir
+
 REASONS = "reasons"
 SEPARATOR = "; "
 
@@ -47,11 +49,15 @@ def rejected(checked: DataFrame) -> DataFrame:
 def accepted_groups(checked: DataFrame, key: str) -> DataFrame:
     """Only rows of groups without a single rejected row.
 
-    The rejected keys are aggregated per input partition before they are shuffled, so
-    a key with very many bad rows travels as one row per partition.
+    The checked rows are written once, so the source is read and checked once for both
+    sides. The rejected keys are aggregated per input partition before they are shuffled,
+    so a key with very many bad rows travels as one row per partition.
     """
-    bad_keys = rejected(checked).select(key).distinct()
-    return accepted(checked).join(bad_keys, key, "left_anti")
+    path = shared_dir(checked.sparkSession, "checked")
+    checked.write.parquet(path)
+    written = checked.sparkSession.read.schema(checked.schema).parquet(path)
+    bad_keys = rejected(written).select(key).distinct()
+    return accepted(written).join(bad_keys, key, "left_anti")
 
 
 def reject_counts(checked: DataFrame) -> DataFrame:

@@ -624,48 +624,7 @@ def sliding_stats_stream(spark, folder):
     stream_jobs.run_aggregation_job(
         _published(spark, folder), "parquet", path, checkpoint, drain=True
     )
-    columns = flat_windows(sliding_stats(given.quotes(spark, folder))).schema
-    return spark.read.schema(columns).parquet(path)
-
-
-@query
-def sliding_stats_late(spark, folder):
-    """The same in three micro-batches, the last of which sends the first hour once more, too
-    late: it is left out."""
-    path, checkpoint, topic = (shared_dir(spark, name) for name in ("windows", "checkpoint", "topic"))
-    quotes = given.quotes(spark, folder)
-    early = F.col("timestamp") < F.to_timestamp(F.lit("2024-01-16 00:00:00"))
-    hour = F.col("timestamp") < F.to_timestamp(F.lit("2024-01-01 01:00:00"))
-    for part in (early, ~early, hour):
-        topics.publish(quotes.filter(part).coalesce(1), fmt="parquet", path=topic)
-    records = topics.read_topic(spark, {"maxFilesPerTrigger": "1"}, "parquet", topic)
-    stream_jobs.run_aggregation_job(records, "parquet", path, checkpoint, drain=True)
-    return spark.read.schema(flat_windows(sliding_stats(quotes)).schema).parquet(path)
-
-
-@query
-def publish_rounds(spark, folder):
-    """Landed quotes, one file for each round, published round after round."""
-    landed, topic, checkpoint = (shared_dir(spark, name) for name in ("landed", "topic", "checkpoint"))
-    for part in range(3):
-        given.raw_quotes(spark, folder).filter(F.col("last_volume") % 3 == part).coalesce(1).write.mode("append").parquet(landed)
-    reader = spark.readStream.schema(schemas.RAW_QUOTES).option("maxFilesPerTrigger", 1).parquet(landed)
-    sent = stream_jobs.publish_continuously(normalize_quotes(reader), checkpoint, fmt="parquet", path=topic, drain=True)
-    rows = spark.read.schema(schemas.TOPIC_RECORDS).parquet(topic)
-    return rows.agg(F.count(F.lit(1)).alias("messages"), F.lit(len(sent)).alias("rounds"))
-
-
-@query
-def sliding_stats_updates(spark, folder):
-    """The same in update mode: the newest state of every window, open ones included, after
-    a second run with a checkpoint of its own."""
-    path, records = shared_dir(spark, "windows"), _published(spark, folder)
-    for _ in range(2):
-        checkpoint = shared_dir(spark, "checkpoint")
-        stream_jobs.keep_latest_windows(records, path, checkpoint).awaitTermination()
-    columns = flat_windows(sliding_stats(given.quotes(spark, folder))).schema
-    states = columns.add("written_at", "timestamp").add("run", "string").add("batch_id", "long")
-    return stream_jobs.latest_windows(spark.read.schema(states).parquet(path))
+    return stream_jobs.latest_windows(spark, path)
 
 
 @query

@@ -13,6 +13,7 @@ the newest day of every symbol. Small segments of a day and of an index are merg
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -145,18 +146,41 @@ class Warehouse:
         table = TABLES[name]
         return self.stored(table).select(*table.schema.names)
 
-    def register_views(self) -> None:
+    def register_views(self, spans: dict[str, tuple[str, str]] | None = None) -> None:
         """A view of each table, and of partitioned ones ``<name>_stored`` with the partition
-        column (``month`` as text, ``day``): a filter on it prunes folders."""
+        column (``month`` as text, ``day``). ``spans`` limits a table to the partitions
+        between two values."""
         for name, table in TABLES.items():
-            self.read(name).createOrReplaceTempView(name)
+            version = self.versions(table).current()
+            low, high = (spans or {}).get(name, ("", "~"))
+            rows = self.stored(table, lambda value, a=low, b=high: a <= value <= b, version)
+            if name in (spans or {}):
+                kind = table.partition.dataType
+                for value, beyond in ((low, "__ge__"), (high, "__le__")):
+                    if value not in ("", "~"):
+                        rows = rows.filter(getattr(F.col(table.partition.name), beyond)(F.lit(value).cast(kind)))
+            rows.select(*table.schema.names).createOrReplaceTempView(name)
             if table.partition:
-                self.stored(table).createOrReplaceTempView(f"{name}_stored")
+                rows.createOrReplaceTempView(f"{name}_stored")
 
     def sql(self, text: str, args: list | dict | None = None) -> DataFrame:
-        """A query over the tables with bound parameters (``?`` or ``:name``)."""
-        self.register_views()
-        return self.spark.sql(text, args=args) if args else self.spark.sql(text)
+        """A query over the tables with bound parameters (``?`` or ``:name``).
+
+        Ranges of ``date`` and ``timestamp`` prune months and days: the filters that
+        Spark's optimizer pushes to every scan of a table say which ones can matter.
+        """
+        query = {"args": args} if args else {}
+        if text.lstrip().upper().startswith(("SELECT", "WITH")):
+            # One partition of each table is enough to see what is pushed.
+            self.register_views({t.name: (v, v) for t in TABLES.values() if t.partition for v in self._any(t)})
+            plan = self.spark.sql(f"EXPLAIN FORMATTED {text}", **query).first()[0]
+            self.register_views({t.name: span for t in TABLES.values() if t.partition and (span := pushed_span(plan, t))})
+        else:
+            self.register_views()
+        return self.spark.sql(text, **query)
+
+    def _any(self, table: Table) -> list[str]:
+        return sorted(self.versions(table).current().parts)[:1]
 
     # ---- reads that profit from the layout ---------------------------------------
 
@@ -602,6 +626,43 @@ class Warehouse:
         return row
 
 
+def pushed_span(plan: str, table: Table) -> tuple[str, str] | None:
+    """The partition values that the scans of a table in a formatted plan can need, by the
+    comparisons of its date or timestamp that are pushed to all of them. None: any value."""
+    column, width = ("timestamp", 10) if table.partition.name == "day" else ("date", 7)
+    spans = []
+    for node in re.split(r"\n\n+", plan):
+        if "Scan parquet" in node and f"/{table.name}/data" in node:
+            pushed = re.search(r"^PushedFilters: \[(.*)\]$", node, re.M)
+            found = {"<": "~", ">": ""}
+            for part in _top_level(pushed.group(1) if pushed else ""):
+                match = re.match(rf"(EqualTo|(?:Greater|Less)Than(?:OrEqual)?)\({column},(\d{{4}}-\d\d-\d\d)", part)
+                if match:
+                    day = dt.date.fromisoformat(match.group(2))
+                    if column == "date" and match.group(1) in ("GreaterThan", "LessThan"):
+                        day += dt.timedelta(days=1 if match.group(1) == "GreaterThan" else -1)
+                    value = day.isoformat()[:width]
+                    if not match.group(1).startswith("Less"):
+                        found[">"] = max(found[">"], value)
+                    if not match.group(1).startswith("Greater"):
+                        found["<"] = min(found["<"], value)
+            spans.append((found[">"], found["<"]))
+    span = min((s[0] for s in spans), default=""), max((s[1] for s in spans), default="~")
+    return None if span == ("", "~") else span
+
+
+def _top_level(listed: str) -> list[str]:
+    """The members of a list, brackets kept whole."""
+    members, depth = [""], 0
+    for sign in listed:
+        depth += (sign in "([") - (sign in ")]")
+        if sign == "," and not depth:
+            members.append("")
+        else:
+            members[-1] += sign
+    return [member.strip() for member in members]
+
+
 def _buckets(keys: int) -> int:
     """A power of two."""
     return 1 << max(0, -(-keys // BUCKET_KEYS) - 1).bit_length()

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
 from barlake.operators.messages import check_messages, decode_permissive
@@ -16,6 +14,7 @@ from barlake.operators.sliding import flat_windows, sliding_stats
 from barlake.sources.topics import publish
 from barlake.sources.warehouse import Warehouse
 from barlake.streaming import sinks
+from barlake.streaming.states import WindowStates
 
 SINKS = ("console", "parquet", "memory")
 
@@ -198,24 +197,19 @@ def keep_latest_windows(
 ) -> StreamingQuery:
     """Sliding statistics as one row per symbol and window, updated as quotes arrive.
 
-    Each micro-batch's changed windows are one folder of its checkpoint's run, replaced if
-    the batch is sent again; :func:`latest_windows` reads the newest state of each window.
-    A run with a new checkpoint starts its windows anew, and its states are the newer ones.
+    Each micro-batch's changed windows are added to the states at ``path`` once, however
+    often it is sent; :func:`latest_windows` reads the newest state of each window. A run
+    with a new checkpoint starts its windows anew, and its states are the newer ones.
     """
     stats = flat_windows(sliding_stats(decode_permissive(records)))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        run = sinks.run_id(batch.sparkSession, checkpoint)
-        stamped = batch.withColumn("written_at", F.lit(dt.datetime.now(dt.timezone.utc)))
-        stamped.write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        WindowStates(spark, path).add(batch, sinks.run_id(spark, checkpoint), batch_id)
 
     return sinks.write_batches(stats, write, checkpoint, "update", drain=drain)
 
 
-def latest_windows(states: DataFrame) -> DataFrame:
-    """The newest state of each window, by the time its micro-batch was written."""
-    key = ["symbol", "window_start", "window_end"]
-    order = ["written_at", "batch_id"]
-    rest = [c for c in states.columns if c not in (*key, *order, "run")]
-    newest = F.max(F.struct(*order, *rest)).alias("newest")
-    return states.groupBy(*key).agg(newest).select(*key, *[f"newest.{c}" for c in rest])
+def latest_windows(spark: SparkSession, path: str) -> DataFrame:
+    """The newest state of each window."""
+    return WindowStates(spark, path).read()

@@ -33,9 +33,11 @@ def write_parquet(
     rows: DataFrame, path: str, checkpoint: str, drain: bool = False, partition: str | None = "symbol"
 ) -> StreamingQuery:
     """Append files, one folder per symbol. Read back with a schema: folder names alone
-    would turn a symbol like 0700 into a number."""
+    would turn a symbol like 0700 into a number. Rows of a folder meet in one task, so a
+    trigger adds a file to each, not one for each task."""
+    dealt = rows.repartition(partition) if partition else rows
     writer = (
-        rows.writeStream.outputMode("append")
+        dealt.writeStream.outputMode("append")
         .format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)

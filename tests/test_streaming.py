@@ -66,8 +66,30 @@ def test_update_mode_keeps_the_newest_state(spark, tmp_path):
     stream = topic(spark, tmp_path / "t", maxFilesPerTrigger=1)
     jobs.keep_latest_windows(stream, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     batch = flat_windows(sliding_stats(quotes(spark, *[(n, "A", str(n + 1), 10 * n) for n in range(3)])))
-    states = spark.read.parquet(str(tmp_path / "out"))
-    assert sorted(jobs.latest_windows(states).collect()) == sorted(batch.collect())
+    assert sorted(jobs.latest_windows(spark, str(tmp_path / "out")).collect()) == sorted(batch.collect())
+
+
+def test_states_of_windows_are_folded(spark, tmp_path, monkeypatch):
+    from barlake.streaming import states
+
+    monkeypatch.setattr(states, "FAN", 3)
+    kept = states.WindowStates(spark, str(tmp_path / "states"))
+    assert kept.read().isEmpty()
+    want = {}
+    for number in range(14):
+        prices = quotes(spark, (number, "AB"[number % 2], str(number + 1), 0))
+        windows = flat_windows(sliding_stats(prices))
+        for _ in range(2):  # the second one is sent again
+            kept.add(windows, "run", number)
+        want["AB"[number % 2]] = number + 1
+    assert {(r.symbol, float(r.max_price)) for r in kept.read().collect()} == {(s, float(p)) for s, p in want.items()}
+    assert kept.read().count() == 10 and kept.read().columns == windows.columns
+    segments = kept.versions.current().parts[""]
+    assert len(segments) <= 6 and max(s.level for s in segments) == 2
+    # A fold of n micro-batches has the states of the windows, not of the micro-batches.
+    assert kept.states().count() <= 10 + 5 * len(segments)
+    kept.add(flat_windows(sliding_stats(quotes(spark, (1, "A", "99", 0)))), "another run", 0)
+    assert {float(r.max_price) for r in kept.read().filter("symbol = 'A'").collect()} == {99.0}
 
 
 def test_late_rows_leave_the_windows(spark, tmp_path):
@@ -234,5 +256,5 @@ def test_windows_of_a_new_checkpoint_replace_the_old_ones(spark, tmp_path):
     for n in range(2):
         topics.publish(quotes(spark, (n, "A", str(5 + n), 0)), fmt="parquet", path=str(tmp_path / "t"))
         jobs.keep_latest_windows(topic(spark, tmp_path / "t", maxFilesPerTrigger=1), path, str(tmp_path / f"cp{n}")).awaitTermination()
-    got = {(r.trade_count, float(r.max_price)) for r in jobs.latest_windows(spark.read.parquet(path)).collect()}
+    got = {(r.trade_count, float(r.max_price)) for r in jobs.latest_windows(spark, path).collect()}
     assert got == {(2, 6.0)}

@@ -390,3 +390,40 @@ def test_sql_on_a_stored_view_prunes_folders(spark, warehouse):
     rows = warehouse.sql("SELECT symbol, date FROM daily_aggregates_stored WHERE month = ? AND date >= ?", ["2024-02", dt.date(2024, 2, 1)])
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(month" in plan and rows.count() == 1
+
+
+def test_plain_sql_prunes_by_date_and_timestamp(spark, warehouse):
+    months = [bar("A", dt.date(2024, m, 5), str(m)) for m in range(1, 10)]
+    warehouse.upsert_bars(spark.createDataFrame(months, BAR))
+    warehouse.append_prices(spark.createDataFrame([quote(f"q{n}", at=NOW + dt.timedelta(days=n)) for n in range(9)], QUOTE))
+
+    def folders(frame):
+        return sorted({f.split("=")[-1].split("/")[0] for f in frame.inputFiles()})
+
+    cases = [
+        ("SELECT * FROM daily_aggregates WHERE date BETWEEN ? AND ?", [dt.date(2024, 3, 1), dt.date(2024, 4, 30)], ["2024-03", "2024-04"], 2),
+        ("SELECT * FROM daily_aggregates WHERE date = :d", {"d": dt.date(2024, 3, 5)}, ["2024-03"], 1),
+        ("SELECT * FROM daily_aggregates WHERE date > DATE'2024-08-01' AND close_price > 8", None, ["2024-08", "2024-09"], 1),
+        ("WITH b AS (SELECT * FROM daily_aggregates) SELECT * FROM b WHERE date < DATE'2024-02-01'", None, ["2024-01"], 1),
+        ("SELECT * FROM stock_prices WHERE timestamp >= TIMESTAMP'2024-01-08 00:00:00'", None, ["2024-01-08", "2024-01-09"], 2),
+        # Each scan needs another month, or one of two conditions need not hold: no pruning, or that of both.
+        ("SELECT a.date FROM daily_aggregates a JOIN daily_aggregates b ON a.symbol = b.symbol WHERE a.date < '2024-02-01' AND b.date < '2024-03-01'", None, ["2024-01", "2024-02"], 2),
+        ("SELECT * FROM daily_aggregates WHERE date = DATE'2024-03-05' OR symbol = 'A'", None, [f"2024-0{m}" for m in range(1, 10)], 9),
+        ("SELECT a.date FROM daily_aggregates a, daily_aggregates b WHERE a.date = '2024-02-05' AND a.symbol = b.symbol", None, [f"2024-0{m}" for m in range(1, 10)], 9),
+    ]
+    for text, args, want, count in cases:
+        rows = warehouse.sql(text, args)
+        assert folders(rows) == want and rows.count() == count, text
+    rows = warehouse.sql("SELECT * FROM daily_aggregates WHERE date >= ?", [dt.date(2024, 8, 1)])
+    assert "PartitionFilters: [isnotnull(month" in rows._jdf.queryExecution().executedPlan().toString()
+    assert warehouse.sql("SELECT COUNT(*) AS n FROM daily_aggregates").first().n == 9
+
+
+def test_strict_groups_read_their_source_once(spark, tmp_path):
+    from barlake.operators.quarantine import accepted_groups
+
+    rows = spark.createDataFrame([("A", ""), ("A", "bad"), ("B", "")], "symbol string, reasons string")
+    rows.write.parquet(str(tmp_path / "rows"))
+    good = accepted_groups(spark.read.parquet(str(tmp_path / "rows")), "symbol")
+    assert [r.symbol for r in good.collect()] == ["B"]
+    assert str(tmp_path / "rows") not in "".join(good.inputFiles())
