@@ -6,7 +6,8 @@ and then takes the queries, in order of their cells, some hundred at a time, eac
 cover tree of its own. Pairs of nodes are visited from the best bound down. With centres c, d
 and covering radii r, s no inner product below them exceeds <c,d> + r|d| + s|c| + rs; a pair
 is left if that is below the worst k-th score of the queries in it. Scores start from the
-sample, so that pruning begins with the first pair.
+sample, so that pruning begins with the first pair: a query is sent only to the blocks of
+cells whose pivot and radius leave room for a better score than its own k-th one there.
 """
 
 from __future__ import annotations
@@ -87,9 +88,10 @@ class Search:
     def __init__(self, queries: np.ndarray, ids: np.ndarray, seeds: np.ndarray, k: int):
         self.queries, self.ids, self.k = queries, ids, k
         self.worst = seeds.astype(np.float64)  # no k-th score ends below its seed
-        self.best: list[list[tuple[int, int]]] = [[] for _ in ids]
+        # Negative score, id, number of equal rows.
+        self.best: list[list[tuple[int, int, int]]] = [[] for _ in ids]
 
-    def visit(self, query: Node, data: Node, points: np.ndarray, ids: np.ndarray) -> None:
+    def visit(self, query: Node, data: Node, points: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
         tie = count()
         waiting = [(-_bound(query, data), next(tie), query, data)]
         while waiting:
@@ -97,7 +99,7 @@ class Search:
             if -negative < self.worst[q.rows].min():
                 continue
             if not q.children and not d.children:
-                self._compare(q.rows, points[d.rows], ids[d.rows])
+                self._compare(q.rows, points[d.rows], ids[d.rows], counts[d.rows])
                 continue
             # Open the wider of the two.
             if d.children and (not q.children or d.radius >= q.radius):
@@ -109,12 +111,12 @@ class Search:
                 if bound >= self.worst[a.rows].min():
                     heapq.heappush(waiting, (-bound, next(tie), a, b))
 
-    def _compare(self, rows: np.ndarray, points: np.ndarray, ids: np.ndarray) -> None:
+    def _compare(self, rows: np.ndarray, points: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
         scores = _products(self.queries[rows], points)
         hopeful = (scores >= self.worst[rows][:, None]) & (self.ids[rows][:, None] != ids[None, :])
         for i in np.flatnonzero(hopeful.any(axis=1)):
             row, which = int(rows[i]), np.flatnonzero(hopeful[i])
-            found = [(-int(scores[i, j]), int(ids[j])) for j in which]
+            found = [(-int(scores[i, j]), int(ids[j]), int(counts[j])) for j in which]
             self.best[row] = heapq.nsmallest(self.k, self.best[row] + found)
             if len(self.best[row]) == self.k:
                 self.worst[row] = max(self.worst[row], -self.best[row][-1][0])
@@ -148,12 +150,12 @@ def _pivots(sample: list[list[int]]) -> dict[int, np.ndarray]:
 
 
 def integers(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """(vec_id, v): floor(scale * x) of every component; rows that take part, repeated ones once."""
+    """(vec_id, v): floor(scale * x) of every component, of the rows that take part."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("e"))
     odd = F.exists("e", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     part = rows.filter(F.col("vec_id").isNotNull() & F.col("e").isNotNull() & ~F.coalesce(odd, F.lit(True)))
     floors = F.transform("e", lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
-    return part.select("vec_id", floors.alias("v")).distinct()
+    return part.select("vec_id", floors.alias("v"))
 
 
 def top_k(points: DataFrame, every: int = EVERY, k: int = NEIGHBOURS) -> DataFrame:
@@ -161,10 +163,14 @@ def top_k(points: DataFrame, every: int = EVERY, k: int = NEIGHBOURS) -> DataFra
     every row whose id is divisible by ``every`` with the other rows, ties to the smaller id.
 
     Fewer rows give fewer answers, an empty table none. Rows that share the query's id are
-    its own. Vectors of another length are no candidates of a query.
+    its own; a query that is repeated is answered once. Other repeated rows are candidates
+    of their own and take a rank each: equal rows are searched once and counted. Vectors of
+    another length are no candidates of a query.
     """
     spark = points.sparkSession
-    points = staged(points, "topk-points")
+    # No more than k equal rows can rank.
+    counted = points.groupBy("vec_id", "v").agg(F.least(F.count("*"), F.lit(k)).alias("n"))
+    points = staged(counted, "topk-points")
     sample = points.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
     spread = spark.sparkContext.broadcast(_pivots([row.v for row in sample]))  # at most SAMPLE rows
     first = spark.sparkContext.broadcast(([row.vec_id for row in sample], [row.v for row in sample]))
@@ -173,12 +179,13 @@ def top_k(points: DataFrame, every: int = EVERY, k: int = NEIGHBOURS) -> DataFra
         ids, vectors = first.value
         known = {size: (np.array(ids)[at], values) for size, at, values in _by_size(vectors)}
 
-        def batch(vec_ids: list[int], vs: list[list[int]]) -> Iterator[tuple]:
+        def batch(vec_ids: list[int], vs: list[list[int]], ns: list[int]) -> Iterator[tuple]:
             for size, at, values in _by_size(vs):
-                cells = np.full(len(at), PIVOTS)
+                cells, away = np.full(len(at), PIVOTS), np.zeros(len(at))
                 seeds = np.full(len(at), float(NEVER))
                 if size in spread.value:
-                    cells = np.array([_distances(spread.value[size], v).argmin() for v in values])
+                    far = [_distances(spread.value[size], v) for v in values]
+                    cells, away = np.array([d.argmin() for d in far]), np.array([d.min() for d in far])
                     own = np.array([vec_ids[i] for i in at])
                     asked = np.flatnonzero(own % every == 0)
                     others, there = known[size]
@@ -186,73 +193,109 @@ def top_k(points: DataFrame, every: int = EVERY, k: int = NEIGHBOURS) -> DataFra
                     scores[own[asked][:, None] == others[None, :]] = NEVER
                     if scores.shape[1] >= k and len(asked):
                         seeds[asked] = np.partition(scores, -k, axis=1)[:, -k]
-                for i, cell, seed in zip(at, cells.tolist(), seeds.tolist()):
-                    yield vec_ids[i], vs[i], cell, int(seed)
+                for i, cell, seed, distance in zip(at, cells.tolist(), seeds.tolist(), away.tolist()):
+                    yield vec_ids[i], vs[i], ns[i], cell, distance, int(seed)
 
         return batch
 
-    dealt = map_batches(points, ["vec_id", "v"], "vec_id long, v array<bigint>, cell int, seed long", begin)
-    dealt = staged(dealt, "topk-cells")
-    # At most PIVOTS + 1 counts.
-    counts = {row["cell"]: row["count"] for row in dealt.groupBy("cell").count().collect()}
-    blocks = [-(-counts.get(cell, 0) // BLOCK) for cell in range(PIVOTS + 1)]
+    schema = "vec_id long, v array<bigint>, n long, cell int, away double, seed long"
+    dealt = staged(map_batches(points, ["vec_id", "v", "n"], schema, begin), "topk-cells")
+    # At most PIVOTS + 1 cells for each of a few vector lengths.
+    cells = {
+        (row["size"], row.cell): (row["count"], row.radius)
+        for row in dealt.groupBy(F.size("v").alias("size"), "cell").agg(F.count("*").alias("count"), F.max("away").alias("radius")).collect()
+    }
+    counts = [sum(count for (_, c), (count, _) in cells.items() if c == cell) for cell in range(PIVOTS + 1)]
+    blocks = [-(-count // BLOCK) for count in counts]
     starts = np.cumsum([0, *blocks]).tolist()
     at = F.col("cell") + 1
     block = F.element_at(F.array(*map(F.lit, starts)), at) + F.pmod(
         F.xxhash64("vec_id"), F.greatest(F.element_at(F.array(*map(F.lit, blocks)), at), F.lit(1))
     )
-    data = dealt.select(block.cast("int").alias("block"), F.lit(0).alias("kind"), "cell", "vec_id", "v", "seed")
-    all_blocks = F.explode(F.sequence(F.lit(0), F.lit(max(starts[-1] - 1, 0))))
-    queries = dealt.filter(F.col("vec_id") % every == 0).select(
-        all_blocks.alias("block"), F.lit(1).alias("kind"), "cell", "vec_id", "v", "seed"
+    data = dealt.select(block.cast("int").alias("block"), F.lit(0).alias("kind"), "cell", "vec_id", "v", "n", "seed")
+
+    def begin_queries() -> object:
+        def batch(vec_ids: list[int], vs: list[list[int]], own_cells: list[int], seeds: list[int]) -> Iterator[tuple]:
+            for size, at, values in _by_size(vs):
+                hopeful = hopeful_cells(values, np.array([seeds[i] for i in at]), spread.value.get(size), size, cells)
+                for i, chosen in zip(at, hopeful):
+                    for cell in np.flatnonzero(chosen).tolist():
+                        for number in range(starts[cell], starts[cell + 1]):
+                            yield number, 1, own_cells[i], vec_ids[i], vs[i], 1, seeds[i]
+
+        return batch
+
+    queries = map_batches(
+        dealt.filter(F.col("vec_id") % every == 0), ["vec_id", "v", "cell", "seed"],
+        "block int, kind int, cell int, vec_id long, v array<bigint>, n long, seed long", begin_queries,
     )
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     together = data.unionByName(queries).repartition("block").sortWithinPartitions("block", "kind", "cell", "vec_id")
-    found = together.mapInArrow(_search(k), "query_id long, vec_id long, score long")
+    found = together.mapInArrow(_search(k), "query_id long, vec_id long, score long, n long")
+    each = found.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
-        found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+        each.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )
 
 
+def hopeful_cells(
+    queries: np.ndarray, seeds: np.ndarray, pivots: np.ndarray | None, size: int, cells: dict[tuple[int, int], tuple[int, float]]
+) -> np.ndarray:
+    """For each query the cells that hold vectors of its length and may hold one that scores
+    as its seed or better: no product in a cell exceeds that with its pivot by more than the
+    cell's radius times the query's length."""
+    there = np.array([(size, cell) in cells for cell in range(PIVOTS + 1)])
+    if pivots is None:
+        return np.tile(there, (len(queries), 1))
+    lengths = np.linalg.norm(queries, axis=1)
+    radius = np.array([cells.get((size, cell), (0, 0.0))[1] for cell in range(len(pivots))])
+    reach = np.linalg.norm(pivots, axis=1) + radius
+    bounds = queries @ pivots.T + np.outer(lengths, radius) + 1e-9 * np.outer(lengths, reach) + 1e-6
+    chosen = np.tile(there, (len(queries), 1))
+    chosen[:, : len(pivots)] &= bounds >= seeds[:, None]
+    return chosen
+
+
 def _search(k: int) -> object:
-    target = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+    target = pa.schema([(name, pa.int64()) for name in ("query_id", "vec_id", "score", "n")])
 
     def answers(trees: dict, ids: list[int], vectors: list[list[int]], seeds: list[int]) -> Iterator[tuple]:
         for size, at, values in _by_size(vectors):
             if size not in trees:
                 continue
-            tree, points, point_ids = trees[size]
+            tree, points, point_ids, counts = trees[size]
             own = np.array([ids[i] for i in at])
             search = Search(values, own, np.array([seeds[i] for i in at]), k)
-            search.visit(cover_tree(values), tree, points, point_ids)
+            search.visit(cover_tree(values), tree, points, point_ids, counts)
             for query, best in zip(own.tolist(), search.best):
-                for negative, vec_id in best:
-                    yield query, vec_id, -negative
+                for negative, vec_id, n in best:
+                    yield query, vec_id, -negative, n
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Rows come by block, the data of a block before its queries.
-        block, held_ids, held, trees = None, [], [], None
+        block, held_ids, held, ns, trees = None, [], [], [], None
         for batch in batches:
             rows = batch.to_pydict()
             places = np.column_stack((rows["block"], rows["kind"]))
             cuts = [0, *(np.flatnonzero((places[1:] != places[:-1]).any(axis=1)) + 1).tolist(), len(places)]
             for a, b in zip(cuts, cuts[1:]):
                 if rows["block"][a] != block:
-                    block, held_ids, held, trees = rows["block"][a], [], [], None
+                    block, held_ids, held, ns, trees = rows["block"][a], [], [], [], None
                 if rows["kind"][a] == 0:
                     held_ids += rows["vec_id"][a:b]
                     held += rows["v"][a:b]
+                    ns += rows["n"][a:b]
                     continue
                 if trees is None:
                     trees = {
-                        size: (cover_tree(points), points, np.array([held_ids[i] for i in at]))
+                        size: (cover_tree(points), points, np.array([held_ids[i] for i in at]), np.array([ns[i] for i in at]))
                         for size, at, points in (_by_size(held) if held else ())
                     }
-                    held_ids, held = [], []
+                    held_ids, held, ns = [], [], []
                 found = list(answers(trees, rows["vec_id"][a:b], rows["v"][a:b], rows["seed"][a:b]))
-                columns = zip(*found) if found else ([], [], [])
+                columns = zip(*found) if found else ([], [], [], [])
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=target)
 
     return work

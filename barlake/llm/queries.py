@@ -65,12 +65,12 @@ def op4_dual_tree(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLE["op4_dual_tree"] = """
-    WITH points AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) AS v
+    WITH points AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) AS v
         FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
         AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
     scored AS (SELECT q.vec_id AS query_id, p.vec_id,
         list_sum(list_transform(list_zip(q.v, p.v), lambda z: z[1] * z[2]))::bigint AS score
-        FROM points q JOIN points p ON p.vec_id <> q.vec_id AND len(p.v) = len(q.v) WHERE q.vec_id % 50 = 0),
+        FROM (SELECT DISTINCT * FROM points) q JOIN points p ON p.vec_id <> q.vec_id AND len(p.v) = len(q.v) WHERE q.vec_id % 50 = 0),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::int AS rank FROM scored)
     SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
 

@@ -71,6 +71,39 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     assert got == want
 
 
+def test_repeated_rows_take_a_rank_each(spark, monkeypatch):
+    monkeypatch.setattr(dual_tree, "BLOCK", 7)
+    draw = np.random.default_rng(14)
+    points = [(int(i), draw.integers(-50, 50, 3).tolist()) for i in range(60)]
+    points += [points[int(i)] for i in draw.integers(0, 60, 60)] + [points[7]] * 9
+    rows = spark.createDataFrame(points, "vec_id long, v array<long>").repartition(3)
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in dual_tree.top_k(rows, every=10).collect())
+    want = []
+    for q in range(0, 60, 10):
+        best = sorted((-int(np.dot(points[q][1], v)), c) for c, v in points if c != q)[:5]
+        want += [(q, n + 1, c, -s) for n, (s, c) in enumerate(best)]
+    assert got == want
+
+
+def test_queries_visit_only_hopeful_cells():
+    """On clustered vectors most cells are left before any row is sent; none is left that
+    holds a better vector."""
+    draw = np.random.default_rng(15)
+    centres = 200 * draw.normal(size=(40, 16))
+    points = np.floor(centres[draw.integers(0, 40, 4000)] + 4 * draw.normal(size=(4000, 16)))
+    pivots = dual_tree._pivots(points[:1000].astype(int).tolist())[16]
+    away = np.linalg.norm(points[:, None] - pivots[None], axis=2)
+    own = away.argmin(axis=1)
+    cells = {(16, c): (int((own == c).sum()), float(away[own == c, c].max())) for c in np.unique(own).tolist()}
+    queries = points[::50]
+    scores = queries @ points.T
+    seeds = np.partition(queries @ points[:1000].T, -5, axis=1)[:, -5]
+    chosen = dual_tree.hopeful_cells(queries, seeds, pivots, 16, cells)
+    needed = scores >= seeds[:, None]
+    assert all(chosen[q, own[needed[q]]].all() for q in range(len(queries)))
+    assert chosen.sum() < 0.25 * len(queries) * len(cells)
+
+
 def test_bounds_hold_for_all_pairs():
     draw = np.random.default_rng(13)
     points = np.floor(256 * draw.normal(size=(400, 6)))
