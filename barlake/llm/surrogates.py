@@ -122,6 +122,14 @@ def normal(kind: Column, mention: Column) -> Column:
 # --- surrogates --------------------------------------------------------------------------
 
 
+# The attempt from which on digits and addresses leave their reserved part, and the last one.
+WIDE_FROM = 8
+MOST_ATTEMPTS = 64
+# Values of a digit and of an octet before that.
+DIGITS = 10
+OCTETS = 256
+
+
 def surrogate(kind: Column, norm: Column, attempt: Column, key: str = KEY) -> Column:
     """The surrogate in normal form, from a keyed hash of type, entity and attempt."""
     first = F.sha2(F.concat_ws("|", F.lit(key), kind, norm, attempt.cast("string")), 256)
@@ -131,17 +139,26 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str = KEY) -> Co
         at = F.lit(i) if isinstance(i, int) else i
         return F.conv(F.substring(bits, 2 * at - 1, F.lit(2)), 16, 10).cast("int")
 
+    # Short formats have a reserved part first; entities beyond it take the whole format.
+    wide = attempt >= WIDE_FROM
+
     def digits(count: Column) -> Column:
-        return F.array_join(F.transform(F.sequence(F.lit(1), count), lambda i: (byte(i) % 10).cast("string")), "")
+        most = F.when(wide, 10).otherwise(DIGITS)
+        return F.array_join(F.transform(F.sequence(F.lit(1), count), lambda i: (byte(i) % most).cast("string")), "")
 
     def letters(start: int, count: Column) -> Column:
         return F.array_join(F.transform(F.sequence(F.lit(1), count), lambda i: F.char(97 + byte(start + i) % 26)), "")
 
     body = F.concat(F.substring(norm, 1, 1), digits(F.length(norm) - 2))
     card = F.concat(body, ((10 - _luhn_sum(body, True) % 10) % 10).cast("string"))
-    phone = F.concat(F.substring(norm, 1, 2), digits(F.length(norm) - 2))
-    ip = F.concat_ws(".", (240 + byte(1) % 16).cast("string"), *[byte(i).cast("string") for i in (2, 3, 4)])
-    ssn = F.concat(F.lit("9"), digits(F.lit(8)))
+    phone = F.when(wide, F.concat(F.lit("+"), digits(F.length(norm) - 1))).otherwise(
+        F.concat(F.substring(norm, 1, 2), digits(F.length(norm) - 2))
+    )
+    octet = F.when(wide, 256).otherwise(OCTETS)
+    ip = F.concat_ws(
+        ".", F.when(wide, byte(1)).otherwise(240 + byte(1) % 16).cast("string"), *[(byte(i) % octet).cast("string") for i in (2, 3, 4)]
+    )
+    ssn = F.when(wide, digits(F.lit(9))).otherwise(F.concat(F.lit("9"), digits(F.lit(8))))
 
     # Letters for letters, digits for digits, short ones lengthened; the reserved top domain
     # belongs to nobody.
@@ -236,7 +253,9 @@ def _drawn(entities: DataFrame, key: str) -> DataFrame:
     entity of it.
 
     Entities that lose a collision draw again; those settled before stay. A round is a
-    written table, the driver sees the number of losers.
+    written table, the driver sees the number of losers. While a format has twice as many
+    values as entities, every draw succeeds with one half or more; an entity that still
+    loses after ``MOST_ATTEMPTS`` draws means that there are too few, and is an error.
     """
     entities = staged(entities, "names")
     current = entities.withColumn("attempt", F.lit(0))
@@ -250,8 +269,11 @@ def _drawn(entities: DataFrame, key: str) -> DataFrame:
         judged = current.join(winners, ["kind", "surrogate"]).join(real, ["kind", "surrogate"], "left")
         lost = F.coalesce("real", F.lit(False)) | (F.col("norm") != F.col("winner"))
         judged = staged(judged.select("kind", "norm", "attempt", lost.alias("lost")), "surrogate-checks")
-        if not judged.filter("lost").count():
+        lost_now = judged.filter("lost").agg(F.count("*"), F.max("attempt"), F.max("kind")).first()
+        if not lost_now[0]:
             return current.select("kind", "norm", "surrogate")
+        if lost_now[1] >= MOST_ATTEMPTS:
+            raise ValueError(f"{lost_now[0]} entities, of kind {lost_now[2]} among others, find no surrogate: their format has too few")
         current = judged.select("kind", "norm", (F.col("attempt") + F.col("lost").cast("int")).alias("attempt"))
 
 

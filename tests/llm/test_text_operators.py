@@ -400,6 +400,21 @@ def test_more_persons_than_names_of_four_syllables(spark, monkeypatch):
     assert sorted(found) == sorted(norms) and len(set(found.values())) == 400
 
 
+@pytest.mark.parametrize("kind", ["phone", "ip", "ssn"])
+def test_more_entities_than_the_reserved_part(spark, monkeypatch, kind):
+    monkeypatch.setattr(surrogates, "DIGITS", 2)
+    monkeypatch.setattr(surrogates, "OCTETS", 2)
+    norm = {"phone": lambda n: f"+1{7000000 + n}", "ip": lambda n: f"10.{n // 256}.7.{n % 256}", "ssn": lambda n: f"{123000000 + n}"}[kind]
+    rows = [(kind, norm(n)) for n in range(600)]  # 128 surrogates of each, or 256
+    entities = spark.createDataFrame(rows, "kind string, norm string")
+    got = {r.norm: r.surrogate for r in surrogates.distinct_surrogates(entities).collect()}
+    assert len(got) == len(set(got.values())) == 600 and not set(got) & set(got.values())
+    assert all(len(s) == len(n) for n, s in got.items()) or kind == "ip"
+    monkeypatch.setattr(surrogates, "MOST_ATTEMPTS", 3)
+    with pytest.raises(ValueError, match=kind):
+        surrogates.distinct_surrogates(entities)
+
+
 def test_no_person_gets_the_name_of_another(spark, monkeypatch):
     monkeypatch.setitem(surrogates.SYLLABLES, "latin", ("to", "ka") * 8)
     real = [f"f|latin|{a}{b}{c}to" for a in ("to", "ka") for b in ("to", "ka") for c in ("to", "ka")]
