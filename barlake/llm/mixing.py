@@ -29,6 +29,8 @@ RANGES = 1024
 # LONGEST times the longest text. A window takes five bytes for each of its sums.
 WINDOWS = (1 << 15, 1 << 20, 1 << 24)
 LONGEST = 8
+# One text in so many of a length may change in all windows but the last.
+FEW_CHANGED = 50
 
 
 def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, passes: int = MOST_PASSES) -> DataFrame:
@@ -86,7 +88,10 @@ def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int =
         if width == widest and aim <= widest:
             return min([best, *_whole(parts, counts, aim)], key=lambda taken: (away(taken), int((lengths * taken).sum())))
         # A smaller sum of two equally close ones comes first.
-        best = min((best, _changed(parts, counts, best, aim, width, order)), key=lambda t: (away(t), int((parts * t).sum())))
+        # Few texts of each length change, so the mix of lengths stays, unless all are needed.
+        most = counts if width == widest else counts // FEW_CHANGED + 1
+        changed = _changed(parts, counts, best, aim, width, order, most)
+        best = min((best, changed), key=lambda t: (away(t), int((parts * t).sum())))
     return best
 
 
@@ -164,10 +169,11 @@ def _traced(last: np.ndarray, portions: list[tuple[int, int]], lengths: np.ndarr
 
 
 def _changed(
-    lengths: np.ndarray, counts: np.ndarray, taken: np.ndarray, budget: int, width: int, order: np.ndarray
+    lengths: np.ndarray, counts: np.ndarray, taken: np.ndarray, budget: int, width: int, order: np.ndarray, at_most: np.ndarray
 ) -> np.ndarray:
-    """Bounded knapsack over changes of ``taken``: portions of texts added or given back, as
-    long as the change stays within the window. The choice whose sum is closest to the budget."""
+    """Bounded knapsack over changes of ``taken``: portions of texts added or given back, up to
+    ``at_most`` of a length either way, as long as the change stays within the window. The
+    choice whose sum is closest to the budget."""
     half = width // 2
     aim = half + budget - int((lengths * taken).sum())
     last = np.full(2 * half + 1, -1, np.int32)
@@ -177,7 +183,7 @@ def _changed(
         return taken
     for i in order:
         for sign, most in ((1, int(counts[i] - taken[i])), (-1, int(taken[i]))):
-            for size in _portions(most):
+            for size in _portions(min(most, int(at_most[i]))):
                 weight = sign * size * int(lengths[i])
                 a, b = max(low, -min(weight, 0)), min(high, 2 * half - max(weight, 0))
                 if a > b:
