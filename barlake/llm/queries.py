@@ -138,6 +138,9 @@ def op10_pstable_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
 
 
+ORACLE["op10_pstable_dedup"] = embedding_dedup.oracle()
+
+
 def repeated_tail(doc_id: int | None, count: int) -> np.ndarray | None:
     """The places that the words of a document are taken from: a tenth of all documents, by
     the checksum of their ids, repeat a stretch up to their end."""

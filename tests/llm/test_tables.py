@@ -6,6 +6,7 @@ import os
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from barlake.llm import dual_tree, embedding_dedup, reputation
@@ -56,6 +57,16 @@ def test_near_vectors_equal_brute_force(spark, monkeypatch):
     assert np.mean([got[i][1] == component[i] for i in got]) > 0.99
 
 
+def test_vectors_whose_hashes_meet_are_told_apart(spark, monkeypatch):
+    points = clustered(np.random.default_rng(5), 60, 16, 0.1)
+    points[50:] = points[0]
+    rows = spark.createDataFrame([(i, p.tolist(), i % 2) for i, p in enumerate(points)], "vec_id long, embedding array<float>, label int")
+    want = {tuple(r) for r in embedding_dedup.near_duplicates(rows).collect()}
+    monkeypatch.setattr(embedding_dedup, "vector_hash", lambda vector: F.pmod(F.xxhash64("label"), F.lit(3)))
+    assert {tuple(r) for r in embedding_dedup.near_duplicates(rows).collect()} == want
+    assert len(want) == 60
+
+
 def test_top_k_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(dual_tree, "BLOCK", 100)
     monkeypatch.setattr(dual_tree, "LEAF", 8)
