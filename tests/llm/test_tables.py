@@ -1,6 +1,7 @@
 """Vectors and urls against brute force, and the registered queries against their SQL."""
 
 import glob
+import math
 import os
 
 import duckdb
@@ -135,8 +136,48 @@ def test_few_labels_shrink_to_the_domain(spark):
     hosts = [(f"h{i}.good.com", 50, 1) for i in range(20)] + [(f"h{i}.bad.com", 50, 48) for i in range(20)]
     hosts += [("new.good.com", 1, 1), ("new.bad.com", 0, 0), ("alone.org", 0, 0), ("x.co.uk", 3, 0), ("a.b.co.uk", 0, 0)]
     got = {r.host: r for r in reputation.reputations(spark.createDataFrame(hosts, "host string, n long, bad long")).collect()}
-    assert got["new.good.com"].mean < 0.3 and got["new.bad.com"].lower > 0.5 > got["alone.org"].lower
-    assert got["h0.bad.com"].lower > got["new.bad.com"].lower
+    assert got["new.good.com"].mean < 0.3 and got["new.bad.com"].log_below <= math.log(0.05)
+    assert got["alone.org"].log_below is None or got["alone.org"].log_below > math.log(0.05)
+    assert got["h0.bad.com"].log_below < got["new.bad.com"].log_below
+
+
+def test_chance_below_equals_sums_and_integrals(spark):
+    whole = [(1, 1), (7, 2), (40, 39), (300, 250), (5000, 4800)]
+    broken = [(0.7, 0.02), (3.25, 0.4), (12.5, 9.75), (900.5, 850.25)]
+    cases = spark.createDataFrame([(float(a), float(b)) for a, b in whole + broken], "a double, b double")
+    got = {(r.a, r.b): r.below for r in cases.withColumn("below", F.exp(reputation.log_chance_below(F.col("a"), F.col("b"), 0.5))).collect()}
+    for a, b in whole:
+        exact = sum(math.comb(a + b - 1, j) for j in range(a, a + b)) / 2 ** (a + b - 1)
+        assert got[a, b] == pytest.approx(exact, rel=1e-8)
+    for a, b in broken:
+        # The integral over log odds, where nothing is infinite.
+        t = np.linspace(-60, 0, 2_000_001)
+        log = -a * np.logaddexp(0, -t) - b * np.logaddexp(0, t)
+        log += math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
+        assert got[a, b] == pytest.approx(np.trapezoid(np.exp(log), t), rel=1e-6)
+
+
+def test_domains_of_hosts(spark):
+    cases = {
+        "news.bbc.gov.au": ("bbc.gov.au", "gov.au"), "a.b.com.sg": ("b.com.sg", "com.sg"), "me.github.io": ("me.github.io", "github.io"),
+        "x.me.github.io": ("me.github.io", "github.io"), "a.b.example": ("b.example", "example"), "com": ("com", "com"), "co.uk": ("co.uk", "co.uk"),
+        "1.2.3.4:80": ("1.2.3.4", ""), "[::1]:80": ("[::1]", ""), "u:p@a.b.org:8080": ("b.org", "org"), "a.b.org.": ("b.org", "org"), "": ("", ""),
+        "a.com.de": ("a.com.de", "com.de"), "xco.uk": ("xco.uk", "uk"),
+    }
+    rows = spark.createDataFrame([(host,) for host in cases], "host string")
+    domain, suffix = reputation.split_host(reputation.site_of(F.col("host")))
+    assert {r.host: (r.domain, r.suffix) for r in rows.select("host", domain.alias("domain"), suffix.alias("suffix")).collect()} == cases
+
+
+def test_hosts_are_blocked_without_any_rule(spark):
+    bad, good, few = "http://bad.example:8080/", "http://good.example/", "http://few.example/"
+    outcomes = [(f"{bad}{i}", int(i > 1)) for i in range(40)] + [(f"{good}{i}", int(i < 2)) for i in range(400)] + [(few, 1), (few, 0)]
+    outcomes += [(f"https://h{i}.example/", int(i % 10 == 0)) for i in range(100)]
+    pages = [(1, "https://u@bad.example/new"), (2, good), (3, few), (4, "http://bad.example.:80?x"), (5, "http://unknown.example"), (6, "http://5.6.7.8/")]
+    seen = reputation.judge(
+        spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(outcomes, "url string, bad int"), rules=()
+    )
+    assert {r.page_id: (r.rule, r.verdict) for r in seen.collect()} == {n: (None, "block" if n in (1, 4) else "allow") for n in range(1, 7)}
 
 
 def test_longest_rule_wins(spark):
