@@ -15,12 +15,16 @@ from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
+import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.llm.common import map_batches, map_rows
 
+# Fixed value: the pattern that ``Splitter`` follows.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
 # Pieces whose ids a task keeps at hand; beyond it starts anew, with equal results.
 MEMO_PIECES = 400_000
 
@@ -437,7 +441,10 @@ class PrefixTable:
 
 
 def _shipped(spark: SparkSession, vocabulary_path: str) -> object:
-    """The rank file, read by the driver; its size is that of the file."""
+    """The rank file, read by the driver; its size is that of the file. Files whose texts are
+    cut by another pattern are refused."""
+    if public_tokenizers.PATTERN != PATTERN:
+        raise ValueError(f"texts are cut by {PATTERN}, not by {public_tokenizers.PATTERN}")
     return spark.sparkContext.broadcast(read_ranks(vocabulary_path))
 
 
@@ -474,14 +481,16 @@ def encode(docs: DataFrame, vocabulary_path: str) -> DataFrame:
 
 def decode(encoded: DataFrame, vocabulary_path: str) -> DataFrame:
     """(doc_id, text) of rows with ``ids``; null ids give an empty text. Bytes that are not
-    UTF-8, as ids cut in the middle of a character give, become U+FFFD."""
+    UTF-8, as ids cut in the middle of a character give, become U+FFFD, and so does an id that
+    no token has: one beyond the vocabulary, a negative or a null one among others."""
     shared = _shipped(encoded.sparkSession, vocabulary_path)
 
     def begin() -> Callable[..., tuple]:
-        tokens = Vocabulary(shared.value).tokens
+        tokens = {rank: token for token, rank in shared.value.items()}
+        unknown = "\ufffd".encode()
 
-        def one(doc_id: int | None, ids: list[int] | None) -> tuple:
-            return doc_id, b"".join(tokens[i] for i in ids or ()).decode("utf-8", "replace")
+        def one(doc_id: int | None, ids: list[int | None] | None) -> tuple:
+            return doc_id, b"".join(tokens.get(i, unknown) for i in ids or ()).decode("utf-8", "replace")
 
         return one
 

@@ -74,6 +74,20 @@ def test_encode_and_decode_tables(spark, library):
         assert r.decoded_sha256 == hashlib.sha256((dict(rows)[r.doc_id] or "").encode()).hexdigest()
 
 
+def test_ids_that_no_token_has(spark, library):
+    good = library.encode_ordinary("some text")
+    rows = [(1, [10**9, *good]), (2, [-1]), (3, [*good, None]), (4, []), (5, None), (None, good)]
+    encoded = spark.createDataFrame(rows, "doc_id long, ids array<int>")
+    got = {r.doc_id: r.text for r in bpe.decode(encoded, RANKS).collect()}
+    assert got == {1: "\ufffdsome text", 2: "\ufffd", 3: "some text\ufffd", 4: "", 5: "", None: "some text"}
+
+
+def test_another_pattern_is_refused(spark, monkeypatch):
+    monkeypatch.setattr(public_tokenizers, "PATTERN", r"\S+|\s+")
+    with pytest.raises(ValueError):
+        bpe.encode(spark.createDataFrame([(1, "a")], "doc_id long, text string"), RANKS)
+
+
 def plain_fingerprint(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c.isascii() else c for c in text or ""))
     if not words:
