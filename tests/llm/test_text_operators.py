@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import zlib
 import re
 from collections import Counter
 
@@ -520,6 +521,63 @@ def test_few_labels_are_not_learnt_by_heart():
     assert (scores[truth == 1] >= 0.5).mean() >= 0.8 and (scores[truth == 0] >= 0.5).mean() <= 0.03
 
 
+def _label_tables(spark, count):
+    """Texts of common words; toxic ones, a quarter, hold one of two words, in long texts only
+    the second."""
+    draw, rows = random.Random(3), []
+    for i in range(count):
+        toxic, far = i % 4 == 0, i % 3 == 0
+        text = [draw.choice(["over", "under", "table", "river", "green", "walks"]) for _ in range(4000 if far else 30)]
+        if toxic:
+            text.insert(draw.randrange(len(text)), "zorkla" if far else "scum")
+        rows.append((i, " ".join(text), "en", int(toxic)))
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")
+    return docs, spark.createDataFrame([(r[0], 5, r[3]) for r in rows], "doc_id long, quality int, toxic int")
+
+
+def test_every_labelled_row_is_learnt_from(spark):
+    many = spark.range(6000).select(F.col("id").alias("doc_id"), F.lit("a").alias("text"), F.lit("en").alias("lang"))
+    many = many.unionByName(many.filter("doc_id < 10")).unionByName(many.filter("doc_id = 1").withColumn("text", F.repeat(F.lit("b "), 30_000)).withColumn("doc_id", F.lit(6001)))
+    labels = spark.range(6002).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    found = toxicity.labelled(many, labels)
+    wanted = [i for i in [*range(6000), 6001] if zlib.crc32(str(i).encode()) % 5]
+    assert sorted(r.doc_id for r in found.select("doc_id").collect()) == wanted
+    assert found.agg(F.max(F.length("text"))).first()[0] == (60_000 if 6001 in wanted else 1)
+
+
+@pytest.mark.parametrize("few", [4000, 0])
+def test_training_in_one_process_and_in_rounds(spark, monkeypatch, few):
+    docs, labels = _label_tables(spark, 400)
+    monkeypatch.setattr(toxicity, "FEW_ROWS", few)
+    monkeypatch.setattr(toxicity, "STEPS", 200)
+    monkeypatch.setattr(toxicity, "shards_of", lambda rows: 2)
+    model = toxicity.train(docs, labels)
+    texts = ["over under zorkla river", "green scum table", "over under river", "green table walks", ""]
+    bad, short, *good = model.scores([toxicity.words_of(text) for text in texts])
+    # Whole texts beyond any length count: the first word occurs in long ones only.
+    assert bad >= 0.5 and short >= 0.5 and max(good) < 0.5
+    if not few:
+        again = toxicity.train(docs, labels)
+        assert np.array_equal(again.embedding, model.embedding) and again.thresholds == model.thresholds
+
+
+def test_document_counts_cover_every_shard(spark):
+    docs, labels = _label_tables(spark, 60)
+    rows = toxicity.labelled(docs, labels).persist()
+    counts = toxicity.document_counts(rows)
+    fitted = [set(toxicity.words_of(r.text)) for r in rows.filter("NOT aside").collect()]
+    rows.unpersist()
+    for word in (b"river", b"scum", b"zorkla"):
+        assert counts[toxicity.pieces_of([word])[0, 0]] == sum(word in words for words in fitted)
+
+
+def test_rounds_with_one_label(spark, monkeypatch):
+    docs, labels = _label_tables(spark, 40)
+    monkeypatch.setattr(toxicity, "FEW_ROWS", 0)
+    model = toxicity.train(docs, labels.withColumn("toxic", F.lit(0)))
+    assert model.scores([[b"river"], []]).max() < 0.5
+
+
 def test_the_output_moves_with_the_threshold():
     words = [[b"bad"], [b"good"]]
     model = toxicity.fit(words * 40, [1, 0] * 40)
