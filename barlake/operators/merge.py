@@ -53,11 +53,13 @@ def merge(old: DataFrame, new: DataFrame, keys: list[str], updated: list[str]) -
     return kept.unionByName(added)
 
 
-def unseen(rows: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
+def unseen(rows: DataFrame, target: DataFrame, keys: list[str], shuffled: bool = False) -> DataFrame:
     """Rows whose key is not in the target.
 
     The target is first cut down to the keys at hand, so a small batch is broadcast to
-    it and a large target is not shuffled.
+    it and a large target is not shuffled. ``shuffled`` says that the batch is large,
+    whatever the planner takes it for: nothing is broadcast.
     """
-    known = target.select(*keys).join(rows.select(*keys).distinct(), keys, "left_semi")
-    return rows.join(known.distinct(), keys, "left_anti")
+    dealt = (lambda frame: frame.hint("merge")) if shuffled else (lambda frame: frame)
+    known = target.select(*keys).join(dealt(rows.select(*keys).distinct()), keys, "left_semi")
+    return rows.join(dealt(known.distinct()), keys, "left_anti")

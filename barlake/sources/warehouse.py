@@ -47,6 +47,10 @@ BUCKET_KEYS = 1 << 21
 MOST_BUCKETS = 1 << 12
 # Batches up to this are looked up by value: Parquet then consults its Bloom filters.
 FEW = 10
+# Batches beyond this are shuffled to the ids they are compared with. Files hold like ids in a
+# few bytes each, so the planner would take a large batch for a small one and send it whole
+# through the driver.
+SENT_ROWS = 100_000
 
 
 class KeyViolation(ValueError):
@@ -402,13 +406,13 @@ class Warehouse:
             hits = self._days_of(version, fresh, total)
             known = self.stored(table, hits.__contains__, version)
             if on_duplicate == "error":
-                if twice or (hits and not known.join(fresh.select(*ids), ids, "left_semi").isEmpty()):
+                if twice or (hits and not known.join(_compared(fresh.select(*ids), total), ids, "left_semi").isEmpty()):
                     raise KeyViolation("stock_price_id occurs twice")
             elif twice or hits:
                 rest = [c for c in table.stored.names if c not in ids]
                 first = F.min(F.struct("timestamp", *[c for c in rest if c != "timestamp"])).alias("_row")
                 single = fresh.groupBy(*ids).agg(first).select(*ids, "_row.*")
-                unseen(single, known, ids).write.parquet(picked)
+                unseen(single, known, ids, shuffled=total > SENT_ROWS).write.parquet(picked)
                 fresh = self.spark.read.schema(table.stored).parquet(picked)
                 counts = self._counts(fresh, table)
             added = {value: c[0] for value, c in counts.items()}
@@ -484,7 +488,7 @@ class Warehouse:
             touched = {row[0] for row in keys.select(F.expr(f"cast(key & {most - 1} as int)")).distinct().collect()}
             if len(touched) < most:
                 index = self._touched(version.keys, touched)
-        hits = index.join(keys, "key", "left_semi").select(F.col("day").cast("string")).distinct()
+        hits = index.join(_compared(keys, count), "key", "left_semi").select(F.col("day").cast("string")).distinct()
         return {row[0] for row in hits.collect()}
 
     def _touched(self, segments: list[Segment], touched: set[int]) -> DataFrame:
@@ -663,6 +667,11 @@ def _top_level(listed: str) -> list[str]:
     return [member.strip() for member in members]
 
 
+def _compared(rows: DataFrame, count: int) -> DataFrame:
+    """The smaller side of a join, which may be sent to every task only if it is small."""
+    return rows.hint("merge") if count > SENT_ROWS else rows
+
+
 def _buckets(keys: int) -> int:
     """A power of two."""
     return 1 << max(0, -(-keys // BUCKET_KEYS) - 1).bit_length()

@@ -427,3 +427,26 @@ def test_strict_groups_read_their_source_once(spark, tmp_path):
     good = accepted_groups(spark.read.parquet(str(tmp_path / "rows")), "symbol")
     assert [r.symbol for r in good.collect()] == ["B"]
     assert str(tmp_path / "rows") not in "".join(good.inputFiles())
+
+
+def test_large_batches_are_compared_without_a_broadcast(spark, warehouse, monkeypatch, capsys):
+    from barlake.operators.merge import unseen
+    from barlake.sources import warehouse as module
+
+    rows = spark.range(20).select(F.col("id").cast("string").alias("stock_price_id"))
+    seen = spark.range(10, 30).select(F.col("id").cast("string").alias("stock_price_id"))
+    left = unseen(rows, seen, ["stock_price_id"], shuffled=True)
+    left.explain()
+    assert "Broadcast" not in capsys.readouterr().out
+    assert sorted(int(r[0]) for r in left.collect()) == list(range(10))
+    monkeypatch.setattr(module, "SENT_ROWS", 0)
+    quotes = spark.range(30).select(
+        F.col("id").cast("string").alias("stock_price_id"), F.lit("A").alias("symbol"), F.lit(1).alias("price"),
+        F.lit(1).alias("volume"), F.lit(0).alias("bid"), F.lit(2).alias("ask"),
+        F.timestamp_seconds(F.lit(1704067200) + F.col("id")).alias("timestamp"), F.lit("x").alias("source"),
+    )
+    assert warehouse.append_prices(quotes.filter("stock_price_id < 20"), "skip") == 20
+    assert warehouse.append_prices(quotes.unionByName(quotes), "skip") == 10
+    with pytest.raises(module.KeyViolation):
+        warehouse.append_prices(quotes.limit(15))
+    assert warehouse.read("stock_prices").count() == 30
