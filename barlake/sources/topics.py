@@ -13,6 +13,9 @@ from barlake.operators.messages import encode_quotes
 from barlake.schemas import TOPIC, TOPIC_RECORDS
 
 FILE_FORMATS = ("parquet", "json", "orc")
+# Bytes of a row group of a topic's Parquet file. A task reads whole row groups, so that a
+# micro-batch of one large file still keeps many tasks busy.
+ROW_GROUP = 4 << 20
 
 
 def source_options(
@@ -78,6 +81,8 @@ def publish(
     if fmt in FILE_FORMATS:
         records = records.withColumn("timestamp", F.current_timestamp())
     records = records.observe(sent, F.count(F.lit(1)).alias("messages"))
+    if fmt == "parquet":
+        options = {"parquet.block.size": str(ROW_GROUP)} | (options or {})
     writer = records.write.format(fmt).mode("append").options(**(options or {}))
     writer.save(path) if path else writer.save()
     return sent.get["messages"]

@@ -258,3 +258,38 @@ def test_windows_of_a_new_checkpoint_replace_the_old_ones(spark, tmp_path):
         jobs.keep_latest_windows(topic(spark, tmp_path / "t", maxFilesPerTrigger=1), path, str(tmp_path / f"cp{n}")).awaitTermination()
     got = {(r.trade_count, float(r.max_price)) for r in jobs.latest_windows(spark, path).collect()}
     assert got == {(2, 6.0)}
+
+
+def test_a_large_topic_file_has_several_row_groups(spark, tmp_path, monkeypatch):
+    import pyarrow.parquet as pq
+
+    from barlake.sources import topics
+
+    monkeypatch.setattr(topics, "ROW_GROUP", 1 << 18)
+    path = str(tmp_path / "topic")
+    quotes = spark.range(20_000).select(
+        F.uuid().alias("stock_price_id"), F.lit("A").alias("symbol"), F.lit(1).alias("price"),
+        F.lit(1).alias("volume"), F.lit(0).alias("bid"), F.lit(2).alias("ask"),
+        F.timestamp_seconds(F.lit(1704067200) + F.col("id")).alias("timestamp"), F.lit("x").alias("source"),
+    )
+    assert topics.publish(quotes.coalesce(1), fmt="parquet", path=path) == 20_000
+    files = list((tmp_path / "topic").glob("*.parquet"))
+    assert len(files) == 1 and pq.ParquetFile(files[0]).num_row_groups > 3
+
+
+def test_the_limited_pipeline_reads_the_events_few_times(spark, tmp_path, monkeypatch):
+    """One publishing job writes the ten files of the topic."""
+    from barlake.plans import registry
+    from barlake.sources import topics
+
+    rows = spark.range(200).select(
+        F.when(F.col("id") != 7, F.col("id")).alias("event_id"), F.lit("view").alias("event_type"),
+        F.lit(2.5).alias("value"), F.lit('{"k": 1}').alias("props"),
+        F.timestamp_seconds(F.lit(1704067200) + F.col("id")).alias("ts"),
+    )
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    sent, publish = [], topics.publish
+    monkeypatch.setattr(registry.topics, "publish", lambda *a, **k: sent.append((publish(*a, **k), k["path"])))
+    result = registry.REGISTRY["pipeline_stops_at_n"](spark, str(tmp_path)).first()
+    assert [n for n, _ in sent] == [199] and tuple(result) == (199, True, 199)
+    assert len(spark.read.parquet(sent[0][1]).inputFiles()) == 10
