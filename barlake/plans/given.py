@@ -45,7 +45,9 @@ def raw_part_bars(spark: SparkSession, folder: str) -> DataFrame:
         "l_orderkey",
         "l_linenumber",
     )
-    return _roll_up(ticks, ["l_orderkey", "l_linenumber"])
+    # Hardly two lines share a part and a day, so sums before the shuffle would only widen the
+    # rows; dealt by symbol, they need no other shuffle for a universe or for the days.
+    return _roll_up(ticks.repartition("symbol"), ["l_orderkey", "l_linenumber"])
 
 
 def raw_user_bars(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,6 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from barlake.plans import jobs
 from barlake.schemas import RAW_BARS, RAW_COMPANIES, RAW_QUOTES
@@ -98,3 +99,29 @@ def test_backfill(spark, warehouse):
     assert result == {"status": "success", "period": "1mo", "total_loaded": 64}
     assert jobs.run_backfill(warehouse, raw(spark), D(2024, 1, 15), period="max")["total_loaded"] == 80
     assert warehouse.read("daily_aggregates").count() == 80
+
+
+def test_part_bars_are_shuffled_once(spark, tmp_path, capsys):
+    """By symbol, for the bars, the universe and the rows of a key alike."""
+    from barlake.operators.merge import one_row_per_key
+    from barlake.plans import given
+    from barlake.sources.landing import history
+
+    line = spark.range(60).select(
+        (F.col("id") % 4).alias("l_partkey"), F.expr("date'1995-01-01' + cast(id % 5 as int)").alias("l_shipdate"),
+        (F.col("id") + 10.0).alias("l_extendedprice"), F.lit(2.0).alias("l_quantity"),
+        F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"),
+    )
+    line.write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.range(3).select(F.col("id").alias("p_partkey")).write.parquet(str(tmp_path / "part.parquet"))
+    raw, parts = given.raw_part_bars(spark, str(tmp_path)), given.part_symbols(spark, str(tmp_path))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        bars = history(raw, D(2030, 1, 1), parts, period="max", keep_ts=True)
+        single = one_row_per_key(bars, ["symbol", "date"], ["close_price"], ["open_price"], "ts")
+        single.explain()
+        assert capsys.readouterr().out.count("Exchange") == 2  # lines and parts
+        assert single.count() == 15 and single.agg(F.sum("_copies")).first()[0] == 15
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
